@@ -22,6 +22,7 @@ SITEMAP_SUFFIXES = ["sitemap.html", "sitemap.xml"]
 HTML_MIME = "text/html"
 
 KEYS = ["wacz_path", "url"]
+CDX_FIELDS = ["url", "mime", "status", "digest", "length", "offset", "filename"]
 
 
 def parse_pages(lines: DataFrame) -> DataFrame:
@@ -79,20 +80,21 @@ def _cdx_lines(lines: DataFrame) -> DataFrame:
 
 
 def parse_cdx(lines: DataFrame) -> DataFrame:
-    """Capture rows from index lines; lines that hold no JSON object are left out.
+    """Capture rows from index lines; lines that hold no JSON object, or an empty one, are
+    left out.
 
     The numbers of the index are text and stay text; ``offset_num`` is the offset as a
     number, null where it is none.
     """
     return (
         _cdx_lines(lines)
-        .where("cdx IS NOT NULL")
         .select("wacz_path", "cdx_file", "cdx.*", offset_number("cdx.offset").alias("offset_num"))
+        .dropna("all", subset=CDX_FIELDS)
     )
 
 
 def cdx_rejects(lines: DataFrame) -> DataFrame:
-    """The lines ``parse_cdx`` leaves out, with the reason."""
+    """Index lines without a well-formed JSON object, with the reason."""
     reason = (
         F.when(F.col("not_text"), "not UTF-8")
         .when(F.col("json").isNull(), "no JSON part")

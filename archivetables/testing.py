@@ -9,7 +9,6 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -23,9 +22,9 @@ from archivetables.sources.archives import (
 from archivetables.sources.storage import locate
 
 PAGE = (
-    "extra boolean, url string, title string, text string, log_line string, captures "
-    "array<struct<mime:string,status:string,http:boolean,"
-    "headers:array<struct<name:string,value:string>>,payload:binary>>"
+    "url string, entries array<struct<extra:boolean,title:string,text:string>>, "
+    "captures array<struct<mime:string,status:string,http:boolean,"
+    "headers:array<struct<name:string,value:string>>,payload:binary>>, log_line string"
 )
 
 CDX_BLOCK_LINES = 500
@@ -41,9 +40,9 @@ def pack_archives(
 ) -> int:
     """Write rows of schema ``PAGE`` as archives into ``folder``; gives their number.
 
-    Every task writes its rows as they come, beginning a new archive after a number of
-    pages, so memory holds one archive's index at most. Captures of one page follow each
-    other in one WARC file. Names and bytes depend on the rows only, and files get their
+    A row is one URL with its entries in the page lists and its captures. Every task writes
+    its rows as they come, beginning a new archive after a number of them, so memory holds
+    one archive's rows at most. Captures of a URL follow each other in one WARC file. Names and bytes depend on the rows only, and files get their
     final name when complete, so a repeated task changes nothing.
     """
 
@@ -61,11 +60,11 @@ def pack_archives(
             count += 1
         yield pa.RecordBatch.from_pydict({"archives": [count]})
 
-    pafs_fs, inner = locate(folder)
-    pafs_fs.create_dir(inner, recursive=True)
+    fs, inner = locate(folder)
+    fs.create_dir(inner, recursive=True)
     written = (
         pages.repartition(partitions, "url")
-        .sortWithinPartitions("url", "extra")
+        .sortWithinPartitions("url")
         .mapInArrow(write, "archives bigint")
     )
     return written.groupBy().sum("archives").first()[0]
@@ -86,14 +85,17 @@ def _write_archive(folder, task, number, rows, pages_per_warc, deflate_warcs) ->
         _write_index(archive, sorted(index[:half]))
         _put(archive, CDX_FILES[1], "".join(f"{line}\n" for line in sorted(index[half:])))
         for path, extra in zip(PAGES_FILES, [False, True], strict=True):
+            fields = ["title", "text"] if extra else ["title"]
             lines = [
-                json.dumps({"url": r["url"], "title": r["title"]} | ({"text": r["text"]} if extra else {}))
-                for r in rows
-                if bool(r["extra"]) == extra
+                json.dumps({"url": row["url"]} | {name: entry[name] for name in fields})
+                for row in rows
+                for entry in row["entries"]
+                if entry["extra"] == extra
             ]
             header = json.dumps({"format": "json-pages-1.0", "id": "pages", "title": "All Pages"})
             if lines or not extra:
-                _put(archive, path, "".join(f"{line}\n" for line in [header, *lines]), deflate=extra)
+                text = "".join(f"{line}\n" for line in [header, *lines])
+                _put(archive, path, text, deflate=extra)
         log = [r["log_line"] for r in rows if r["log_line"]]
         _put(archive, f"{LOG_DIR}/crawl.log", "".join(f"{line}\n" for line in log), deflate=True)
     fs.move(draft, inner)
