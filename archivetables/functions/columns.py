@@ -64,8 +64,14 @@ def with_json_object(df: DataFrame, text: Column | str, fields: str, name: str)
 
 
 def cdx_json(line: Column | str) -> Column:
-    """The JSON part of an index line ``<key> <timestamp> <json>``, null when missing."""
-    return F.get(F.split(strip(line), " ", 3), F.lit(2))
+    """The JSON part of an index line ``<key> <timestamp> <json>``, null when missing.
+
+    A line that ends with a brace has no white space there to cut, which spares most lines
+    the costlier half of stripping.
+    """
+    text = _column(line)
+    text = F.when(text.endswith("}"), F.ltrim(text, F.lit(WHITE_SPACE))).otherwise(strip(text))
+    return F.get(F.split(text, " ", 3), F.lit(2))
 
 
 def header_map(headers: Column | str) -> Column:

@@ -50,9 +50,8 @@ def page_rejects(lines: DataFrame) -> DataFrame:
 def _page_lines(lines: DataFrame) -> DataFrame:
     text = utf8_text("line", strict=False)
     first = (F.col("split_start") == 0) & (F.col("line_pos") == 0)
-    return lines.where(~first & (F.trim(F.col("line").cast("string")) != "")).select(
-        "wacz_path", "member", "line_pos", text.alias("text")
-    )
+    rows = lines.where(~first).select("wacz_path", "member", "line_pos", text.alias("text"))
+    return rows.where(~F.col("text").rlike(r"^\s*$") | F.col("text").isNull())
 
 
 def without_sitemap_pages(

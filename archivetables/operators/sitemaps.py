@@ -29,15 +29,15 @@ def sitemap_roots(sitemaps: DataFrame, url: str = "sitemap_url") -> DataFrame:
     return sitemaps.select(site_root(url).alias("root"), site_path(url).alias("path")).distinct()
 
 
-def _parsed(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        "sitemap_url", "body", F.from_xml("body", schemas.SITEMAP_XML).alias("xml")
-    )
+def _parsed(docs: DataFrame, root_tag: str) -> DataFrame:
+    """Documents with this root tag, parsed; a text search spares the others the parser."""
+    xml = F.from_xml("body", schemas.SITEMAP_XML, {"ignoreNamespace": "true"})
+    return docs.where(F.col("body").contains(root_tag)).select("sitemap_url", xml.alias("xml"))
 
 
 def sitemap_entries(docs: DataFrame) -> DataFrame:
     """Pages the documents list: ``sitemap_url, url, last_modified``."""
-    entries = _parsed(docs).select("sitemap_url", F.explode("xml.url").alias("entry"))
+    entries = _parsed(docs, "urlset").select("sitemap_url", F.explode("xml.url").alias("entry"))
     return entries.select(
         "sitemap_url",
         strip("entry.loc").alias("url"),
@@ -48,13 +48,18 @@ def sitemap_entries(docs: DataFrame) -> DataFrame:
 def sitemap_links(docs: DataFrame) -> DataFrame:
     """Sitemaps that index documents and ``robots.txt`` files name:
     ``sitemap_url, linked_url``."""
-    named = F.transform(F.coalesce("xml.sitemap", F.array()), lambda s: s["loc"])
     is_robots = F.col("sitemap_url").endswith("/robots.txt")
-    robots = F.regexp_extract_all("body", F.lit(ROBOTS_SITEMAP), F.lit(1))
-    links = F.when(is_robots, robots).otherwise(named)
+    named = (
+        _parsed(docs.where(~is_robots), "sitemapindex")
+        .select("sitemap_url", F.explode("xml.sitemap").alias("sitemap"))
+        .select("sitemap_url", F.col("sitemap.loc").alias("link"))
+    )
+    robots = docs.where(is_robots).select(
+        "sitemap_url",
+        F.explode(F.regexp_extract_all("body", F.lit(ROBOTS_SITEMAP), F.lit(1))).alias("link"),
+    )
     return (
-        _parsed(docs)
-        .select("sitemap_url", F.explode(links).alias("link"))
+        named.union(robots)
         .select("sitemap_url", strip("link").alias("linked_url"))
         .where("linked_url <> ''")
     )

@@ -14,42 +14,70 @@ from archivetables.operators.captures import (
 )
 from archivetables.operators.crawl_log import crawl_log_lines
 from archivetables.operators.quality import archive_problems
-from archivetables.sources.archives import list_archives, text_lines, wacz_members
+from archivetables.session import partitions_for
+from archivetables.sources.archives import (
+    archive_bytes,
+    list_archives,
+    text_lines,
+    wacz_members,
+)
 
 Paths = str | list[str]
 
 
-def scan_pages(spark: SparkSession, wacz_paths: Paths, strict: bool = True) -> DataFrame:
-    """All rows of both page lists of every archive, but for sitemap pages."""
-    lines = text_lines(list_archives(spark, wacz_paths), "pages", strict)
+# page lists and indexes are a small part of an archive, so many archives go to one task
+ARCHIVE_BYTES_PER_LINES_TASK = 16 << 30
+
+
+def archive_lines(archives: DataFrame, kind: str, strict: bool, n_bytes: int | None) -> DataFrame:
+    """Lines of one kind, read by a number of tasks that fits the size of the archives."""
+    n_bytes = archive_bytes(archives) if n_bytes is None else n_bytes
+    n = partitions_for(archives.sparkSession, n_bytes, ARCHIVE_BYTES_PER_LINES_TASK)
+    return text_lines(archives, kind, strict, partitions=n)
+
+
+def scan_pages(
+    spark: SparkSession, wacz_paths: Paths, strict: bool = True, n_bytes: int | None = None
+) -> DataFrame:
+    """All rows of both page lists of every archive, but for sitemap pages.
+
+    ``n_bytes`` is the size of all archives, where the caller knows it already.
+    """
+    lines = archive_lines(list_archives(spark, wacz_paths), "pages", strict, n_bytes)
     return without_sitemap_pages(parse_pages(lines))
 
 
-def scan_cdx(spark: SparkSession, wacz_paths: Paths, strict: bool = True) -> DataFrame:
+def scan_cdx(
+    spark: SparkSession, wacz_paths: Paths, strict: bool = True, n_bytes: int | None = None
+) -> DataFrame:
     """HTML captures of every index, packed or plain, of every archive."""
-    lines = text_lines(list_archives(spark, wacz_paths), "cdx", strict)
+    lines = archive_lines(list_archives(spark, wacz_paths), "cdx", strict, n_bytes)
     return html_captures(parse_cdx(lines))
 
 
 def scan_cdx_rejects(spark: SparkSession, wacz_paths: Paths) -> DataFrame:
-    return cdx_rejects(text_lines(list_archives(spark, wacz_paths), "cdx"))
+    return cdx_rejects(archive_lines(list_archives(spark, wacz_paths), "cdx", True, None))
 
 
 def scan_crawl_logs(spark: SparkSession, wacz_paths: Paths) -> DataFrame:
-    return crawl_log_lines(text_lines(list_archives(spark, wacz_paths), "log"))
+    return crawl_log_lines(archive_lines(list_archives(spark, wacz_paths), "log", True, None))
 
 
 def html_websites(spark: SparkSession, wacz_paths: Paths) -> DataFrame:
     """Every page with every HTML capture of it."""
-    return join_captures(scan_pages(spark, wacz_paths), scan_cdx(spark, wacz_paths))
+    size = archive_bytes(list_archives(spark, wacz_paths))
+    return join_captures(
+        scan_pages(spark, wacz_paths, n_bytes=size), scan_cdx(spark, wacz_paths, n_bytes=size)
+    )
 
 
 def scan_problems(spark: SparkSession, wacz_paths: Paths) -> DataFrame:
     """Archives that cannot be read, or hold no page rows or no index lines."""
     archives = list_archives(spark, wacz_paths)
+    size = archive_bytes(archives)
     return archive_problems(
         archives,
         wacz_members(archives, strict=False),
-        parse_pages(text_lines(archives, "pages", strict=False)),
-        text_lines(archives, "cdx", strict=False),
+        parse_pages(archive_lines(archives, "pages", False, size)),
+        archive_lines(archives, "cdx", False, size),
     )

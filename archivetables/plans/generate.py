@@ -17,6 +17,8 @@ from archivetables.operators.records import (
     order_by_offset,
 )
 from archivetables.plans.archive_tables import Paths, scan_cdx, scan_pages, scan_problems
+from archivetables.session import partitions_for
+from archivetables.sources.archives import archive_bytes, list_archives
 from archivetables.sources.url_lists import read_previous_url_list, read_url_list
 from archivetables.sources.warc import fetch_warc
 
@@ -40,6 +42,7 @@ def records_from_tables(
     prefer: str = "deleted",
     strict: bool = True,
     keep_crawl: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Records from page rows, HTML captures and, if any, deleted URLs.
 
@@ -58,7 +61,9 @@ def records_from_tables(
         else:
             deletes = deletes.join(pointers.select(*keys), keys, "left_anti")
     records = active_records(
-        fetch_warc(pointers, strict=strict), "wacz_path", *([] if strict else ["payload_problem"])
+        fetch_warc(pointers, strict, partitions),
+        "wacz_path",
+        *([] if strict else ["payload_problem"]),
     )
     if deletes is not None:
         records = append_deletes(records, deletes)
@@ -99,14 +104,16 @@ def generate_records(
         deletes = deleted_urls(
             _url_list(spark, previous_urls, previous=True), _url_list(spark, current_urls)
         )
+    size = archive_bytes(list_archives(spark, wacz_paths))
     records = records_from_tables(
-        scan_pages(spark, wacz_paths, strict),
-        scan_cdx(spark, wacz_paths, strict),
+        scan_pages(spark, wacz_paths, strict, size),
+        scan_cdx(spark, wacz_paths, strict, size),
         deletes,
         offset_order=offset_order,
         prefer=prefer,
         strict=strict,
         keep_crawl=keep_crawl,
+        partitions=partitions_for(spark, size),
     )
     if ordered:
         records = order_by_offset(records, offset_order)
@@ -131,7 +138,12 @@ def content_by_url(
         wanted = urls
     else:
         wanted = spark.createDataFrame([(u,) for u in urls], "url string")
-    found = match_urls(wanted, scan_pages(spark, wacz_paths), scan_cdx(spark, wacz_paths))
+    size = archive_bytes(list_archives(spark, wacz_paths))
+    found = match_urls(
+        wanted,
+        scan_pages(spark, wacz_paths, n_bytes=size),
+        scan_cdx(spark, wacz_paths, n_bytes=size),
+    )
     if strict:
         message = F.concat(F.lit("URL has not one match but "), F.col("match_count"),
                            F.lit(": "), F.col("url"))
@@ -141,7 +153,7 @@ def content_by_url(
     single = found.where("match_count = 1")
     other = found.where("match_count <> 1").select("url", "wacz_path", "match_count")
     payload = F.col("payload")
-    fetched = fetch_warc(single).select(
+    fetched = fetch_warc(single, partitions=partitions_for(spark, size)).select(
         "url",
         "wacz_path",
         "match_count",

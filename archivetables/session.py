@@ -45,13 +45,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def default_partitions(spark: SparkSession) -> int:
-    """Partitions for stages whose input rows are tiny but whose work is not.
+# more partitions than this cost more in shuffle blocks than longer tasks do
+MAX_PARTITIONS = 20_000
+
+
+def partitions_for(spark: SparkSession, n_bytes: int = 0, bytes_per_task: int = 1 << 30) -> int:
+    """Partitions for stages whose input rows are tiny but whose work, ``n_bytes``, is not.
 
     Such shuffles name their partition number, since adaptive execution would otherwise
     judge them by the few bytes of the rows and merge them into one task.
     """
-    return max(
+    usual = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
+    return max(usual, min(-(-n_bytes // bytes_per_task), MAX_PARTITIONS))

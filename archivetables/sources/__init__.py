@@ -1,6 +1,7 @@
 """Readers: archive listings, text members, WARC records, URL lists."""
 
 from archivetables.sources.archives import (
+    archive_bytes,
     list_archives,
     member_lines,
     text_lines,
@@ -16,6 +17,7 @@ from archivetables.sources.warc import ArchiveReadError, fetch_warc
 
 __all__ = [
     "ArchiveReadError",
+    "archive_bytes",
     "fetch_warc",
     "list_archives",
     "member_lines",

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from archivetables import schemas
-from archivetables.session import default_partitions
-from archivetables.sources.storage import open_input
+from archivetables.session import partitions_for
+from archivetables.sources.storage import open_input, open_member
 
 # fixed values: where a WACZ file keeps its parts
 PAGES_FILES = ["pages/pages.jsonl", "pages/extraPages.jsonl"]
@@ -38,6 +38,11 @@ def list_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path", "length")
 
 
+def archive_bytes(archives: DataFrame) -> int:
+    """Size of all archives together, from the listing."""
+    return archives.agg(F.sum("length")).first()[0] or 0
+
+
 def member_kind(member: Column) -> Column:
     return (
         F.when(member.isin(PAGES_FILES), "pages")
@@ -93,7 +98,7 @@ def text_lines(
             for row in batch.to_pylist():
                 yield from _read_split(**row)
 
-    n = partitions or default_partitions(archives.sparkSession)
+    n = partitions or partitions_for(archives.sparkSession)
     return (
         archives.select("path")
         .mapInArrow(split, SPLIT)
@@ -207,11 +212,8 @@ def _block_cuts(path: str, info: zipfile.ZipInfo, split_bytes: int) -> list[int]
 def _read_split(
     wacz_path: str, member: str, start: int, stop: int, whole: bool
 ) -> Iterator[pa.RecordBatch]:
-    with (
-        open_input(wacz_path) as file,
-        zipfile.ZipFile(file) as archive,
-        archive.open(member) as source,
-    ):
+    with open_input(wacz_path) as file, zipfile.ZipFile(file) as archive:
+        source = open_member(file, archive, member)
         if member.endswith(".gz"):
             limit = None if whole else stop - start
             source.seek(start)

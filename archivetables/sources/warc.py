@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from archivetables import schemas
-from archivetables.session import default_partitions
+from archivetables.session import partitions_for
 from archivetables.sources.archives import WARC_DIR
-from archivetables.sources.storage import open_input
+from archivetables.sources.storage import open_input, open_member
 
 BLOCK_BYTES = 64 << 20
 BATCH_BYTES = 32 << 20
@@ -46,7 +46,7 @@ def fetch_warc(
     payload is the HTTP body without transfer and content encoding. A record that cannot
     be read raises, or leaves a null payload and a problem when not ``strict``.
     """
-    n = partitions or default_partitions(pointers.sparkSession)
+    n = partitions or partitions_for(pointers.sparkSession)
     path_at, file_at, offset_at = (
         pointers.columns.index(c) for c in ("wacz_path", "filename", "offset_num")
     )
@@ -107,8 +107,8 @@ class _Records:
     """Reads records in pointer order, keeping one archive and one member open."""
 
     def __init__(self) -> None:
-        self._archive_stack, self._member_stack = ExitStack(), ExitStack()
-        self._archive = self._member = None
+        self._open = ExitStack()
+        self._file = self._archive = self._member = None
         self._archive_key = self._member_key = self._record_key = None
         self._record: tuple = ()
 
@@ -116,8 +116,7 @@ class _Records:
         return self
 
     def __exit__(self, *error: object) -> None:
-        self._member_stack.close()
-        self._archive_stack.close()
+        self._open.close()
 
     def read(self, path: str, filename: str, offset: int) -> tuple:
         """``(payload, headers, problem)``; repeated pointers are read once."""
@@ -131,20 +130,18 @@ class _Records:
 
     def _read(self, path: str, filename: str, offset: int) -> tuple:
         if path != self._archive_key:
-            self._member_stack.close()
-            self._archive_stack.close()
+            self._open.close()
             self._member_key = self._archive_key = None
-            file = self._archive_stack.enter_context(open_input(path))
-            self._archive = self._archive_stack.enter_context(zipfile.ZipFile(file))
+            self._file = self._open.enter_context(open_input(path))
+            self._archive = self._open.enter_context(zipfile.ZipFile(self._file))
             self._archive_key = path
         if filename != self._member_key:
-            self._member_stack.close()
             self._member_key = None
             try:
-                member = self._archive.open(f"{WARC_DIR}/{filename}")
+                name = f"{WARC_DIR}/{filename}"
+                self._member = open_member(self._file, self._archive, name)
             except KeyError:
                 return None, None, "no such WARC file"
-            self._member = self._member_stack.enter_context(member)
             self._member_key = filename
         if offset is None or offset < 0:
             return None, None, "no record position"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivetables.session import default_partitions, scratch_dir
+from archivetables.session import partitions_for, scratch_dir
 from archivetables.testing import pack_archives
 
 SHOP = "https://shop.example.com"
@@ -115,6 +115,8 @@ def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # sitemaps and URL lists from orders
 
+_documents: dict[tuple[str, str], str] = {}
+
 
 def order_sitemap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
@@ -127,6 +129,16 @@ def order_sitemap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetched sitemap documents, written once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _documents:
+        folder = scratch_dir(spark, "sitemaps")
+        built_sitemap_docs(spark, sf_dir).write.parquet(folder)
+        _documents[key] = folder
+    return spark.read.parquet(_documents[key])
+
+
+def built_sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sitemaps of at most 1,000 orders of one customer each, an index per customer and
     order status that names some of them, and a robots file per customer naming the index."""
     pages = order_sitemap(spark, sf_dir).withColumn("part", F.expr("o_orderkey div 1000"))
@@ -308,6 +320,6 @@ def archives(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _packed:
         folder = scratch_dir(spark, "archives")
-        pack_archives(archive_rows(spark, sf_dir), folder, default_partitions(spark))
+        pack_archives(archive_rows(spark, sf_dir), folder, partitions_for(spark))
         _packed[key] = f"{folder}/*.wacz"
     return _packed[key]
