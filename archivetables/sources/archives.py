@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from archivetables import schemas
 from archivetables.session import partitions_for
-from archivetables.sources.storage import open_input, open_member
+from archivetables.sources.storage import open_input, open_member, open_zip
 
 # fixed values: where a WACZ file keeps its parts
 PAGES_FILES = ["pages/pages.jsonl", "pages/extraPages.jsonl"]
@@ -34,7 +34,10 @@ CHUNK_BYTES = 1 << 20
 
 
 def list_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``(path, length)`` of every file the paths or globs name; no content is read."""
+    """``(path, length)`` of every file the paths or globs name; no content is read.
+
+    Spark's listing passes over files of zero bytes, so those are not reported either.
+    """
     return spark.read.format("binaryFile").load(paths).select("path", "length")
 
 
@@ -151,7 +154,7 @@ def _is_stored(info: zipfile.ZipInfo) -> bool:
 
 def _directory(path: str, strict: bool) -> list[zipfile.ZipInfo]:
     try:
-        with open_input(path) as file, zipfile.ZipFile(file) as archive:
+        with open_input(path) as file, open_zip(file, path) as archive:
             return archive.infolist()
     except (OSError, zipfile.BadZipFile):
         if strict:
@@ -193,7 +196,7 @@ def _splits(path: str, kind: str, split_bytes: int, strict: bool) -> list[tuple]
 def _block_cuts(path: str, info: zipfile.ZipInfo, split_bytes: int) -> list[int]:
     """Starts of gzip members, at least ``split_bytes`` apart, if the block list covers the
     file without a gap; otherwise the file stays whole."""
-    with open_input(path) as file, zipfile.ZipFile(file) as archive:
+    with open_input(path) as file, open_zip(file, path) as archive:
         if CDX_BLOCKS_FILE not in archive.namelist():
             return [0]
         with archive.open(CDX_BLOCKS_FILE) as lines:
@@ -212,7 +215,7 @@ def _block_cuts(path: str, info: zipfile.ZipInfo, split_bytes: int) -> list[int]
 def _read_split(
     wacz_path: str, member: str, start: int, stop: int, whole: bool
 ) -> Iterator[pa.RecordBatch]:
-    with open_input(wacz_path) as file, zipfile.ZipFile(file) as archive:
+    with open_input(wacz_path) as file, open_zip(file, wacz_path) as archive:
         source = open_member(file, archive, member)
         if member.endswith(".gz"):
             limit = None if whole else stop - start

@@ -36,6 +36,13 @@ def open_input(path: str) -> io.BufferedReader:
     return io.BufferedReader(fs.open_input_file(inner), READ_BUFFER)
 
 
+def open_zip(file: io.BufferedReader, path: str) -> zipfile.ZipFile:
+    try:
+        return zipfile.ZipFile(file)
+    except (ValueError, zipfile.BadZipFile) as error:  # ValueError: shorter than any zip
+        raise zipfile.BadZipFile(f"{path}: {error}") from error
+
+
 class StoredMember:
     """A zip member that is stored unpacked, as a range of the archive: seeking costs
     nothing, and the read-ahead of the archive serves neighbouring reads."""

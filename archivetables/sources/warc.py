@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from archivetables import schemas
 from archivetables.session import partitions_for
 from archivetables.sources.archives import WARC_DIR
-from archivetables.sources.storage import open_input, open_member
+from archivetables.sources.storage import open_input, open_member, open_zip
 
 BLOCK_BYTES = 64 << 20
 BATCH_BYTES = 32 << 20
@@ -133,7 +133,7 @@ class _Records:
             self._open.close()
             self._member_key = self._archive_key = None
             self._file = self._open.enter_context(open_input(path))
-            self._archive = self._open.enter_context(zipfile.ZipFile(self._file))
+            self._archive = self._open.enter_context(open_zip(self._file, path))
             self._archive_key = path
         if filename != self._member_key:
             self._member_key = None
