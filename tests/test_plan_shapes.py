@@ -11,7 +11,7 @@ from workload import tables as tb
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def plan_of(df, **conf):
+def plan_of(df):
     spark = df.sparkSession
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -25,8 +25,10 @@ def exchanges(plan):
 
 
 def test_pointers_shuffle_each_side_once(spark):
-    pages = tb.seed_pages(spark, SF_DIR)
-    plan = plan_of(ops.record_pointers(pages, tb.html_shop_captures(spark, SF_DIR)))
+    crawl = F.substring("url", 9, 4)  # not a literal, which Spark would fold away
+    pages = tb.seed_pages(spark, SF_DIR).withColumn("wacz_path", crawl)
+    cdx = tb.html_shop_captures(spark, SF_DIR).withColumn("wacz_path", crawl)
+    plan = plan_of(ops.record_pointers(pages, cdx))
     assert exchanges(plan) == 2 and plan.count("partial_max_by") == 2
     assert "PushedFilters" in plan and "l_comment" not in plan
 
