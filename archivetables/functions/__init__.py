@@ -14,6 +14,7 @@ from archivetables.functions.columns import (
     utf8_text,
     w3c_timestamp,
     with_json_object,
+    with_key_hash,
 )
 
 __all__ = [
@@ -30,4 +31,5 @@ __all__ = [
     "utf8_text",
     "w3c_timestamp",
     "with_json_object",
+    "with_key_hash",
 ]

@@ -114,6 +114,15 @@ def keep_last_rank(
     return F.struct(*keys)
 
 
+def with_key_hash(df: DataFrame, *keys: str) -> DataFrame:
+    """Add ``key_hash``, to lead the keys of joins and groupings that sort.
+
+    Archive paths and URLs begin alike by the million; sorted by them alone, almost every
+    comparison walks through the common beginning. A leading number settles it at once.
+    """
+    return df.withColumn("key_hash", F.xxhash64(*keys))
+
+
 # pieces of a URL: scheme, authority, path
 URL_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
 

@@ -15,6 +15,7 @@ from archivetables.functions import (
     offset_number,
     utf8_text,
     with_json_object,
+    with_key_hash,
 )
 
 # fixed values: what the crawl's own page list and index are filtered by
@@ -22,6 +23,7 @@ SITEMAP_SUFFIXES = ["sitemap.html", "sitemap.xml"]
 HTML_MIME = "text/html"
 
 KEYS = ["wacz_path", "url"]
+HASHED_KEYS = ["key_hash", *KEYS]
 CDX_FIELDS = ["url", "mime", "status", "digest", "length", "offset", "filename"]
 
 
@@ -116,39 +118,55 @@ def join_captures(pages: DataFrame, cdx: DataFrame, keep_uncaptured: bool = Fals
 
     Pages without a capture that names a WARC file are dropped, unless ``keep_uncaptured``.
     """
-    if keep_uncaptured:
-        return pages.join(cdx, KEYS, "left")
-    return pages.join(cdx.where("filename IS NOT NULL"), KEYS, "inner")
+    how = "left" if keep_uncaptured else "inner"
+    captured = cdx if keep_uncaptured else cdx.where("filename IS NOT NULL")
+    left, right = with_key_hash(pages, *KEYS), with_key_hash(captured, *KEYS)
+    return left.join(right, HASHED_KEYS, how).drop("key_hash")
 
 
 def _last_page(pages: DataFrame, *extra: Column) -> DataFrame:
     """One row per URL: the title of its last row, extra pages after seed pages."""
-    position = F.struct(F.col("pages_file").like("%extraPages%"), F.col("line_pos"), F.col("title"))
-    return pages.groupBy(*KEYS).agg(F.max_by("title", position).alias("title"), *extra)
+    last = F.struct(F.col("pages_file").like("%extraPages%"), "line_pos", "title")
+    rows = with_key_hash(pages, *KEYS).groupBy(*HASHED_KEYS)
+    return rows.agg(F.max(last)["title"].alias("title"), *extra)
 
 
 def _last_capture(cdx: DataFrame, offset_order: str, *extra: Column) -> DataFrame:
-    pointer = F.struct("filename", "offset", "length", "offset_num")
+    """One row per URL: the pointer of its last capture, read off the sort key itself."""
     rank = keep_last_rank("offset", "filename", "length", order=offset_order)
-    last = (
-        cdx.where("filename IS NOT NULL")
-        .groupBy(*KEYS)
-        .agg(F.max_by(pointer, rank).alias("pointer"), *extra)
-    )
-    return last.select("*", "pointer.*").drop("pointer")
+    rows = with_key_hash(cdx.where("filename IS NOT NULL"), *KEYS).groupBy(*HASHED_KEYS)
+    last = F.col("last")
+    return rows.agg(F.max(rank).alias("last"), *extra).select(
+        "*",
+        last["tie_0"].alias("filename"),
+        last["text"].alias("offset"),
+        last["tie_1"].alias("length"),
+        offset_number(last["text"]).alias("offset_num"),
+    ).drop("last")
 
 
 def record_pointers(
-    pages: DataFrame, cdx: DataFrame, offset_order: str = "numeric"
+    pages: DataFrame,
+    cdx: DataFrame,
+    offset_order: str = "numeric",
+    excluded: DataFrame | None = None,
 ) -> DataFrame:
     """One pointer per page URL, to its last capture: what joining all captures and then
     keeping the last offset gives.
 
     Each side is cut to one row per URL before the join, partly before the shuffle, so
     a URL that holds a third of all captures or page rows costs one row per task and the
-    join never multiplies. Both sides and the join share one partitioning.
+    join never multiplies. Both sides and the join share one partitioning; so do
+    ``excluded`` rows of archive and URL, while ``excluded`` URLs without an archive hold
+    for all of them and take a shuffle by URL.
     """
-    return _last_page(pages).join(_last_capture(cdx, offset_order), KEYS)
+    pointers = _last_page(pages).join(_last_capture(cdx, offset_order), HASHED_KEYS)
+    if excluded is not None and "wacz_path" in excluded.columns:
+        keys = with_key_hash(excluded.select(*KEYS), *KEYS)
+        pointers = pointers.join(keys, HASHED_KEYS, "left_anti")
+    elif excluded is not None:
+        pointers = pointers.join(excluded.select("url"), "url", "left_anti")
+    return pointers.select(*KEYS, "title", "filename", "offset", "length", "offset_num")
 
 
 def match_urls(
@@ -165,10 +183,10 @@ def match_urls(
     found_cdx = _last_capture(
         cdx.join(wanted, "url", "left_semi"), offset_order, count.alias("n_captures")
     )
-    hits = found_pages.join(found_cdx, KEYS).withColumn(
+    hits = found_pages.join(found_cdx, HASHED_KEYS).withColumn(
         "match_count", F.col("n_pages") * F.col("n_captures")
     )
     return (
-        wanted.join(hits.drop("n_pages", "n_captures"), "url", "left")
+        wanted.join(hits.drop("n_pages", "n_captures", "key_hash"), "url", "left")
         .withColumn("match_count", F.coalesce("match_count", F.lit(0)))
     )

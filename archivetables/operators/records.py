@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from archivetables import schemas
-from archivetables.functions import base64_text, header_map, keep_last_rank
+from archivetables.functions import base64_text, header_map, keep_last_rank, with_key_hash
 
 
 def active_records(fetched: DataFrame, *keep: str) -> DataFrame:
@@ -38,13 +38,10 @@ def deleted_urls(previous: DataFrame, current: DataFrame) -> DataFrame:
     out before the shuffle.
     """
     keys = [c for c in ("wacz_path", "url") if c in previous.columns and c in current.columns]
-    gone = (
-        previous.select(*keys)
-        .where("url <> ''")
-        .distinct()
-        .join(current.select(*keys).distinct(), keys, "left_anti")
-    )
-    return gone.withColumn("status", F.lit("deleted"))
+    before = with_key_hash(previous.select(*keys).where("url <> ''"), *keys).distinct()
+    now = with_key_hash(current.select(*keys), *keys).distinct()
+    gone = before.join(now, ["key_hash", *keys], "left_anti")
+    return gone.select(*keys, F.lit("deleted").alias("status"))
 
 
 def append_deletes(active: DataFrame, deletes: DataFrame) -> DataFrame:
@@ -75,7 +72,9 @@ def drop_duplicate_urls(
     so no URL is too frequent.
     """
     rank = _rank(offset, offset_order, prefer, tie_breaks)
-    last = records.groupBy(*keys).agg(F.max_by(F.struct("*"), rank).alias("last"))
+    row = F.struct(*records.columns)
+    groups = with_key_hash(records, *keys).groupBy("key_hash", *keys)
+    last = groups.agg(F.max_by(row, rank).alias("last"))
     return last.select(*(F.col("last")[c].alias(c) for c in records.columns))
 
 
@@ -90,11 +89,12 @@ def drop_duplicate_urls_window(
     """``drop_duplicate_urls`` as a ranking. The filter on the first row lets Spark drop
     all but one row per key before the shuffle as well."""
     rank = _rank(offset, offset_order, prefer, tie_breaks)
-    window = Window.partitionBy(*keys).orderBy(rank.desc())
+    window = Window.partitionBy("key_hash", *keys).orderBy(rank.desc())
     return (
-        records.withColumn("row_number", F.row_number().over(window))
+        with_key_hash(records, *keys)
+        .withColumn("row_number", F.row_number().over(window))
         .where("row_number = 1")
-        .drop("row_number")
+        .drop("row_number", "key_hash")
     )
 
 

@@ -53,13 +53,11 @@ def records_from_tables(
     """
     if prefer not in ("deleted", "active"):
         raise ValueError(f"prefer must be 'deleted' or 'active': {prefer!r}")
-    pointers = record_pointers(pages, cdx, offset_order)
-    if deletes is not None:
+    excluded = deletes if prefer == "deleted" else None
+    pointers = record_pointers(pages, cdx, offset_order, excluded)
+    if deletes is not None and prefer == "active":
         keys = [c for c in KEYS if c in deletes.columns]
-        if prefer == "deleted":
-            pointers = pointers.join(deletes.select(*keys), keys, "left_anti")
-        else:
-            deletes = deletes.join(pointers.select(*keys), keys, "left_anti")
+        deletes = deletes.join(pointers.select(*keys), keys, "left_anti")
     records = active_records(
         fetch_warc(pointers, strict, partitions),
         "wacz_path",

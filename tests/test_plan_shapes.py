@@ -29,7 +29,7 @@ def test_pointers_shuffle_each_side_once(spark):
     pages = tb.seed_pages(spark, SF_DIR).withColumn("wacz_path", crawl)
     cdx = tb.html_shop_captures(spark, SF_DIR).withColumn("wacz_path", crawl)
     plan = plan_of(ops.record_pointers(pages, cdx))
-    assert exchanges(plan) == 2 and plan.count("partial_max_by") == 2
+    assert exchanges(plan) == 2 and plan.count("partial_max(") == 2
     assert "PushedFilters" in plan and "l_comment" not in plan
 
 
@@ -51,7 +51,7 @@ def test_payload_is_read_after_dedup_and_never_shuffled(spark):
     plan = plan_of(records_from_tables(pages, cdx, deletes))
     above, below = plan.split("MapInArrow", 1)
     assert not re.search(r"\bExchange ", above)
-    assert "REPARTITION_BY_NUM" in below and "LeftAnti" in below and "max_by" in below
+    assert "REPARTITION_BY_NUM" in below and "LeftAnti" in below and "max(" in below
 
 
 def test_index_text_is_parsed_once(spark):
