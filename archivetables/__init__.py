@@ -11,7 +11,7 @@ from archivetables.plans import (
     scan_pages,
     write_harvest,
 )
-from archivetables.session import build_session
+from archivetables.session import build_session, ship_package
 from archivetables.sinks import write_records
 from archivetables.sources import fetch_warc, list_archives, wacz_members
 
@@ -27,6 +27,7 @@ __all__ = [
     "scan_cdx",
     "scan_crawl_logs",
     "scan_pages",
+    "ship_package",
     "wacz_members",
     "write_harvest",
     "write_records",

@@ -23,7 +23,7 @@ def strip(text: Column | str) -> Column:
 
 def base64_text(data: Column | str) -> Column:
     """Base64 on one line, whatever ``spark.sql.chunkBase64String.enabled`` says."""
-    return F.translate(F.base64(_column(data)), "\r\n", "")
+    return F.replace(F.base64(_column(data)), F.lit("\r\n"), F.lit(""))
 
 
 def utf8_text(data: Column | str, strict: bool = True) -> Column:

@@ -17,7 +17,6 @@ from archivetables.operators.records import (
     order_by_offset,
 )
 from archivetables.plans.archive_tables import Paths, scan_cdx, scan_pages, scan_problems
-from archivetables.session import partitions_for
 from archivetables.sources.archives import archive_bytes, list_archives
 from archivetables.sources.url_lists import read_previous_url_list, read_url_list
 from archivetables.sources.warc import fetch_warc
@@ -42,14 +41,14 @@ def records_from_tables(
     prefer: str = "deleted",
     strict: bool = True,
     keep_crawl: bool = False,
-    partitions: int | None = None,
+    n_bytes: int = 0,
 ) -> DataFrame:
     """Records from page rows, HTML captures and, if any, deleted URLs.
 
     Duplicates are settled on the pointers, so that only captures which become records are
     read, and payloads never pass a shuffle. Offsets order captures within an archive
     only, so the unit of deduplication is (archive, URL). Deletes without ``wacz_path``
-    hold for the URL in every archive.
+    hold for the URL in every archive. ``n_bytes`` is the size of the archives, if known.
     """
     if prefer not in ("deleted", "active"):
         raise ValueError(f"prefer must be 'deleted' or 'active': {prefer!r}")
@@ -59,7 +58,7 @@ def records_from_tables(
         keys = [c for c in KEYS if c in deletes.columns]
         deletes = deletes.join(pointers.select(*keys), keys, "left_anti")
     records = active_records(
-        fetch_warc(pointers, strict, partitions),
+        fetch_warc(pointers, strict, n_bytes),
         "wacz_path",
         *([] if strict else ["payload_problem"]),
     )
@@ -111,7 +110,7 @@ def generate_records(
         prefer=prefer,
         strict=strict,
         keep_crawl=keep_crawl,
-        partitions=partitions_for(spark, size),
+        n_bytes=size,
     )
     if ordered:
         records = order_by_offset(records, offset_order)
@@ -151,7 +150,7 @@ def content_by_url(
     single = found.where("match_count = 1")
     other = found.where("match_count <> 1").select("url", "wacz_path", "match_count")
     payload = F.col("payload")
-    fetched = fetch_warc(single, partitions=partitions_for(spark, size)).select(
+    fetched = fetch_warc(single, n_bytes=size).select(
         "url",
         "wacz_path",
         "match_count",

@@ -3,8 +3,10 @@ folder every intermediate table or checkpoint goes to."""
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,20 @@ def build_session(app_name: str = "archivetables", **settings: str) -> SparkSess
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, where it is not installed there."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).parent
+        name = Path(tempfile.mkdtemp(prefix="archivetables-")) / package.name
+        packed = shutil.make_archive(str(name), "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(packed)  # Spark carries it from the driver to all tasks
+        _shipped.add(application)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -23,7 +23,10 @@ from archivetables.session import partitions_for
 from archivetables.sources.archives import WARC_DIR
 from archivetables.sources.storage import open_input, open_member, open_zip
 
-BLOCK_BYTES = 64 << 20
+# a task reads many blocks, so that blocks of any hash even out, and a block many records
+BLOCK_BYTES = 16 << 20
+MIN_BLOCK_BYTES = 1 << 20
+BLOCKS_PER_TASK = 16
 BATCH_BYTES = 32 << 20
 
 HEADERS_ARROW = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
@@ -36,17 +39,22 @@ class ArchiveReadError(RuntimeError):
 def fetch_warc(
     pointers: DataFrame,
     strict: bool = True,
+    n_bytes: int = 0,
     partitions: int | None = None,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int | None = None,
     batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Add ``payload``, ``headers`` and ``payload_problem`` to pointer rows.
 
     Needs ``wacz_path``, ``filename`` and ``offset_num``; other columns pass through. The
     payload is the HTTP body without transfer and content encoding. A record that cannot
-    be read raises, or leaves a null payload and a problem when not ``strict``.
+    be read raises, or leaves a null payload and a problem when not ``strict``. ``n_bytes``,
+    the size of the archives, sets the number of tasks and the size of blocks.
     """
-    n = partitions or partitions_for(pointers.sparkSession)
+    n = partitions or partitions_for(pointers.sparkSession, n_bytes)
+    if block_bytes is None:
+        even = n_bytes // (n * BLOCKS_PER_TASK) if n_bytes else BLOCK_BYTES
+        block_bytes = max(MIN_BLOCK_BYTES, min(even, BLOCK_BYTES))
     path_at, file_at, offset_at = (
         pointers.columns.index(c) for c in ("wacz_path", "filename", "offset_num")
     )

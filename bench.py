@@ -12,6 +12,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from archivetables import ship_package
 from workload import tables
 from workload.queries import QUERIES
 
@@ -30,6 +31,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     spark.range(1000).selectExpr("sum(id)").collect()
 
     def timed(action):

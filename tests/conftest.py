@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from archivetables import ship_package  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,5 +21,6 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     yield session
     session.stop()
