@@ -13,10 +13,14 @@ from archivetables.operators.captures import (
     without_sitemap_pages,
 )
 from archivetables.operators.crawl_log import (
+    CrawlFailedError,
+    NoValidSeedsError,
     crawl_fatal,
     crawl_log_lines,
     crawl_status,
+    first_fatal,
     last_statuses,
+    raise_if_fatal,
     sample_statuses,
 )
 from archivetables.operators.quality import archive_problems, pipeline_counts
@@ -40,6 +44,8 @@ from archivetables.operators.sitemaps import (
 )
 
 __all__ = [
+    "CrawlFailedError",
+    "NoValidSeedsError",
     "active_records",
     "append_deletes",
     "archive_problems",
@@ -53,6 +59,7 @@ __all__ = [
     "drop_duplicate_urls",
     "drop_duplicate_urls_window",
     "filter_by_date",
+    "first_fatal",
     "html_captures",
     "join_captures",
     "last_statuses",
@@ -62,6 +69,7 @@ __all__ = [
     "parse_cdx",
     "parse_pages",
     "pipeline_counts",
+    "raise_if_fatal",
     "reachable_sitemaps",
     "record_pointers",
     "response_header_values",

@@ -120,3 +120,32 @@ def crawl_fatal(log: DataFrame) -> DataFrame:
         kind.alias("class"),
         F.when(F.col("is_fatal"), F.coalesce(message, "line")).alias("message"),
     )
+
+
+class CrawlFailedError(RuntimeError):
+    """The crawl ended on a fatal log line."""
+
+
+class NoValidSeedsError(CrawlFailedError):
+    """The crawl had nothing to start from."""
+
+
+def first_fatal(log: DataFrame) -> DataFrame:
+    """The fatal line each log ended on, the first one, with its class and message."""
+    lines = crawl_fatal(log).where(F.col("class") != "ok")
+    first = F.min(F.struct("line_no", "class", "message"))
+    return lines.groupBy("path").agg(first.alias("first")).select("path", "first.*")
+
+
+def raise_if_fatal(log: DataFrame) -> None:
+    """Raise if a log has a fatal line: ``NoValidSeedsError`` if it was for want of seeds
+    in all such logs, ``CrawlFailedError`` otherwise."""
+    by_class = first_fatal(log).groupBy("class").agg(
+        F.count("*").alias("logs"), F.min(F.struct("path", "message")).alias("example")
+    )
+    found = {r["class"]: f"{r.logs} logs, {r.example.path}: {r.example.message}"
+             for r in by_class.collect()}
+    if set(found) == {"no_valid_seeds"}:
+        raise NoValidSeedsError(found["no_valid_seeds"])
+    if found:
+        raise CrawlFailedError("; ".join(f"{kind}: {text}" for kind, text in sorted(found.items())))

@@ -51,3 +51,18 @@ def test_fatal_classes(spark):
         ("fatal", '{"logLevel":"fatal"}'), ("unparsable", '{"logLevel":"fatal" cut'),
         ("ok", None), ("ok", None),
     ]
+
+
+def test_first_fatal_decides(spark):
+    seeds = '{"logLevel":"fatal","message":"No valid seeds specified"}'
+    disk = '{"logLevel":"fatal","message":"disk"}'
+    got = ops.first_fatal(log(spark, ["x", seeds, disk], ["ok"], [disk, seeds])).collect()
+    assert {(r.path, r.line_no, r["class"]) for r in got} == {
+        ("log0", 1, "no_valid_seeds"), ("log2", 0, "fatal"),
+    }
+    ops.raise_if_fatal(log(spark, ["ok"]))
+    with pytest.raises(ops.NoValidSeedsError, match="1 logs, log0: No valid seeds"):
+        ops.raise_if_fatal(log(spark, [seeds, disk]))
+    with pytest.raises(ops.CrawlFailedError, match="fatal: 1 logs, log0: disk") as error:
+        ops.raise_if_fatal(log(spark, [disk], [seeds]))
+    assert not isinstance(error.value, ops.NoValidSeedsError)

@@ -543,6 +543,22 @@ def crawl_fatal(spark, sf_dir):
     return ops.crawl_fatal(tb.crawl_log(spark, sf_dir))
 
 
+FATAL_CLASS = """CASE WHEN amount < 100 THEN 'unparsable'
+                WHEN amount < 1000 THEN 'no_valid_seeds' ELSE 'fatal' END"""
+
+
+@query(
+    f"""WITH {sql.CRAWL_LOG}
+    SELECT path, line_no, class FROM (
+      SELECT path, line_no, {FATAL_CLASS} AS class,
+             row_number() OVER (PARTITION BY path ORDER BY line_no) AS rn
+      FROM log_parts WHERE event_type = 'error')
+    WHERE rn = 1"""
+)
+def crawl_first_fatal(spark, sf_dir):
+    return ops.first_fatal(tb.crawl_log(spark, sf_dir)).select("path", "line_no", "class")
+
+
 # real archives
 
 
