@@ -66,11 +66,12 @@ def with_json_object(df: DataFrame, text: Column | str, fields: str, name: str)
 def cdx_json(line: Column | str) -> Column:
     """The JSON part of an index line ``<key> <timestamp> <json>``, null when missing.
 
-    A line that ends with a brace has no white space there to cut, which spares most lines
-    the costlier half of stripping.
+    A line from a visible ASCII character to a brace has no white space to cut, which
+    spares most lines the costlier test.
     """
     text = _column(line)
-    text = F.when(text.endswith("}"), F.ltrim(text, F.lit(WHITE_SPACE))).otherwise(strip(text))
+    visible = F.ascii(text).between(33, 126) & text.endswith("}")
+    text = F.when(visible, text).otherwise(strip(text))
     return F.get(F.split(text, " ", 3), F.lit(2))
 
 

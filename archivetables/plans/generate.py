@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from archivetables.functions import utf8_text
@@ -85,12 +85,17 @@ def generate_records(
     strict: bool = True,
     check_archives: bool = False,
     keep_crawl: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """One record per page of the archives, and one per URL that vanished.
 
     The URL lists are DataFrames with ``url`` or paths of text files. Vanished URLs need
     both. ``check_archives`` reads the page lists and indexes once beforehand and raises
-    for archives that lack either.
+    for archives that lack either. ``observation`` receives the counts ``records`` and
+    ``deleted`` when the result is computed.
+
+    ``ordered`` sends the payloads through a shuffle, and Spark samples what it sorts: for
+    large crawls, write the records first and sort what was written.
     """
     if check_archives:
         problems = scan_problems(spark, wacz_paths).limit(20).collect()
@@ -112,6 +117,12 @@ def generate_records(
         keep_crawl=keep_crawl,
         n_bytes=size,
     )
+    if observation is not None:
+        records = records.observe(
+            observation,
+            F.count(F.lit(1)).alias("records"),
+            F.count_if(F.col("status") == "deleted").alias("deleted"),
+        )
     if ordered:
         records = order_by_offset(records, offset_order)
     first = ["wacz_path"] if keep_crawl else []

@@ -2,6 +2,7 @@ import base64
 import logging
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from archivetables import content_by_url, generate_records, harvest_tables, write_harvest
@@ -54,6 +55,13 @@ def test_records(spark, crawl):
     assert {r.status for r in rows.values()} == {"active"}
 
 
+def test_counts_of_a_run(spark, crawl):
+    counts = Observation()
+    gone = spark.createDataFrame([("u1",), ("x",)], "url string")
+    generate_records(spark, crawl, gone.limit(0), gone, observation=counts).collect()
+    assert counts.get == {"records": 4, "deleted": 2}
+
+
 def test_lexicographic_order(spark, crawl):
     rows = {r.url: r for r in generate_records(spark, crawl, offset_order="lexicographic").collect()}
     offsets = {r.offset for r in scan_cdx(spark, crawl).where("url = 'u1'").collect()}
