@@ -27,13 +27,17 @@ HASHED_KEYS = ["key_hash", *KEYS]
 CDX_FIELDS = ["url", "mime", "status", "digest", "length", "offset", "filename"]
 
 
-def parse_pages(lines: DataFrame) -> DataFrame:
-    """Page rows from the lines of page lists.
+def parse_pages(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """Page rows from the lines of page lists; lines that hold no JSON object are left out,
+    or raise when ``strict``.
 
     The first line of every list is its header and is skipped, whatever it holds. ``raw``
     keeps the whole object as VARIANT, for the fields beyond the declared ones.
     """
     rows = with_json_object(_page_lines(lines), "text", schemas.PAGE_JSON, "page")
+    if strict:
+        place = F.concat_ws(" ", F.lit("malformed page line:"), "wacz_path", "member", "line_pos")
+        rows = rows.withColumn("page", F.coalesce("page", F.raise_error(place)))
     return rows.where("page IS NOT NULL").select(
         "wacz_path",
         F.col("member").alias("pages_file"),

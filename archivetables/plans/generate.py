@@ -16,8 +16,14 @@ from archivetables.operators.records import (
     deleted_urls,
     order_by_offset,
 )
-from archivetables.plans.archive_tables import Paths, scan_cdx, scan_pages, scan_problems
-from archivetables.sources.archives import archive_bytes, list_archives
+from archivetables.plans.archive_tables import (
+    Paths,
+    listed,
+    scan_cdx,
+    scan_pages,
+    scan_problems,
+)
+from archivetables.sources.archives import archive_bytes
 from archivetables.sources.url_lists import read_previous_url_list, read_url_list
 from archivetables.sources.warc import fetch_warc
 
@@ -97,8 +103,9 @@ def generate_records(
     ``ordered`` sends the payloads through a shuffle, and Spark samples what it sorts: for
     large crawls, write the records first and sort what was written.
     """
+    archives = listed(spark, wacz_paths)
     if check_archives:
-        problems = scan_problems(spark, wacz_paths).limit(20).collect()
+        problems = scan_problems(spark, archives).limit(20).collect()
         if problems:
             raise ArchiveProblemError("; ".join(f"{r.wacz_path}: {r.problem}" for r in problems))
     deletes = None
@@ -106,10 +113,10 @@ def generate_records(
         deletes = deleted_urls(
             _url_list(spark, previous_urls, previous=True), _url_list(spark, current_urls)
         )
-    size = archive_bytes(list_archives(spark, wacz_paths))
+    size = archive_bytes(archives)
     records = records_from_tables(
-        scan_pages(spark, wacz_paths, strict, size),
-        scan_cdx(spark, wacz_paths, strict, size),
+        scan_pages(spark, archives, strict, size),
+        scan_cdx(spark, archives, strict, size),
         deletes,
         offset_order=offset_order,
         prefer=prefer,
@@ -146,25 +153,19 @@ def content_by_url(
         wanted = urls
     else:
         wanted = spark.createDataFrame([(u,) for u in urls], "url string")
-    size = archive_bytes(list_archives(spark, wacz_paths))
+    archives = listed(spark, wacz_paths)
+    size = archive_bytes(archives)
     found = match_urls(
         wanted,
-        scan_pages(spark, wacz_paths, n_bytes=size),
-        scan_cdx(spark, wacz_paths, n_bytes=size),
+        scan_pages(spark, archives, n_bytes=size),
+        scan_cdx(spark, archives, n_bytes=size),
     )
+    is_single = F.col("match_count") == 1
     if strict:
-        message = F.concat(F.lit("URL has not one match but "), F.col("match_count"),
-                           F.lit(": "), F.col("url"))
-        found = found.where(
-            F.when(F.col("match_count") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
-        )
-    single = found.where("match_count = 1")
-    other = found.where("match_count <> 1").select("url", "wacz_path", "match_count")
+        message = F.concat_ws(" ", F.lit("URL has not one match but"), "match_count", "url")
+        is_single = F.coalesce(F.nullif(is_single, F.lit(False)), F.raise_error(message))
+    pointers = found.withColumn("filename", F.when(is_single, F.col("filename")))
     payload = F.col("payload")
-    fetched = fetch_warc(single, n_bytes=size).select(
-        "url",
-        "wacz_path",
-        "match_count",
-        (utf8_text(payload) if decode else payload).alias("content"),
-    )
-    return fetched.unionByName(other, allowMissingColumns=True)
+    content = utf8_text(payload) if decode else payload
+    fetched = fetch_warc(pointers, n_bytes=size)
+    return fetched.select("url", "wacz_path", "match_count", content.alias("content"))

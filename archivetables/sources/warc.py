@@ -47,8 +47,8 @@ def fetch_warc(
     """Add ``payload``, ``headers`` and ``payload_problem`` to pointer rows.
 
     Needs ``wacz_path``, ``filename`` and ``offset_num``; other columns pass through. The
-    payload is the HTTP body without transfer and content encoding. A record that cannot
-    be read raises, or leaves a null payload and a problem when not ``strict``. ``n_bytes``,
+    payload is the HTTP body without transfer and content encoding. A row without a file
+    name points nowhere and gets a null payload. A record that cannot be read raises, or leaves a null payload and a problem when not ``strict``. ``n_bytes``,
     the size of the archives, sets the number of tasks and the size of blocks.
     """
     n = partitions or partitions_for(pointers.sparkSession, n_bytes)
@@ -79,7 +79,7 @@ def fetch_warc(
                 found, size, first = [], 0, 0
                 for key in keys:
                     record = records.read(*key)
-                    if strict and record[0] is None:
+                    if strict and record[0] is None and record[2]:
                         raise ArchiveReadError(f"{record[2]}: {key}")
                     found.append(record)
                     size += len(record[0] or b"")
@@ -126,7 +126,7 @@ class _Records:
     def __exit__(self, *error: object) -> None:
         self._open.close()
 
-    def read(self, path: str, filename: str, offset: int) -> tuple:
+    def read(self, path: str, filename: str | None, offset: int | None) -> tuple:
         """``(payload, headers, problem)``; repeated pointers are read once."""
         if (path, filename, offset) != self._record_key:
             self._record_key = (path, filename, offset)
@@ -136,7 +136,11 @@ class _Records:
                 self._record = (None, None, f"unreadable record: {error}")
         return self._record
 
-    def _read(self, path: str, filename: str, offset: int) -> tuple:
+    def _read(self, path: str, filename: str | None, offset: int | None) -> tuple:
+        if filename is None:
+            return None, None, None
+        if offset is None or offset < 0:
+            return None, None, "no record position"
         if path != self._archive_key:
             self._open.close()
             self._member_key = self._archive_key = None
@@ -151,8 +155,6 @@ class _Records:
             except KeyError:
                 return None, None, "no such WARC file"
             self._member_key = filename
-        if offset is None or offset < 0:
-            return None, None, "no record position"
         self._member.seek(offset)
         return http_payload(_ByteStream(self._member))
 

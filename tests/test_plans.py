@@ -137,6 +137,15 @@ def test_broken_pointers(spark, tmp_path):
     }
 
 
+def test_malformed_page_line(spark, tmp_path):
+    write_archive(tmp_path / "a.wacz", {SEEDS: page_list({"url": "u"}) + "{bad\n", CDXJ: cdx_line("x")})
+    with pytest.raises(Exception, match="malformed page line: .*a.wacz pages/pages.jsonl"):
+        scan_pages(spark, str(tmp_path)).collect()
+    assert [r.url for r in scan_pages(spark, str(tmp_path), strict=False).collect()] == ["u"]
+    with pytest.raises(Exception, match="malformed page line"):
+        generate_records(spark, str(tmp_path)).collect()
+
+
 def test_incomplete_archives_are_named(spark, tmp_path):
     write_archive(tmp_path / "empty.wacz", {SEEDS: page_list()})
     with pytest.raises(ArchiveProblemError, match="no index lines"):
@@ -149,7 +158,7 @@ def test_content_by_url(spark, crawl):
     assert {u: (r.match_count, r.content) for u, r in rows.items()} == {
         "u1": (2, None), "u2": (2, None), "u4": (2, None), "u5": (0, None), "nowhere": (0, None),
     }
-    with pytest.raises(Exception, match="URL has not one match but 0: nowhere"):
+    with pytest.raises(Exception, match="URL has not one match but 0 nowhere"):
         content_by_url(spark, crawl, ["nowhere"], strict=True).collect()
 
 
