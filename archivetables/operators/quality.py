@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.operators.captures import KEYS
+from archivetables.functions import with_key_hash
+from archivetables.operators.captures import HASHED_KEYS, KEYS
 
 
-def archive_problems(archives: DataFrame, members: DataFrame, pages: DataFrame,
-                     cdx_lines: DataFrame) -> DataFrame:
+def archive_problems(
+    archives: DataFrame, members: DataFrame, pages: DataFrame, cdx_lines: DataFrame
+) -> DataFrame:
     """What archives lack: rows ``wacz_path, problem``; complete archives have none.
 
     ``pages`` are the rows of the page lists before any filter, ``cdx_lines`` the raw
@@ -32,34 +34,31 @@ def archive_problems(archives: DataFrame, members: DataFrame, pages: DataFrame,
     )
 
 
-def _rows(df: DataFrame, stage: str, n=None) -> DataFrame:
-    return df.agg(F.coalesce(n if n is not None else F.count(F.lit(1)), F.lit(0)).alias("n_rows")).select(
-        F.lit(stage).alias("stage"), "n_rows"
-    )
-
+def pipeline_counts(
+    pages: DataFrame, cdx: DataFrame, deletes: DataFrame | None = None
+) -> DataFrame:
+    """Rows ``stage, n_rows``: pages, captures, joined rows, pages with a record, deletes.
 
-def pipeline_counts(pages: DataFrame, cdx: DataFrame, deletes: DataFrame | None = None) -> DataFrame:
-    """Rows of each stage: pages, captures, joined rows, pages with a record, deletes.
-
-    The joined rows are counted from the row counts per URL, without joining rows.
+    All follow from the rows per URL, so each table is read once and no rows are joined.
     """
-    per_url = (
-        pages.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_pages"))
-        .join(
-            cdx.where("filename IS NOT NULL").groupBy(*KEYS)
-            .agg(F.count(F.lit(1)).alias("n_captures")),
-            KEYS,
-        )
+    one = F.lit(1)
+    per_page = with_key_hash(pages, *KEYS).groupBy(*HASHED_KEYS).agg(F.count(one).alias("n_pages"))
+    per_capture = (
+        with_key_hash(cdx, *KEYS)
+        .groupBy(*HASHED_KEYS)
+        .agg(F.count(one).alias("n_captures"), F.count("filename").alias("n_pointers"))
+    )
+    joined = F.col("n_pages") * F.col("n_pointers")
+    stages = {
+        "pages": F.sum("n_pages"),
+        "captures": F.sum("n_captures"),
+        "joined": F.sum(joined),
+        "records": F.count_if(joined > 0),
+    }
+    totals = per_page.join(per_capture, HASHED_KEYS, "full").agg(
+        *(F.coalesce(n, F.lit(0)).alias(stage) for stage, n in stages.items())
     )
-    counts = [
-        _rows(pages, "pages"),
-        _rows(cdx, "captures"),
-        _rows(per_url, "joined", F.sum(F.col("n_pages") * F.col("n_captures"))),
-        _rows(per_url, "records"),
-    ]
+    counts = totals.unpivot([], list(stages), "stage", "n_rows")
     if deletes is not None:
-        counts.append(_rows(deletes, "deletes"))
-    result = counts[0]
-    for part in counts[1:]:
-        result = result.union(part)
-    return result
+        counts = counts.union(deletes.agg(F.count(one)).select(F.lit("deletes"), "*"))
+    return counts

@@ -41,7 +41,8 @@ def harvest_tables(
 ) -> HarvestTables:
     """URL lists from sitemap documents and records from archives.
 
-    With ``roots`` only documents reachable from them count. Vanished URLs are those the
+    With ``roots`` only documents reachable from them count; the sitemap tree is walked, in
+    Spark jobs, when this is called. Vanished URLs are those the
     previous list has and the unfiltered current one lacks: with the date-limited list
     every unmodified page would count as vanished. Without sitemaps there is no current
     list, hence nothing vanished.

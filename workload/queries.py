@@ -252,6 +252,21 @@ def deleted_urls(spark, sf_dir):
     return ops.deleted_urls(read_url_list(spark, previous), read_url_list(spark, current))
 
 
+@query(
+    """SELECT 'https://shop.example.com/part/' || l_partkey || '/' || l_quantity::BIGINT AS url,
+              'deleted' AS status
+    FROM (SELECT l_partkey, l_quantity FROM lineitem WHERE l_returnflag <> 'N'
+          EXCEPT SELECT l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'N')"""
+)
+def deleted_urls_anti(spark, sf_dir):
+    """Lists with many repeated lines."""
+    lines = tb.table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("/", tb.part_url("l_partkey"), F.col("l_quantity").cast("bigint")).alias("url"),
+        "l_returnflag",
+    )
+    return ops.deleted_urls(lines.where("l_returnflag <> 'N'"), lines.where("l_returnflag = 'N'"))
+
+
 @query(
     """SELECT 'c' || o_custkey AS wacz_path, '/' || month AS url, 'deleted' AS status FROM (
       SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders
