@@ -8,7 +8,7 @@ from __future__ import annotations
 from datetime import UTC, datetime
 
 from dateutil import parser as date_parser
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from archivetables import schemas
@@ -18,6 +18,8 @@ from archivetables.session import checkpoint_root
 # how deep sitemap indexes may nest; a rule against endless chains
 MAX_DEPTH = 11
 
+ROBOTS_FILE = "/robots.txt"
+WEB_ADDRESS = r"(?i)^\s*https?://[^/\s]"
 ROBOTS_SITEMAP = r"(?im)^\s*sitemap:\s*(\S+)"
 
 
@@ -29,37 +31,66 @@ def sitemap_roots(sitemaps: DataFrame, url: str = "sitemap_url") -> DataFrame:
     return sitemaps.select(site_root(url).alias("root"), site_path(url).alias("path")).distinct()
 
 
-def _parsed(docs: DataFrame, root_tag: str) -> DataFrame:
-    """Documents with this root tag, parsed; a text search spares the others the parser."""
-    xml = F.from_xml("body", schemas.SITEMAP_XML, {"ignoreNamespace": "true"})
-    return docs.where(F.col("body").contains(root_tag)).select("sitemap_url", xml.alias("xml"))
+def _has_root(tag: str) -> Column:
+    """A text search for the root tag, which spares other documents the XML parser."""
+    return F.col("body").rlike(r"^\s*<") & F.col("body").contains(tag)
+
+
+def _sitemap_xml() -> Column:
+    return F.from_xml("body", schemas.SITEMAP_XML, {"ignoreNamespace": "true"})
+
+
+def _feed_links() -> Column:
+    """Links of feed items. Of an Atom entry's links the one to itself, else the first."""
+    xml = F.from_xml("body", schemas.FEED_XML)
+
+    def own(link: Column) -> Column:
+        return F.lower(F.coalesce(link["_rel"], F.lit("self"))) == "self"
+
+    def entry_link(entry: Column) -> Column:
+        links = F.concat(F.filter(entry["link"], own), entry["link"])
+        return F.get(links, F.lit(0))["_href"]
+
+    items = F.coalesce(xml["channel"]["item"]["link"], F.array())
+    return F.concat(items, F.coalesce(F.transform(xml["entry"], entry_link), F.array()))
+
+
+def _undated(urls: Column) -> Column:
+    return F.transform(
+        urls, lambda url: F.struct(url.alias("loc"), F.lit(None).cast("string").alias("lastmod"))
+    )
 
 
 def sitemap_entries(docs: DataFrame) -> DataFrame:
-    """Pages the documents list: ``sitemap_url, url, last_modified``."""
-    entries = _parsed(docs, "urlset").select("sitemap_url", F.explode("xml.url").alias("entry"))
-    return entries.select(
+    """Pages the documents list: ``sitemap_url, url, last_modified``.
+
+    Documents are XML sitemaps, RSS or Atom feeds, or text with a URL per line; only the
+    first have dates. Each is read once, by the parser of its kind.
+    """
+    is_robots = F.col("sitemap_url").endswith(ROBOTS_FILE)
+    text_urls = F.filter(F.split("body", "\n"), lambda line: line.rlike(WEB_ADDRESS))
+    entries = (
+        F.when(_has_root("urlset"), _sitemap_xml()["url"])
+        .when(_has_root("<rss") | _has_root("<feed"), _undated(_feed_links()))
+        .when(~F.col("body").rlike(r"^\s*<") & ~is_robots, _undated(text_urls))
+    )
+    pages = docs.select("sitemap_url", F.explode(entries).alias("entry")).select(
         "sitemap_url",
         strip("entry.loc").alias("url"),
         w3c_timestamp("entry.lastmod").alias("last_modified"),
-    ).where("url <> ''")
+    )
+    return pages.where("url <> ''")
 
 
 def sitemap_links(docs: DataFrame) -> DataFrame:
     """Sitemaps that index documents and ``robots.txt`` files name:
     ``sitemap_url, linked_url``."""
-    is_robots = F.col("sitemap_url").endswith("/robots.txt")
-    named = (
-        _parsed(docs.where(~is_robots), "sitemapindex")
-        .select("sitemap_url", F.explode("xml.sitemap").alias("sitemap"))
-        .select("sitemap_url", F.col("sitemap.loc").alias("link"))
-    )
-    robots = docs.where(is_robots).select(
-        "sitemap_url",
-        F.explode(F.regexp_extract_all("body", F.lit(ROBOTS_SITEMAP), F.lit(1))).alias("link"),
-    )
+    links = F.when(
+        F.col("sitemap_url").endswith(ROBOTS_FILE),
+        F.regexp_extract_all("body", F.lit(ROBOTS_SITEMAP), F.lit(1)),
+    ).when(_has_root("sitemapindex"), _sitemap_xml()["sitemap"]["loc"])
     return (
-        named.union(robots)
+        docs.select("sitemap_url", F.explode(links).alias("link"))
         .select("sitemap_url", strip("link").alias("linked_url"))
         .where("linked_url <> ''")
     )

@@ -87,6 +87,30 @@ def test_entries(docs):
     }
 
 
+FEEDS = [
+    ("rss", "<?xml version='1.0'?><rss xmlns:atom='a'><channel><link>h/home</link><atom:link href='x' rel='self'/>"
+            "<item><link> h/1 </link><pubDate>Mon, 01 Jan 2024</pubDate></item><item><title>t</title></item>"
+            "<item><link>h/2</link></item></channel></rss>"),
+    ("atom", "<feed xmlns='http://www.w3.org/2005/Atom'><link href='h/home'/>"
+             "<entry><link rel='alternate' href='h/3'/><link rel='self' href='h/4'/></entry>"
+             "<entry><link rel='edit' href='h/5'/></entry><entry><link href='h/6'/></entry></feed>"),
+    ("text", "https://h/7\r\n HTTP://h/8 \n\nnot a page\nftp://h/9\nhttps://\n"),
+    ("h/robots.txt", "https://h/10\n"),
+    ("html", "<html><body>https://h/11</body></html>"),
+    ("empty", ""),
+]
+
+
+def test_feeds_and_text(spark):
+    docs = spark.createDataFrame(FEEDS, "sitemap_url string, body string")
+    rows = ops.sitemap_entries(docs).collect()
+    assert {(r.sitemap_url, r.url) for r in rows} == {
+        ("rss", "h/1"), ("rss", "h/2"), ("atom", "h/4"), ("atom", "h/5"), ("atom", "h/6"),
+        ("text", "https://h/7"), ("text", "HTTP://h/8"),
+    }
+    assert {r.last_modified for r in rows} == {None}
+
+
 def test_links_and_reachable(spark, docs):
     links = ops.sitemap_links(docs)
     assert {(r.sitemap_url, r.linked_url) for r in links.collect()} == {
