@@ -418,7 +418,7 @@ DATE_TEXT = "strftime(last_modified, '%Y-%m-%d %H:%M:%S') AS last_modified"
 
 def _dated(pages: DataFrame) -> DataFrame:
     return pages.withColumn(
-        "last_modified", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss")
+        "last_modified", tb.utc_text("last_modified", "yyyy-MM-dd HH:mm:ss")
     )
 
 
@@ -460,7 +460,7 @@ def sitemap_tree_pages(spark, sf_dir):
 def _shipments(spark, sf_dir):
     return tb.table(spark, sf_dir, "lineitem").select(
         tb.part_url("l_partkey").alias("url"),
-        F.col("l_shipdate").cast("timestamp").alias("last_modified"),
+        tb.utc("l_shipdate").alias("last_modified"),
     )
 
 

@@ -25,6 +25,15 @@ def text(*parts) -> F.Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
 
+def utc(time: str) -> F.Column:
+    """A stored time without zone, as the UTC time it means, in a session of any zone."""
+    return F.concat(F.col(time).cast("string"), F.lit("Z")).cast("timestamp")
+
+
+def utc_text(time: str, pattern: str) -> F.Column:
+    return F.date_format(F.to_utc_timestamp(time, F.current_timezone()), pattern)
+
+
 # the shop crawl: pages from part (seeds), supplier and customer (extra), captures from
 # lineitem
 
@@ -121,7 +130,7 @@ _documents: dict[tuple[str, str], str] = {}
 def order_sitemap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         text("https://c", F.col("o_custkey"), ".example.com/o/", F.col("o_orderkey")).alias("url"),
-        F.col("o_orderdate").cast("timestamp").alias("last_modified"),
+        utc("o_orderdate").alias("last_modified"),
         "o_custkey",
         "o_orderkey",
         "o_orderstatus",
@@ -147,7 +156,7 @@ def built_sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "<url><loc> ",
         F.col("url"),
         " </loc><lastmod>",
-        F.date_format("last_modified", "yyyy-MM-dd"),
+        utc_text("last_modified", "yyyy-MM-dd"),
         "</lastmod></url>",
     )
     xmlns = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
