@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivetables.llm import exact_dedup, licences, mixing
-from archivetables.llm.common import documents
+from archivetables.llm import bpe, exact_dedup, licences, line_dedup, mixing, pii
+from archivetables.llm.common import documents, hex_sha256
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("_row")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(bpe.encode_documents(documents(spark, sf_dir), vocabulary))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
+    return kept.withColumn("kept_sha256", hex_sha256(F.col("text"))).drop("text")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.find_pii(documents(spark, sf_dir)))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_rates(documents(spark, sf_dir))
     return mix.select(
@@ -31,5 +46,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_license_scan, op4_exact_dedup, op9_mixing)}
-ORACLES = {"op3_license_scan": licences.scan_sql(), "op4_exact_dedup": exact_dedup.GROUPS_SQL}
+QUERIES = {f.__name__: f for f in (op3_license_scan, op4_exact_dedup, op5_bpe, op6_line_dedup, op7_pii, op9_mixing)}
+ORACLES = {
+    "op3_license_scan": licences.scan_sql(),
+    "op4_exact_dedup": exact_dedup.GROUPS_SQL,
+    "op6_line_dedup": line_dedup.LINES_SQL,
+}
