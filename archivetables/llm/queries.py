@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivetables.llm import bpe, exact_dedup, licences, line_dedup, mixing, pii
+from archivetables.llm import bpe, exact_dedup, licences, line_dedup, mixing, pii, substrings
 from archivetables.llm.common import documents, hex_sha256
 
 
@@ -46,7 +46,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_license_scan, op4_exact_dedup, op5_bpe, op6_line_dedup, op7_pii, op9_mixing)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(documents(spark, sf_dir))
+    return cut.withColumn("kept_sha256", hex_sha256(F.col("kept"))).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op3_license_scan, op4_exact_dedup, op5_bpe, op6_line_dedup, op7_pii, op9_mixing, op10_substring_dedup)}
 ORACLES = {
     "op3_license_scan": licences.scan_sql(),
     "op4_exact_dedup": exact_dedup.GROUPS_SQL,
