@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivetables.llm import bpe, exact_dedup, fertility, licences, line_dedup, mixing, pii, substrings
+from archivetables.llm import bpe, exact_dedup, fertility, licences, line_dedup, mixing, pii, quality, substrings
 from archivetables.llm.common import documents, hex_sha256
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score_documents(documents(spark, sf_dir), labels)
+
+
 def vocabularies() -> dict[str, str]:
     """Parameters of ``fertility``: the installed public vocabularies."""
     return {
@@ -64,7 +69,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.withColumn("kept_sha256", hex_sha256(F.col("kept"))).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_fertility, op3_license_scan, op4_exact_dedup, op5_bpe, op6_line_dedup, op7_pii, op9_mixing, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fertility, op3_license_scan, op4_exact_dedup, op5_bpe, op6_line_dedup, op7_pii, op9_mixing, op10_substring_dedup)}
 ORACLES = {
     "op3_license_scan": licences.scan_sql(),
     "op4_exact_dedup": exact_dedup.GROUPS_SQL,
