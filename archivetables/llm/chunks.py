@@ -9,7 +9,8 @@ each task writes one file), and answers are joined to it without moving its text
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -20,6 +21,8 @@ from archivetables.llm.common import text_of
 from archivetables.session import scratch_dir
 
 CHUNK_BYTES = 2 << 20  # of text in a chunk; a longer document is a chunk of its own
+CHUNK_ROWS = 1 << 20  # in a chunk, so that chunk * CHUNK_ROWS + position numbers all rows
+CHUNKS = 1 << 22  # numbers of chunks for each task
 # Small row groups and frequent size checks: a row is large here.
 LARGE_ROWS = {
     "compression": "zstd",
@@ -30,35 +33,55 @@ LARGE_ROWS = {
 MAX_BUCKETS = 100_000  # Spark's own limit; beyond it a bucket holds several tasks' files
 
 
-def pack(docs: DataFrame, label: str) -> DataFrame:
-    """``part, chunk, n_bytes, doc_ids, texts`` (UTF-8; null as empty) of the rows of ``docs``, written."""
+@dataclass(frozen=True)
+class Measure:
+    """A column of a chunk: a number or name for each of its texts."""
+
+    name: str
+    arrow: pa.DataType
+    sql: str
+
+
+def pack(
+    docs: DataFrame,
+    label: str,
+    measures: tuple[Measure, ...] = (),
+    measure: Callable[[bytes], tuple] = lambda text: (),
+) -> DataFrame:
+    """``part, chunk, n_bytes, doc_ids, texts`` (UTF-8; null as empty) of the rows of ``docs``, and what
+    ``measure`` finds in each text as further arrays; written."""
     spark = docs.sparkSession
+    schema = pa.schema([*CHUNK, *((m.name, pa.list_(m.arrow)) for m in measures)])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        number, held, ids, texts = part << 32, 0, [], []
+        number, held, ids, texts, found = part * CHUNKS, 0, [], [], []
 
         def row() -> pa.RecordBatch:
-            values = [[part], [number], [held], [ids], [texts]]
+            values = [part, number, held, ids, texts, *zip(*found, strict=True)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, field.type) for v, field in zip(values, CHUNK, strict=True)], schema=CHUNK
+                [pa.array([v], field.type) for v, field in zip(values, schema, strict=True)],
+                schema=schema,
             )
 
         for batch in batches:
             for key, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 raw = text.as_py()
-                if ids and held + len(raw) > CHUNK_BYTES:
+                if ids and (held + len(raw) > CHUNK_BYTES or len(ids) == CHUNK_ROWS):
                     yield row()
-                    number, held, ids, texts = number + 1, 0, [], []
+                    number, held, ids, texts, found = number + 1, 0, [], [], []
                 ids.append(key.as_py())
                 texts.append(raw)
+                if measures:
+                    found.append(measure(raw))
                 held += len(raw)
         if ids:
             yield row()
 
     rows = docs.select(F.col("doc_id").cast("long"), text_of(docs).cast("binary").alias("text"))
+    sql = "part int, chunk bigint, n_bytes bigint, doc_ids array<bigint>, texts array<binary>"
     packed = rows.mapInArrow(
-        fill, "part int, chunk bigint, n_bytes bigint, doc_ids array<bigint>, texts array<binary>"
+        fill, ", ".join([sql, *(f"{m.name} array<{m.sql}>" for m in measures)])
     )
     buckets = max(1, min(2 * rows.rdd.getNumPartitions(), MAX_BUCKETS))
     name = f"{label}_{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivetables.llm import bpe, exact_dedup, fertility, licences, line_dedup, mixing, pii, quality, substrings
+from archivetables.llm import bpe, exact_dedup, fertility, jaccard, licences, line_dedup, mixing, pii, quality, substrings
 from archivetables.llm.common import documents, hex_sha256
 
 
@@ -50,6 +50,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.find_pii(documents(spark, sf_dir)))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(documents(spark, sf_dir), words=4, percent=85).drop("row", "first")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_rates(documents(spark, sf_dir))
     return mix.select(
@@ -69,7 +73,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.withColumn("kept_sha256", hex_sha256(F.col("kept"))).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fertility, op3_license_scan, op4_exact_dedup, op5_bpe, op6_line_dedup, op7_pii, op9_mixing, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_fertility, op3_license_scan, op4_exact_dedup, op5_bpe, op6_line_dedup, op7_pii, op8_jaccard_join, op9_mixing, op10_substring_dedup)}
 ORACLES = {
     "op3_license_scan": licences.scan_sql(),
     "op4_exact_dedup": exact_dedup.GROUPS_SQL,
