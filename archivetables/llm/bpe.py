@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import text_of
+from archivetables.llm.common import hex_sha256, text_of
 
 BLOCK = 256  # symbols that the window moves at least
 CACHE = 200_000  # words whose ids a worker keeps; more are encoded again
@@ -258,11 +258,14 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     )
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of what ``encode_documents`` gives."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of what ``encode_documents`` gives, and ``more`` of
+    its columns."""
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        hex_sha256(ids).alias("ids_sha256"),
+        hex_sha256(F.col("decoded")).alias("decoded_sha256"),
+        *more,
     )

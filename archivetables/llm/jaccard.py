@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archivetables.llm.chunks import CHUNK_ROWS, Measure, pack, with_answers
-from archivetables.llm.common import written
+from archivetables.llm.common import numbered, written
 from archivetables.llm.components import components
 
 # Sizes up to twice the smallest of a class; a set may link with one of the next class, not beyond.
@@ -368,14 +368,13 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, row`` and ``first`` of every row of ``docs``.
+    """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
     Words are runs without ASCII white space, A-Z in lower case. A document's set holds its distinct
     shingles of ``words`` words; with fewer words the whole sequence is its one shingle, and without
     words (or text) it is empty and linked with nothing. Two documents link when their sets share at least
     ``percent`` of the union; ``component_id`` is the smallest ``doc_id`` reachable by links, null
-    counting as largest. ``first`` is true for one row of each component: of those with that
-    ``doc_id``, the first read. Repeated rows are linked. An empty table gives none.
+    counting as largest. Repeated rows are linked. An empty table gives none.
     """
     similarity = Similarity(percent)
 
@@ -414,17 +413,26 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     roots = joined.select("node", F.col("component").alias("_root"))
     members = nodes.join(roots, "node", "left").withColumn("_root", F.coalesce("_root", "node"))
     members = written(members, "jaccard-members")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id")
     least = written(members.groupBy("_root").agg(F.min(order).alias("_least")), "jaccard-least")
     return members.join(least, "_root").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.col("_least.doc_id").alias("component_id"),
-        "row",
-        (F.col("row") == F.col("_least.row")).alias("first"),
     )
 
 
+def without_similar(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest ``doc_id``; columns as before."""
+    rows = numbered(docs, "jaccard-documents")
+    groups = similar_groups(rows.select("text", F.col("_row").alias("doc_id")), words, percent)
+    groups = groups.select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
+    kept = first.agg(F.min(order)["_row"].alias("_row")).select("_row")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+
+
 def _mixed_pairs(
     chains: DataFrame,
     by_row: DataFrame,

@@ -51,7 +51,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_groups(documents(spark, sf_dir), words=4, percent=85).drop("row", "first")
+    return jaccard.similar_groups(documents(spark, sf_dir), words=4, percent=85)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from archivetables import ship_package
-from archivetables.llm import exact_dedup, mixing
+from archivetables.llm import bpe, exact_dedup, fertility, jaccard, mixing
 from archivetables.llm.common import documents, written
+from archivetables.llm.queries import vocabularies
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base limits or the tokeniser bands reject go."""
+    ship_package(spark)
+    return fertility.kept_documents(docs, **vocabularies())
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,23 +23,42 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.without_copies(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by shared five-word shingles (0.8 of the union), the one with the smallest
+    ``doc_id`` stays."""
+    ship_package(spark)
+    return jaccard.without_similar(docs, words=5, percent=80)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their weights: a row for every copy that the mix takes."""
     ship_package(spark)
     return mixing.mixed_documents(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the digests of ids and decoded text."""
+    ship_package(spark)
+    encoded = bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.digests(encoded, "ids")
+
+
 STAGES = [
+    ("quality rules", quality_rules),
     ("exact dedup", exact_duplicates),
+    ("n-gram Jaccard join", near_duplicates),
     ("mixing sources to target weights", mixture),
+    ("BPE encoding and decoding", tokens),
 ]
 
-# Token ids and iterative stages are beyond SQL; the tests hold the stages to plain code.
+# Tokenisers and iterative stages are beyond SQL; the tests hold the stages to plain code.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for number, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{number}")
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = written(docs, f"pipeline-{number}")
     return docs
