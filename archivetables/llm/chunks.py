@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import text_of
+from archivetables.llm.common import exact, text_of
 from archivetables.session import scratch_dir
 
 CHUNK_BYTES = 2 << 20  # of text in a chunk; a longer document is a chunk of its own
@@ -78,6 +78,7 @@ def pack(
         if ids:
             yield row()
 
+    docs = exact(docs, "doc_id", "text")
     rows = docs.select(F.col("doc_id").cast("long"), text_of(docs).cast("binary").alias("text"))
     sql = "part int, chunk bigint, n_bytes bigint, doc_ids array<bigint>, texts array<binary>"
     packed = rows.mapInArrow(

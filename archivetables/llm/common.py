@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from archivetables.session import scratch_dir
 
@@ -26,6 +27,25 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     return written(df.withColumn("_row", F.monotonically_increasing_id()), label)
 
 
+def exact(docs: DataFrame, *names: str) -> DataFrame:
+    """Just these columns of ``docs``, whatever else it has, names that differ by case included."""
+    at = {name: f"_c{docs.columns.index(name)}" for name in names}
+    numbers = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    return numbers.select(*[F.col(column).alias(name) for name, column in at.items()])
+
+
+def hidden(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` with its other columns under names that nothing clashes with; ``toDF`` gives them back."""
+    at = {docs.columns.index(name) for name in names}
+    return docs.toDF(*[c if i in at else f"_c{i}" for i, c in enumerate(docs.columns)])
+
+
+def output(docs: DataFrame, ddl: str) -> T.StructType:
+    """The schema ``ddl`` after a ``doc_id`` of the type that ``docs`` has."""
+    key = T.StructField("doc_id", docs.schema["doc_id"].dataType)
+    return T.StructType([key, *T.StructType.fromDDL(ddl).fields])
+
+
 def text_of(df: DataFrame) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col("text").cast("string"), F.lit(""))

@@ -16,27 +16,32 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import SPACE, numbered, text_of, written
+from archivetables.llm.common import SPACE, exact, hidden, numbered, text_of, written
 
 FIRST_BLOCK, GROWTH, LARGEST_BLOCK = 32, 8, 1 << 20  # bytes; only the number of splits depends on them
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` and ``_row`` of every row of ``docs``.
+    """``doc_id, keep_id, group_size, kept, text_sha256`` of every row of ``docs``.
 
     Texts are equal when they are identical after each run of white space became one space; a null
     text counts as empty, and empty texts are equal. Of equal texts the row with the smallest
     ``doc_id`` is kept (null counts as largest; among rows that share it, one). The digest is an
-    output only. ``docs`` may have a column ``_row`` that numbers its rows.
+    output only. An empty table gives none.
     """
-    one_space = F.regexp_replace(text_of(docs), SPACE, " ").cast("binary")
-    if "_row" in docs.columns:
-        rows = written(docs.select("_row", "doc_id", one_space.alias("_bytes")), "radix-rows")
-    else:
-        rows = numbered(docs.select("doc_id", one_space.alias("_bytes")), "radix-rows")
+    docs = exact(docs, "doc_id", "text")
+    return _groups(numbered(docs.select("doc_id", _bytes(docs)), "radix-rows")).drop("_row")
+
+
+def _bytes(docs: DataFrame) -> Column:
+    return F.regexp_replace(text_of(docs), SPACE, " ").cast("binary").alias("_bytes")
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    """``exact_groups`` of numbered rows, with their numbers."""
     smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     length = F.octet_length("_bytes")
     group: list[str] = ["_length"]
@@ -79,9 +84,10 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` less the rows that ``exact_groups`` does not keep; columns as before."""
-    rows = numbered(docs, "radix-documents")
-    kept = exact_groups(rows).filter("kept").select("_row")
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    rows = numbered(hidden(docs, "doc_id", "text"), "radix-documents")
+    normal = written(rows.select("_row", "doc_id", _bytes(rows)), "radix-rows")
+    kept = _groups(normal).filter("kept").select("_row")
+    return rows.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)
 
 
 GROUPS_SQL = r"""WITH d AS (SELECT doc_id,

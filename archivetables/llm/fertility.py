@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import text_of
+from archivetables.llm.common import exact, hidden, output, text_of
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -209,13 +209,15 @@ def judge_documents(
                 ["doc_id", *(c.split()[0] for c in COLUMNS.split(", "))],
             )
 
-    key = docs.schema["doc_id"].dataType.simpleString()
+    docs = exact(docs, "doc_id", "text")
     return docs.select("doc_id", text_of(docs).cast("binary").alias("text")).mapInArrow(
-        run, f"doc_id {key}, {COLUMNS}"
+        run, output(docs, COLUMNS)
     )
 
 
 def kept_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The rows of ``docs`` that are kept; columns as before. A row rides along as the key of its text."""
-    rows = docs.select(F.struct("*").alias("doc_id"), "text")
-    return judge_documents(rows, **parameters).filter("kept").select("doc_id.*")
+    rows = hidden(docs, "text")
+    rows = rows.select(F.struct("*").alias("doc_id"), "text")
+    kept = judge_documents(rows, **parameters).filter("kept").select("doc_id.*")
+    return kept.toDF(*docs.columns)

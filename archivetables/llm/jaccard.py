@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archivetables.llm.chunks import CHUNK_ROWS, Measure, pack, with_answers
-from archivetables.llm.common import numbered, written
+from archivetables.llm.common import hidden, numbered, written
 from archivetables.llm.components import components
 
 # Sizes up to twice the smallest of a class; a set may link with one of the next class, not beyond.
@@ -424,13 +424,13 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
 
 def without_similar(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest ``doc_id``; columns as before."""
-    rows = numbered(docs, "jaccard-documents")
+    rows = numbered(hidden(docs, "doc_id", "text"), "jaccard-documents")
     groups = similar_groups(rows.select("text", F.col("_row").alias("doc_id")), words, percent)
     groups = groups.select(F.col("doc_id").alias("_row"), "component_id")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     first = groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
     kept = first.agg(F.min(order)["_row"].alias("_row")).select("_row")
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    return rows.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)
 
 
 def _mixed_pairs(

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import text_of
+from archivetables.llm.common import exact, text_of
 
 # Known licence sentences, normalised, by identifier.
 SENTENCES = {
@@ -159,6 +159,7 @@ def scan_licences(docs: DataFrame, sentences: dict = SENTENCES, rules: tuple = R
     commas; ``sentence_ids`` the identifiers that were read. Null and empty texts have neither, and
     zero sentences. Repeated rows stay. An identifier that no rule takes is no licence.
     """
+    docs = exact(docs, "doc_id", "text")
     lowered = F.translate(text_of(docs), UPPER, LOWER)
     cue = reduce(lambda a, b: a | b, [F.contains(F.col("_text"), F.lit(cue)) for cue in CUES])
     found = docs.select("doc_id", lowered.alias("_text")).select(

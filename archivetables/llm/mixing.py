@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from archivetables.llm.common import WORD, numbered, text_of, written
+from archivetables.llm.common import WORD, exact, hidden, numbered, text_of, written
 
 WEIGHTS = (5, 2, 1)
 UNIT = 1_000_000  # rates are rounded to millionths before they are added up
@@ -139,6 +139,7 @@ def mix_rates(
     source is a source of its own. Equal rows share their source's copies like any others.
     An empty table gives an empty result. ``carry`` names further narrow columns to keep.
     """
+    docs = exact(docs, "doc_id", "source", "text", *carry)
     narrow = docs.select(
         "doc_id",
         F.col("source").cast("string").alias("source"),
@@ -193,10 +194,10 @@ def mix_rates(
 
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; columns as before."""
-    rows = numbered(docs, "mix-documents")
+    rows = numbered(hidden(docs, "doc_id", "source", "text"), "mix-documents")
     counts = mix_rates(rows, carry=("_row",), **parameters).filter("copies > 0")
     taken = rows.join(counts.select("_row", "copies"), "_row")
     # repeated by a generator, whose rows carry references to the text and not copies of it
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        docs.columns
-    )
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    repeated = taken.withColumn("_copy", copies).drop("_row", "copies", "_copy")
+    return repeated.toDF(*docs.columns)

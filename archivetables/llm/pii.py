@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import text_of
+from archivetables.llm.common import exact, output, text_of
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "login", "iban", "account")
@@ -158,9 +158,9 @@ def find_pii(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(rows, pa.list_(SPAN))], ["doc_id", "found"]
             )
 
-    key = docs.schema["doc_id"].dataType.simpleString()
+    docs = exact(docs, "doc_id", "text")
     return docs.select("doc_id", text_of(docs).alias("text")).mapInArrow(
-        find, f"doc_id {key}, found array<struct<kind string, start bigint, end bigint>>"
+        find, output(docs, "found array<struct<kind string, start bigint, end bigint>>")
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import text_of, written
+from archivetables.llm.common import exact, output, text_of, written
 from archivetables.llm.fertility import repeated_lines, repeated_words
 
 MAX_LABELLED = 20_000  # labelled rows that a model is fitted on, those of the smallest hash
@@ -100,9 +100,9 @@ def with_statistics(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), *map(pa.array, columns)], ["doc_id", *STATISTICS]
             )
 
-    key = docs.schema["doc_id"].dataType.simpleString()
+    docs = exact(docs, "doc_id", "text")
     return docs.select("doc_id", text_of(docs).cast("binary").alias("text")).mapInArrow(
-        run, ", ".join([f"doc_id {key}", *(f"{s} double" for s in STATISTICS)])
+        run, output(docs, ", ".join(f"{s} double" for s in STATISTICS))
     )
 
 
@@ -188,6 +188,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     Repeated rows stay; a null ``doc_id`` has no label and is not held out.
     """
     measured = written(with_statistics(docs), "quality-statistics")
+    labels = exact(labels, "doc_id", "quality")
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
     known = known.agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     order = F.xxhash64("doc_id")

@@ -33,7 +33,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("_row")
+    return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
