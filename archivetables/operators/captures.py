@@ -120,7 +120,8 @@ def html_captures(cdx: DataFrame, mime: str = HTML_MIME) -> DataFrame:
 def join_captures(pages: DataFrame, cdx: DataFrame, keep_uncaptured: bool = False) -> DataFrame:
     """Every page with every capture of its URL.
 
-    Pages without a capture that names a WARC file are dropped, unless ``keep_uncaptured``.
+    Pages without a capture that names a WARC file are dropped, unless ``keep_uncaptured``. The result
+    multiplies by nature; a frequent URL needs adaptive skew join, which the session builder sets.
     """
     how = "left" if keep_uncaptured else "inner"
     captured = cdx if keep_uncaptured else cdx.where("filename IS NOT NULL")
@@ -183,10 +184,11 @@ def match_urls(
     """
     wanted = wanted.select("url").distinct()
     count = F.count(F.lit(1))
-    found_pages = _last_page(pages.join(wanted, "url", "left_semi"), count.alias("n_pages"))
-    found_cdx = _last_capture(
-        cdx.join(wanted, "url", "left_semi"), offset_order, count.alias("n_captures")
-    )
+    # Cut to a row per URL before they meet the list, so that no URL is too frequent. Spark filters
+    # first where the list is small enough to broadcast.
+    found_pages = _last_page(pages, count.alias("n_pages")).join(wanted, "url", "left_semi")
+    found_cdx = _last_capture(cdx, offset_order, count.alias("n_captures"))
+    found_cdx = found_cdx.join(wanted, "url", "left_semi")
     hits = found_pages.join(found_cdx, HASHED_KEYS).withColumn(
         "match_count", F.col("n_pages") * F.col("n_captures")
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from archivetables.functions import strip, utf8_text
+from archivetables.functions import strip
 
 # fixed values: the marks of log lines, and the status fields that are kept
 STATUS_MARK = '"context":"crawlStatus"'
@@ -22,12 +22,13 @@ NUMBERING_BLOCK = 1 << 20
 
 
 def crawl_log_lines(lines: DataFrame) -> DataFrame:
-    """Log lines of archive members, one log per archive and member."""
+    """Log lines of archive members, one log per archive and member. Bytes that are no UTF-8 become
+    U+FFFD, so that a damaged line still shows its marks."""
     path = F.concat_ws("!/", "wacz_path", "member")
     return lines.select(
         path.alias("path"),
         F.col("line_pos").alias("line_no"),
-        utf8_text("line", strict=False).alias("line"),
+        F.make_valid_utf8(F.col("line").cast("string")).alias("line"),
     )
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from archivetables import schemas
 from archivetables.functions import base64_text, header_map, keep_last_rank, with_key_hash
 
+# what decides between equal offsets
+TIES = ("cdx_warc_filename", "cdx_length")
+
 
 def active_records(fetched: DataFrame, *keep: str) -> DataFrame:
     """Records of fetched captures, in the fixed columns, after the columns to ``keep``."""
@@ -49,7 +52,8 @@ def append_deletes(active: DataFrame, deletes: DataFrame) -> DataFrame:
     return active.unionByName(deletes, allowMissingColumns=True)
 
 
-def _rank(offset: str, order: str, prefer: str, tie_breaks: tuple[str, ...]):
+def _rank(records: DataFrame, offset: str, order: str, prefer: str, tie_breaks: tuple[str, ...]):
+    tie_breaks = tuple(c for c in tie_breaks if c in records.columns)
     if prefer not in ("deleted", "active"):
         raise ValueError(f"prefer must be 'deleted' or 'active': {prefer!r}")
     return keep_last_rank(
@@ -63,15 +67,16 @@ def drop_duplicate_urls(
     offset: str = "cdx_offset",
     offset_order: str = "numeric",
     prefer: str = "deleted",
-    tie_breaks: tuple[str, ...] = (),
+    tie_breaks: tuple[str, ...] = TIES,
 ) -> DataFrame:
     """Keep, per URL, the record with the last offset.
 
     A record without an offset, which is a deleted one, comes last and so wins, unless
-    ``prefer="active"``. Null URLs count as equal. Aggregated partly before the shuffle,
+    ``prefer="active"``. Equal offsets fall to the greater of ``tie_breaks``, as far as the records have
+    those columns. Null URLs count as equal. Aggregated partly before the shuffle,
     so no URL is too frequent.
     """
-    rank = _rank(offset, offset_order, prefer, tie_breaks)
+    rank = _rank(records, offset, offset_order, prefer, tie_breaks)
     row = F.struct(*records.columns)
     groups = with_key_hash(records, *keys).groupBy("key_hash", *keys)
     last = groups.agg(F.max_by(row, rank).alias("last"))
@@ -84,11 +89,11 @@ def drop_duplicate_urls_window(
     offset: str = "cdx_offset",
     offset_order: str = "numeric",
     prefer: str = "deleted",
-    tie_breaks: tuple[str, ...] = (),
+    tie_breaks: tuple[str, ...] = TIES,
 ) -> DataFrame:
     """``drop_duplicate_urls`` as a ranking. The filter on the first row lets Spark drop
     all but one row per key before the shuffle as well."""
-    rank = _rank(offset, offset_order, prefer, tie_breaks)
+    rank = _rank(records, offset, offset_order, prefer, tie_breaks)
     window = Window.partitionBy("key_hash", *keys).orderBy(rank.desc())
     return (
         with_key_hash(records, *keys)

@@ -8,6 +8,7 @@ towards the sink; they are not shuffled.
 
 from __future__ import annotations
 
+import re
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -48,8 +49,10 @@ def fetch_warc(
 
     Needs ``wacz_path``, ``filename`` and ``offset_num``; other columns pass through. The
     payload is the HTTP body without transfer and content encoding. A row without a file
-    name points nowhere and gets a null payload. A record that cannot be read raises, or leaves a null payload and a problem when not ``strict``. ``n_bytes``,
-    the size of the archives, sets the number of tasks and the size of blocks.
+    name points nowhere and gets a null payload. A record that cannot be read, or a body that cannot
+    be decoded in full, raises; when not ``strict`` it leaves a problem, with a null payload or what
+    could be decoded. ``n_bytes``, the size of the archives, sets the number of tasks and the size of
+    blocks.
     """
     n = partitions or partitions_for(pointers.sparkSession, n_bytes)
     if block_bytes is None:
@@ -79,7 +82,7 @@ def fetch_warc(
                 found, size, first = [], 0, 0
                 for key in keys:
                     record = records.read(*key)
-                    if strict and record[0] is None and record[2]:
+                    if strict and record[2]:
                         raise ArchiveReadError(f"{record[2]}: {key}")
                     found.append(record)
                     size += len(record[0] or b"")
@@ -91,8 +94,10 @@ def fetch_warc(
                     yield _extend(batch.slice(first, len(found)), found)
 
     block = F.expr(f"offset_num div {block_bytes}")
+    # rows that point nowhere read nothing; they are dealt out, or all would meet in one task
+    spread = F.when(F.col("filename").isNull(), F.monotonically_increasing_id())
     return (
-        pointers.repartition(n, "wacz_path", "filename", block)
+        pointers.repartition(n, "wacz_path", "filename", block, spread)
         .sortWithinPartitions("wacz_path", "filename", "offset_num")
         .mapInArrow(fetch, schema)
     )
@@ -182,10 +187,15 @@ class _ByteStream:
 
     def head(self) -> bytes:
         """Bytes up to the empty line that ends a header block."""
-        while b"\r\n\r\n" not in self._buffer:
+        seen = 0
+        while (end := self._buffer.find(b"\r\n\r\n", seen)) < 0:
+            # a bad pointer shows at once, not at the end of the file
+            if not self._buffer.startswith(b"WARC/"[: len(self._buffer)]):
+                raise ValueError("no WARC record begins here")
+            seen = max(0, len(self._buffer) - 3)
             if not self._more():
                 raise EOFError("record ends within its headers")
-        head, _, self._buffer = self._buffer.partition(b"\r\n\r\n")
+        head, self._buffer = self._buffer[:end], self._buffer[end + 4 :]
         return head
 
     def body(self, size: int) -> bytes:
@@ -193,7 +203,7 @@ class _ByteStream:
         while got < size:
             self._buffer = b""
             if not self._more():
-                break
+                raise EOFError(f"record ends after {got} of {size} bytes")
             parts.append(self._buffer)
             got += len(self._buffer)
         return b"".join(parts)[:size]
@@ -236,38 +246,99 @@ def header_fields(head: bytes) -> list[tuple[str, str]]:
 
 
 def decode_body(body: bytes, headers: dict[str, str]) -> tuple[bytes, str | None]:
-    """Undo chunked transfer and gzip or deflate. A body that is not what its headers say
-    is returned as it stands; an encoding we cannot undo is reported."""
+    """Undo chunked transfer and content encodings, the last one applied first.
+
+    Archives often hold bodies that are decoded already: one that does not begin as its headers say is
+    taken as it stands. One that begins so and breaks off, or whose encoding we cannot undo, is
+    reported, and returned as far as it was decoded."""
     if headers.get("transfer-encoding", "").strip() == "chunked":
-        body = _join_chunks(body)
-    encoding = headers.get("content-encoding", "").strip()
-    windows = {"gzip": [zlib.MAX_WBITS | 16], "deflate": [zlib.MAX_WBITS, -zlib.MAX_WBITS]}
-    for bits in windows.get(encoding, []):
-        inflater = zlib.decompressobj(bits)
-        try:
-            return inflater.decompress(body) + inflater.flush(), None
-        except zlib.error:
+        body, problem = _join_chunks(body)
+        if problem:
+            return body, problem
+    for encoding in reversed(headers.get("content-encoding", "").split(",")):
+        name = encoding.strip().removeprefix("x-")
+        if name in ("", "identity"):
+            continue
+        if name not in DECODERS:
+            return body, f"content encoding not supported: {name}"
+        if not body.startswith(MARKS.get(name, b"")):
             continue
-    if encoding == "br":
         try:
-            import brotli
+            body = DECODERS[name](body)
         except ImportError:
-            return body, "content encoding not supported: br"
-        return brotli.decompress(body), None
+            return body, f"content encoding not supported: {name}"
+        except Exception as error:  # each decoder has errors of its own
+            return body, f"content encoding {name} is broken: {error}"
     return body, None
 
 
-def _join_chunks(body: bytes) -> bytes:
+def _unpacked(body: bytes, bits: int) -> bytes:
+    """All members of a zlib or gzip body; one that is cut short is an error."""
+    parts = []
+    while body:
+        inflater = zlib.decompressobj(bits)
+        parts.append(inflater.decompress(body) + inflater.flush())
+        if not inflater.eof:
+            raise EOFError("the body ends within a member")
+        body = inflater.unused_data.lstrip(b"\0")
+    return b"".join(parts)
+
+
+def _gunzip(body: bytes) -> bytes:
+    return _unpacked(body, zlib.MAX_WBITS | 16)
+
+
+def _deflate(body: bytes) -> bytes:
+    """With or without the zlib frame: servers send both under this name. Without it nothing marks a
+    body as packed, so one that cannot be unpacked is taken as it stands."""
+    if len(body) > 1 and body[0] & 15 == 8 and int.from_bytes(body[:2]) % 31 == 0:
+        return _unpacked(body, zlib.MAX_WBITS)
+    try:
+        return _unpacked(body, -zlib.MAX_WBITS)
+    except zlib.error:
+        return body
+
+
+def _brotli(body: bytes) -> bytes:
+    import brotli
+
+    return brotli.decompress(body)
+
+
+def _zstd(body: bytes) -> bytes:
+    import zstandard
+
+    inflater, parts = zstandard.ZstdDecompressor(), []
+    while body:
+        one = inflater.decompressobj()
+        parts.append(one.decompress(body))
+        if not one.eof:
+            raise EOFError("the body ends within a frame")
+        body = one.unused_data
+    return b"".join(parts)
+
+
+# fixed values: what packed bodies begin with
+MARKS = {"gzip": b"\x1f\x8b", "zstd": b"\x28\xb5\x2f\xfd"}
+DECODERS = {"gzip": _gunzip, "deflate": _deflate, "br": _brotli, "zstd": _zstd}
+
+
+def _join_chunks(body: bytes) -> tuple[bytes, str | None]:
+    """The chunks of a body joined, up to the first size that is no hexadecimal number."""
+    if not re.match(rb"[0-9A-Fa-f]+[ \t]*(;[^\r\n]*)?\r\n", body):
+        return body, None
     parts, at = [], 0
     while at < len(body):
         line_end = body.find(b"\r\n", at)
         size_text = body[at : line_end if line_end >= 0 else None].split(b";")[0].strip()
-        try:
-            size = int(size_text, 16)
-        except ValueError:
-            return b"".join(parts) + body[at:]
-        if size == 0 or line_end < 0:
+        if line_end < 0 or not re.fullmatch(rb"[0-9A-Fa-f]+", size_text):
+            return b"".join(parts), "chunked body is broken: no chunk size"
+        size = int(size_text, 16)
+        if size == 0:
+            return b"".join(parts), None
+        chunk = body[line_end + 2 : line_end + 2 + size]
+        parts.append(chunk)
+        if len(chunk) < size:
             break
-        parts.append(body[line_end + 2 : line_end + 2 + size])
         at = line_end + 2 + size + 2
-    return b"".join(parts)
+    return b"".join(parts), "chunked body ends early"

@@ -1,7 +1,10 @@
 import gzip
+import os
 import zlib
 
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from archivetables.sources import fetch_warc
 from archivetables.sources.storage import locate
@@ -104,6 +107,58 @@ def test_unreadable_pointers(spark, tmp_path):
         fetch(spark, [(path, "missing", 0, "n")])
 
 
+BROKEN = {
+    "cut gzip": (gzip.compress(BODY)[:-9], ("Content-Encoding", "gzip")),
+    "cut chunk": (b"400\r\nshort", ("Transfer-Encoding", "chunked")),
+    "negative chunk": (b"1\r\nA\r\n-6\r\n", ("Transfer-Encoding", "chunked")),
+    "no last chunk": (chunked(BODY)[:-5], ("Transfer-Encoding", "chunked")),
+    "unknown": (BODY, ("Content-Encoding", "snappy")),
+    "unknown below": (gzip.compress(BODY), ("Content-Encoding", "snappy, gzip")),
+    "cut zstd": (zstandard.compress(os.urandom(4000))[:-9], ("Content-Encoding", "zstd")),
+}
+
+
+def test_whole_bodies_of_several_encodings(spark, tmp_path):
+    twice = gzip.compress(BODY[:200]) + gzip.compress(BODY[200:])
+    bodies = {
+        "two members": (twice, ("Content-Encoding", "x-gzip")),
+        "stacked": (gzip.compress(zlib.compress(BODY)), ("Content-Encoding", "deflate, gzip")),
+        "zstd": (zstandard.compress(BODY), ("Content-Encoding", "zstd")),
+        "identity": (BODY, ("Content-Encoding", "identity")),
+    }
+    data, offsets = warc_file(*(warc_record(http_block(*b)) for b in bodies.values()))
+    path = write_archive(tmp_path / "a.wacz", {"archive/r": data})
+    got = fetch(spark, [(path, "r", at, n) for n, at in zip(bodies, offsets, strict=True)])
+    assert {n: bytes(r.payload) for n, r in got.items()} == dict.fromkeys(bodies, BODY)
+
+
+def test_broken_bodies_are_reported(spark, tmp_path):
+    data, offsets = warc_file(*(warc_record(http_block(*b)) for b in BROKEN.values()))
+    path = write_archive(tmp_path / "a.wacz", {"archive/r": data})
+    pointers = [(path, "r", at, n) for n, at in zip(BROKEN, offsets, strict=True)]
+    assert all(r.payload_problem for r in fetch(spark, pointers, strict=False).values())
+    for pointer in pointers:
+        with pytest.raises(Exception, match="chunk|encoding"):
+            fetch(spark, [pointer])
+
+
+def test_cut_record_is_no_record(spark, tmp_path):
+    data, _ = warc_file(warc_record(http_block(os.urandom(100_000))), pack=False)
+    path = write_archive(tmp_path / "a.wacz", {"archive/r": data[:50_000]})
+    got = fetch(spark, [(path, "r", 0, "n")], strict=False)["n"]
+    assert got.payload is None and "50" not in got.note and "ends after" in got.payload_problem
+    with pytest.raises(Exception, match="ends after"):
+        fetch(spark, [(path, "r", 0, "n")])
+
+
+def test_pointers_to_nowhere_spread(spark):
+    rows = spark.range(10_000).selectExpr(
+        "'a' AS wacz_path", "CAST(NULL AS STRING) AS filename", "CAST(NULL AS BIGINT) AS offset_num"
+    )
+    parts = fetch_warc(rows, partitions=8).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 3_000
+
+
 def test_locate_takes_paths_as_written():
     assert locate("file:/a%20b/c d")[1] == "/a%20b/c d"
     assert locate("/a/b")[1] == "/a/b"

@@ -115,25 +115,24 @@ def _capture_records(spark, sf_dir):
     )
 
 
-TIES = ("cdx_warc_filename", "cdx_length")
 LAST_RECORDS = """SELECT url, 'active' AS status, filename AS cdx_warc_filename,
     "offset" AS cdx_offset, length AS cdx_length FROM last_capture"""
 
 
 @query(f"WITH {sql.CAPTURES}, {sql.last_capture(True)} {LAST_RECORDS}")
 def dedup_last_offset(spark, sf_dir):
-    return ops.drop_duplicate_urls(_capture_records(spark, sf_dir), tie_breaks=TIES)
+    return ops.drop_duplicate_urls(_capture_records(spark, sf_dir))
 
 
 @query(f"WITH {sql.CAPTURES}, {sql.last_capture(True)} {LAST_RECORDS}")
 def dedup_window(spark, sf_dir):
-    return ops.drop_duplicate_urls_window(_capture_records(spark, sf_dir), tie_breaks=TIES)
+    return ops.drop_duplicate_urls_window(_capture_records(spark, sf_dir))
 
 
 @query(f"WITH {sql.CAPTURES}, {sql.last_capture(False)} {LAST_RECORDS}")
 def dedup_lexicographic(spark, sf_dir):
     return ops.drop_duplicate_urls(
-        _capture_records(spark, sf_dir), offset_order="lexicographic", tie_breaks=TIES
+        _capture_records(spark, sf_dir), offset_order="lexicographic"
     )
 
 
@@ -156,7 +155,7 @@ PART_DELETES = """
 )
 def dedup_delete_wins(spark, sf_dir):
     records = ops.append_deletes(_capture_records(spark, sf_dir), _part_deletes(spark, sf_dir))
-    return ops.drop_duplicate_urls(records, tie_breaks=TIES)
+    return ops.drop_duplicate_urls(records)
 
 
 @query(
@@ -167,7 +166,7 @@ def dedup_delete_wins(spark, sf_dir):
 )
 def dedup_active_wins(spark, sf_dir):
     records = ops.append_deletes(_capture_records(spark, sf_dir), _part_deletes(spark, sf_dir))
-    return ops.drop_duplicate_urls(records, prefer="active", tie_breaks=TIES)
+    return ops.drop_duplicate_urls(records, prefer="active")
 
 
 @query(
