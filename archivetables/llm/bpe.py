@@ -21,6 +21,7 @@ import itertools
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,10 +30,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import hex_sha256, text_of
+from archivetables.llm.common import exact, hex_sha256, output, text_of
 
 BLOCK = 256  # symbols that the window moves at least
-CACHE = 200_000  # words whose ids a worker keeps; more are encoded again
+CACHE = 200_000  # words lately met whose ids a worker keeps, and as many of before
 PIECES = 1 << 16  # words in hand at a time, however long the text
 OUT_BYTES = 8 << 20  # text in an output batch
 SUFFIX = "</w>"
@@ -73,6 +74,7 @@ class Transducer:
         self.words = regex.compile(WORDS)
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.cache: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Tokens of a word that has no more symbols: the lowest rank first, leftmost first."""
@@ -111,17 +113,19 @@ class Transducer:
         return len(self.tokens[token].removesuffix(SUFFIX))
 
     def word(self, word: str) -> bytes:
-        """Ids of a word as little-endian 32-bit numbers."""
-        found = self.cache.get(word)
+        """Ids of a word as 32-bit numbers."""
+        if len(self.cache) >= CACHE:
+            self.before, self.cache = self.cache, {}
+        found = self.before.get(word)
         if found is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
             raw = word.encode("utf-8", "replace")
-            inner, last = self.inner, self.last
-            symbols = itertools.chain((inner[b] for b in raw[:-1]), (last[raw[-1]],))
-            found = np.fromiter(self.stream(symbols), "<i4").tobytes()
-            if len(word) <= 64:
-                self.cache[word] = found
+            inner = self.inner
+            symbols = [inner[b] for b in raw]
+            symbols[-1] = self.last[raw[-1]]
+            whole = len(symbols) <= self.lookahead + BLOCK
+            found = array("i", self.merge(symbols) if whole else self.stream(symbols)).tobytes()
+        if len(word) <= 64:
+            self.cache[word] = found
         return found
 
     def encode(self, text: str) -> np.ndarray:
@@ -129,7 +133,7 @@ class Transducer:
         segments = self.specials.split(text) if self.specials and "<" in text else [text]
         for segment in segments:
             if segment in self.special:
-                parts.append(np.int32(self.special[segment]).tobytes())
+                parts.append(array("i", [self.special[segment]]).tobytes())
                 continue
             # each character by itself, so no final sigma
             lowered = unicodedata.normalize("NFC", segment).replace("Σ", "σ").lower()
@@ -139,7 +143,7 @@ class Transducer:
             get, word = self.cache.get, self.word
             while block := list(itertools.islice(found, PIECES)):
                 parts.append(b"".join([get(w) or word(w) for w in block]))
-        return np.frombuffer(b"".join(parts), "<i4")
+        return np.frombuffer(b"".join(parts), "int32")
 
     def decode(self, ids: np.ndarray) -> str:
         """As the library does for a file without a decoder: the tokens' own strings, parted by spaces."""
@@ -252,9 +256,9 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
                     )
                     begin, held, ids, decoded = row + 1, 0, [], []
 
-    key = docs.schema["doc_id"].dataType.simpleString()
+    docs = exact(docs, "doc_id", "text")
     return docs.select("doc_id", text_of(docs).alias("text")).mapInArrow(
-        encode, f"doc_id {key}, ids array<int>, decoded string"
+        encode, output(docs, "ids array<int>, decoded string")
     )
 
 
