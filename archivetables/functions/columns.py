@@ -148,11 +148,19 @@ def site_path(url: Column | str) -> Column:
     return F.regexp_replace(path, r";[^/]*$", "")
 
 
+# dates as people write them, besides the forms of the standard
+DATE_FORMS = ["MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy/M/d", "yyyyMMdd"]
+
+
 def w3c_timestamp(text: Column | str) -> Column:
     """A sitemap date (year, month, day or time precision) as a timestamp.
 
-    Dates without a zone are UTC, whatever the session's zone. Unreadable text gives null.
+    Dates without a zone are UTC, whatever the session's zone. Some written-out forms are read too,
+    month names in English. Unreadable text gives null.
     """
+    words = F.initcap(strip(text))
+    days = [F.date_format(F.try_to_timestamp(words, F.lit(f)), "yyyy-MM-dd") for f in DATE_FORMS]
+    written_out = F.concat(F.coalesce(*days), F.lit("T00:00:00Z"))
     value = F.upper(strip(text))
     value = F.regexp_replace(value, r"T(\d{2}:\d{2})(?=$|[Z+-])", "T$1:00")
     value = F.regexp_replace(value, r"(T.*[+-]\d{2})(\d{2})$", "$1:$2")
@@ -163,4 +171,4 @@ def w3c_timestamp(text: Column | str) -> Column:
         .when(value.rlike(r"(Z|[+-]\d{2}:\d{2})$"), value)
         .otherwise(F.concat(value, F.lit("Z")))
     )
-    return full.try_cast("timestamp")
+    return F.coalesce(full.try_cast("timestamp"), written_out.try_cast("timestamp"))

@@ -23,7 +23,7 @@ from archivetables.operators.crawl_log import (
     raise_if_fatal,
     sample_statuses,
 )
-from archivetables.operators.quality import archive_problems, pipeline_counts
+from archivetables.operators.quality import archive_gaps, archive_problems, pipeline_counts
 from archivetables.operators.records import (
     active_records,
     append_deletes,
@@ -40,6 +40,7 @@ from archivetables.operators.sitemaps import (
     reachable_sitemaps,
     sitemap_entries,
     sitemap_links,
+    sitemap_rejects,
     sitemap_roots,
 )
 
@@ -48,6 +49,8 @@ __all__ = [
     "NoValidSeedsError",
     "active_records",
     "append_deletes",
+    "archive_gaps",
+    "archive_gaps",
     "archive_problems",
     "cdx_rejects",
     "crawl_fatal",
@@ -76,6 +79,7 @@ __all__ = [
     "sample_statuses",
     "sitemap_entries",
     "sitemap_links",
+    "sitemap_rejects",
     "sitemap_roots",
     "union_page_lists",
     "without_sitemap_pages",

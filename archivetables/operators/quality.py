@@ -9,6 +9,17 @@ from archivetables.functions import with_key_hash
 from archivetables.operators.captures import HASHED_KEYS, KEYS
 
 
+def archive_gaps(members: DataFrame) -> DataFrame:
+    """What archives lack by their directories alone: rows ``wacz_path, problem``."""
+    has = {kind: F.coalesce(F.bool_or(F.col("kind") == kind), F.lit(False)) for kind in ("pages", "cdx")}
+    problem = (
+        F.when(F.count("member") == 0, "unreadable archive")
+        .when(~has["pages"], "no page list")
+        .when(~has["cdx"], "no index")
+    )
+    return members.groupBy("wacz_path").agg(problem.alias("problem")).where("problem IS NOT NULL")
+
+
 def archive_problems(
     archives: DataFrame, members: DataFrame, pages: DataFrame, cdx_lines: DataFrame
 ) -> DataFrame:

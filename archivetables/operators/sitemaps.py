@@ -5,19 +5,19 @@ A document is a row ``sitemap_url, body``.
 
 from __future__ import annotations
 
+import zlib
 from datetime import UTC, datetime
 
+import pandas as pd
 from dateutil import parser as date_parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from archivetables import schemas
 from archivetables.functions import site_path, site_root, strip, w3c_timestamp
 from archivetables.session import checkpoint_root
 
-# how deep sitemap indexes may nest; a rule against endless chains
-MAX_DEPTH = 11
-
 ROBOTS_FILE = "/robots.txt"
 WEB_ADDRESS = r"(?i)^\s*https?://[^/\s]"
 ROBOTS_SITEMAP = r"(?im)^\s*sitemap:\s*(\S+)"
@@ -31,13 +31,78 @@ def sitemap_roots(sitemaps: DataFrame, url: str = "sitemap_url") -> DataFrame:
     return sitemaps.select(site_root(url).alias("root"), site_path(url).alias("path")).distinct()
 
 
-def _has_root(tag: str) -> Column:
-    """A text search for the root tag, which spares other documents the XML parser."""
-    return F.col("body").rlike(r"^\s*<") & F.col("body").contains(tag)
+GZIP_MARK = b"\x1f\x8b"
+
+
+@F.pandas_udf(T.BinaryType())
+def _gunzip(bodies: pd.Series) -> pd.Series:
+    """Packed bodies unpacked, member by member; null where that fails."""
+
+    def one(body: bytes | None) -> bytes | None:
+        if body is None or not body.startswith(GZIP_MARK):
+            return body
+        parts = []
+        try:
+            while body:
+                inflater = zlib.decompressobj(zlib.MAX_WBITS | 16)
+                parts.append(inflater.decompress(body) + inflater.flush())
+                if not inflater.eof:
+                    return None
+                body = inflater.unused_data.lstrip(b"\0")
+        except zlib.error:
+            return None
+        return b"".join(parts)
+
+    return bodies.map(one)
+
+
+def sitemap_text(docs: DataFrame) -> DataFrame:
+    """Documents with a ``body`` of text, without a byte-order mark or white space in front.
+
+    Bodies as fetched, of bytes, may be packed; they are unpacked and read as UTF-8. One
+    that cannot be unpacked becomes null.
+    """
+    body = F.col("body")
+    if docs.schema["body"].dataType.simpleString() == "binary":
+        packed = F.substring("body", 1, 2) == F.lit(GZIP_MARK)
+        plain = docs.where(~packed | body.isNull())
+        docs = plain.unionByName(docs.where(packed).withColumn("body", _gunzip("body")))
+        body = F.make_valid_utf8(F.col("body").cast("string"))
+    return docs.withColumn("body", F.regexp_replace(body, r"^[\x{FEFF}\s]+", ""))
 
 
-def _sitemap_xml() -> Column:
-    return F.from_xml("body", schemas.SITEMAP_XML, {"ignoreNamespace": "true"})
+def _root_tag() -> Column:
+    """The first element of an XML document, without its prefix; empty for other text."""
+    prolog = r"^(?:<\?[^>]*>\s*|<!--(?:(?!-->)[\s\S])*-->\s*|<![^>]*>\s*)*+"
+    return F.regexp_extract("body", prolog + r"<(?:[\w.-]+:)?([\w.-]+)", 1)
+
+
+def _elements(tag: str) -> Column:
+    """Whole elements of a name, found one by one, so that a broken one costs no other."""
+    pattern = rf"<((?:[\w.-]+:)?){tag}(?:\s[^>]*)?>[\s\S]*?</\1{tag}\s*>"
+    return F.regexp_extract_all("body", F.lit(pattern), F.lit(0))
+
+
+def _child(element: Column, parent: str, tag: str) -> Column:
+    """Text of a child with its parent's prefix, with entities resolved; null if there is none."""
+    pattern = rf"^<((?:[\w.-]+:)?){parent}[\s>][\s\S]*?<\1{tag}\s*>([^<]*(?:<!\[CDATA\[[^\]]*\]\]>)?[^<]*)</\1{tag}\s*>"
+    text = F.regexp_extract(element, pattern, 2)
+    text = F.regexp_replace(text, r"<!\[CDATA\[([^\]]*)\]\]>", "$1")
+    for entity, character in ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return F.nullif(strip(text), F.lit(""))
+
+
+# fixed values: the entities of XML, the ampersand last
+ENTITIES = {
+    "&lt;": "<",
+    "&gt;": ">",
+    "&quot;": '"',
+    "&apos;": "'",
+    "&#38;": "&",
+    "&#x26;": "&",
+    "&amp;": "&",
+}
 
 
 def _feed_links() -> Column:
@@ -55,29 +120,41 @@ def _feed_links() -> Column:
     return F.concat(items, F.coalesce(F.transform(xml["entry"], entry_link), F.array()))
 
 
-def _undated(urls: Column) -> Column:
-    return F.transform(
-        urls, lambda url: F.struct(url.alias("loc"), F.lit(None).cast("string").alias("lastmod"))
-    )
+PAGE_FIELDS = ("loc", "lastmod", "changefreq", "priority")
+
+
+def _bare_page(url: Column) -> Column:
+    nothing = F.lit(None).cast("string")
+    return F.struct(url.alias("loc"), *[nothing.alias(f) for f in PAGE_FIELDS[1:]])
+
+
+def _is_text() -> Column:
+    return ~F.col("body").startswith("<") & ~F.col("sitemap_url").endswith(ROBOTS_FILE)
 
 
 def sitemap_entries(docs: DataFrame) -> DataFrame:
-    """Pages the documents list: ``sitemap_url, url, last_modified``.
+    """Pages the documents list: ``sitemap_url, url, last_modified, change_frequency, priority``.
 
     Documents are XML sitemaps, RSS or Atom feeds, or text with a URL per line; only the
-    first have dates. Each is read once, by the parser of its kind.
+    first have more than the URL. Each is read once, by the parser of its kind, which its first
+    element decides. Bodies may be packed bytes.
     """
-    is_robots = F.col("sitemap_url").endswith(ROBOTS_FILE)
-    text_urls = F.filter(F.split("body", "\n"), lambda line: line.rlike(WEB_ADDRESS))
+    docs = sitemap_text(docs).withColumn("_root", _root_tag())
+    urls = F.filter(F.split("body", "\n"), lambda line: line.rlike(WEB_ADDRESS))
+    pages = F.transform(
+        _elements("url"), lambda e: F.struct(*[_child(e, "url", f).alias(f) for f in PAGE_FIELDS])
+    )
     entries = (
-        F.when(_has_root("urlset"), _sitemap_xml()["url"])
-        .when(_has_root("<rss") | _has_root("<feed"), _undated(_feed_links()))
-        .when(~F.col("body").rlike(r"^\s*<") & ~is_robots, _undated(text_urls))
+        F.when(F.col("_root") == "urlset", pages)
+        .when(F.col("_root").isin("rss", "feed"), F.transform(_feed_links(), _bare_page))
+        .when(_is_text(), F.transform(urls, _bare_page))
     )
     pages = docs.select("sitemap_url", F.explode(entries).alias("entry")).select(
         "sitemap_url",
         strip("entry.loc").alias("url"),
         w3c_timestamp("entry.lastmod").alias("last_modified"),
+        F.col("entry.changefreq").alias("change_frequency"),
+        F.col("entry.priority").alias("priority"),
     )
     return pages.where("url <> ''")
 
@@ -85,30 +162,78 @@ def sitemap_entries(docs: DataFrame) -> DataFrame:
 def sitemap_links(docs: DataFrame) -> DataFrame:
     """Sitemaps that index documents and ``robots.txt`` files name:
     ``sitemap_url, linked_url``."""
+    indexed = F.transform(_elements("sitemap"), lambda e: _child(e, "sitemap", "loc"))
     links = F.when(
         F.col("sitemap_url").endswith(ROBOTS_FILE),
         F.regexp_extract_all("body", F.lit(ROBOTS_SITEMAP), F.lit(1)),
-    ).when(_has_root("sitemapindex"), _sitemap_xml()["sitemap"]["loc"])
+    ).when(_root_tag() == "sitemapindex", indexed)
     return (
-        docs.select("sitemap_url", F.explode(links).alias("link"))
+        sitemap_text(docs)
+        .select("sitemap_url", F.explode(links).alias("link"))
         .select("sitemap_url", strip("link").alias("linked_url"))
         .where("linked_url <> ''")
     )
 
 
-def reachable_sitemaps(
-    links: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH
-) -> DataFrame:
+def sitemap_rejects(docs: DataFrame) -> DataFrame:
+    """What the documents hold that is no page or link: ``sitemap_url, reason, n``.
+
+    Reasons are an unreadable or empty body, an XML document of another kind, one that ends before its
+    first element does, a feed that is no well-formed XML, entries without an address and dates that
+    cannot be read, with their number.
+    """
+    docs = sitemap_text(docs).withColumn("_root", _root_tag())
+    kinds = ("urlset", "sitemapindex", "rss", "feed")
+    cut = ~F.col("body").rlike(r"</(?:[\w.-]+:)?(?:urlset|sitemapindex|rss|feed)\s*>\s*(?:<!--[^>]*-->\s*)*$")
+    cut &= ~F.col("body").rlike(r"/>\s*$")
+    feed = F.from_xml("body", schemas.FEED_XML)
+    element = F.when(F.col("_root") == "urlset", "url").when(F.col("_root") == "sitemapindex", "sitemap")
+    opened = F.when(element == "url", _opened("url")).otherwise(_opened("sitemap"))
+    addressed = F.when(element == "url", _addressed("url")).otherwise(_addressed("sitemap"))
+    dates = F.transform(_elements("url"), lambda e: _child(e, "url", "lastmod"))
+    undated = F.size(F.filter(dates, lambda d: d.isNotNull() & w3c_timestamp(d).isNull()))
+    is_robots = F.col("sitemap_url").endswith(ROBOTS_FILE)
+    reasons = {
+        "unreadable body": F.when(F.col("body").isNull(), 1),
+        "empty body": F.when(~is_robots & (F.col("body") == ""), 1),
+        "no sitemap": F.when(
+            ~is_robots & F.col("body").startswith("<") & ~F.col("_root").isin(*kinds), 1
+        ),
+        "ends within the document": F.when(F.col("_root").isin(*kinds) & cut, 1),
+        "no well-formed feed": F.when(
+            F.col("_root").isin("rss", "feed") & feed["channel"].isNull() & feed["entry"].isNull(), 1
+        ),
+        "no address": F.when(element.isNotNull(), opened - addressed),
+        "no date": F.when(F.col("_root") == "urlset", undated),
+    }
+    found = F.array(
+        *[F.struct(F.lit(r).alias("reason"), n.cast("long").alias("n")) for r, n in reasons.items()]
+    )
+    return docs.select("sitemap_url", F.explode(found).alias("found")).select(
+        "sitemap_url", "found.reason", "found.n"
+    ).where("n > 0")
+
+
+def _opened(tag: str) -> Column:
+    return F.regexp_count("body", F.lit(rf"<(?:[\w.-]+:)?{tag}(?:\s[^>]*)?>"))
+
+
+def _addressed(tag: str) -> Column:
+    found = F.transform(_elements(tag), lambda e: _child(e, tag, "loc"))
+    return F.size(F.filter(found, F.isnotnull))
+
+
+def reachable_sitemaps(links: DataFrame, roots: DataFrame) -> DataFrame:
     """``sitemap_url`` of all sitemaps reachable from the given ones, themselves included.
 
-    Follows the links level by level. Each level is a join of the new sitemaps with the
-    links, cut from its history by a checkpoint, and the walk ends when nothing is new.
+    Follows the links level by level, however many there are. Each level is a join of the new sitemaps
+    with the links, cut from its history by a checkpoint; the walk ends when nothing is new.
     """
     checkpoint_root(links.sparkSession)
     links = links.select("sitemap_url", "linked_url").distinct().checkpoint()
     level = roots.select("sitemap_url").distinct().checkpoint()
     reached = level
-    for _ in range(max_depth):
+    while not level.isEmpty():
         level = (
             level.join(links, "sitemap_url")
             .select(F.col("linked_url").alias("sitemap_url"))
@@ -116,16 +241,14 @@ def reachable_sitemaps(
             .join(reached, "sitemap_url", "left_anti")
             .checkpoint()
         )
-        if level.isEmpty():
-            break
         reached = reached.union(level)
     return reached
 
 
 def distinct_pages(pages: DataFrame, by: str = "page") -> DataFrame:
-    """Pages once: as URL and date, or one row per URL with its latest date."""
+    """Pages once: all their fields alike, or one row per URL with its latest date."""
     if by == "page":
-        return pages.select("url", "last_modified").distinct()
+        return pages.drop("sitemap_url").distinct()
     if by == "url":
         return pages.groupBy("url").agg(F.max("last_modified").alias("last_modified"))
     raise ValueError(f"by must be 'page' or 'url': {by!r}")

@@ -21,9 +21,9 @@ from archivetables.plans.archive_tables import (
     listed,
     scan_cdx,
     scan_pages,
-    scan_problems,
 )
-from archivetables.sources.archives import archive_bytes
+from archivetables.operators.quality import archive_gaps
+from archivetables.sources.archives import archive_bytes, wacz_members
 from archivetables.sources.url_lists import read_previous_url_list, read_url_list
 from archivetables.sources.warc import fetch_warc
 
@@ -89,25 +89,28 @@ def generate_records(
     prefer: str = "deleted",
     ordered: bool = False,
     strict: bool = True,
-    check_archives: bool = False,
+    check_archives: bool | None = None,
     keep_crawl: bool = False,
     observation: Observation | None = None,
 ) -> DataFrame:
     """One record per page of the archives, and one per URL that vanished.
 
     The URL lists are DataFrames with ``url`` or paths of text files. Vanished URLs need
-    both. ``check_archives`` reads the page lists and indexes once beforehand and raises
-    for archives that lack either. ``observation`` receives the counts ``records`` and
+    both. ``check_archives`` reads the archives' directories beforehand and raises for archives that
+    are unreadable or lack page lists or an index; it goes with ``strict`` unless given. ``observation`` receives the counts ``records`` and
     ``deleted`` when the result is computed.
 
     ``ordered`` sends the payloads through a shuffle, and Spark samples what it sorts: for
     large crawls, write the records first and sort what was written.
     """
     archives = listed(spark, wacz_paths)
-    if check_archives:
-        problems = scan_problems(spark, archives).limit(20).collect()
-        if problems:
-            raise ArchiveProblemError("; ".join(f"{r.wacz_path}: {r.problem}" for r in problems))
+    if strict if check_archives is None else check_archives:
+        gaps = archive_gaps(wacz_members(archives, strict=False)).groupBy("problem")
+        gaps = gaps.agg(F.count("*").alias("n"), F.min("wacz_path").alias("example")).collect()
+        if gaps:  # a row per kind of problem
+            raise ArchiveProblemError(
+                "; ".join(f"{r.problem}: {r.n} archives, such as {r.example}" for r in sorted(gaps))
+            )
     deletes = None
     if current_urls is not None and previous_urls is not None:
         deletes = deleted_urls(

@@ -15,10 +15,6 @@ CDX_JSON = (
 
 HEADERS = "array<struct<name:string,value:string>>"
 
-SITEMAP_XML = (
-    "url array<struct<loc:string,lastmod:string>>, sitemap array<struct<loc:string>>"
-)
-
 FEED_XML = (
     "channel struct<item array<struct<link:string>>>, "
     "entry array<struct<link:array<struct<_href:string,_rel:string>>>>"

@@ -61,10 +61,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-# more partitions than this cost more in shuffle blocks than longer tasks do
-MAX_PARTITIONS = 20_000
-
-
 def partitions_for(spark: SparkSession, n_bytes: int = 0, bytes_per_task: int = 1 << 30) -> int:
     """Partitions for stages whose input rows are tiny but whose work, ``n_bytes``, is not.
 
@@ -75,4 +71,4 @@ def partitions_for(spark: SparkSession, n_bytes: int = 0, bytes_per_task: int =
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
-    return max(usual, min(-(-n_bytes // bytes_per_task), MAX_PARTITIONS))
+    return max(usual, -(-n_bytes // bytes_per_task))

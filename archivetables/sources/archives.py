@@ -36,9 +36,32 @@ CHUNK_BYTES = 1 << 20
 def list_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(path, length)`` of every file the paths or globs name; no content is read.
 
-    Spark's listing passes over files of zero bytes, so those are not reported either.
+    Spark's listing passes over files of zero bytes and names that begin with ``_`` or ``.``; where the
+    file system counts more files than Spark, those are added.
     """
-    return spark.read.format("binaryFile").load(paths).select("path", "length")
+    found = spark.read.format("binaryFile").load(paths).select("path", "length")
+    statuses = _statuses(spark, [paths] if isinstance(paths, str) else paths)
+    if sum(map(len, statuses)) == found.count():
+        return found
+    rows = [
+        (s.getPath().toString(), s.getLen())
+        for group in statuses
+        for s in group
+        if s.isFile() and (not s.getLen() or s.getPath().getName()[:1] in "_.")
+    ]
+    return found.unionByName(spark.createDataFrame(rows, "path string, length bigint"))
+
+
+def _statuses(spark: SparkSession, paths: list[str]) -> list:
+    """Hadoop's file statuses for each path or glob, folders opened; names and lengths only."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    groups = []
+    for text in paths:
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        system = path.getFileSystem(conf)
+        named = system.globStatus(path) or []
+        groups += [system.listStatus(s.getPath()) if s.isDirectory() else [s] for s in named]
+    return groups
 
 
 def archive_bytes(archives: DataFrame) -> int:
@@ -125,7 +148,7 @@ MEMBER_ARROW = pa.schema(
         ("stored", pa.bool_()),
     ]
 )
-SPLIT = "wacz_path string, member string, start bigint, stop bigint, whole boolean"
+SPLIT = "wacz_path string, member string, start bigint, stop bigint, whole boolean, before bigint"
 SPLIT_ARROW = pa.schema(
     [
         ("wacz_path", pa.string()),
@@ -133,6 +156,7 @@ SPLIT_ARROW = pa.schema(
         ("start", pa.int64()),
         ("stop", pa.int64()),
         ("whole", pa.bool_()),
+        ("before", pa.int64()),
     ]
 )
 
@@ -174,53 +198,60 @@ def _wanted(member: str, kind: str) -> bool:
 
 def _splits(path: str, kind: str, split_bytes: int, strict: bool) -> list[tuple]:
     """Byte ranges of the wanted members. Only what is stored unpacked can be cut: plain
-    text anywhere (readers align to lines), gzip text at the blocks its index lists."""
+    text anywhere (readers align to lines), gzip text at the blocks its index lists. ``before`` is
+    where the block before a split begins."""
     rows = []
     for info in _directory(path, strict):
         if not _wanted(info.filename, kind):
             continue
-        cuts = [0]
+        cuts, before = [0], [0]
         if _is_stored(info) and info.file_size > split_bytes:
             if not info.filename.endswith(".gz"):
-                cuts = list(range(0, info.file_size, split_bytes))
+                before = cuts = list(range(0, info.file_size, split_bytes))
             else:
-                cuts = _block_cuts(path, info, split_bytes)
+                cuts, before = _block_cuts(path, info, split_bytes)
         stops = cuts[1:] + [info.file_size]
         rows += [
-            (path, info.filename, start, stop, len(cuts) == 1)
-            for start, stop in zip(cuts, stops, strict=True)
+            (path, info.filename, start, stop, len(cuts) == 1, last)
+            for start, stop, last in zip(cuts, stops, before, strict=True)
         ]
     return rows
 
 
-def _block_cuts(path: str, info: zipfile.ZipInfo, split_bytes: int) -> list[int]:
-    """Starts of gzip members, at least ``split_bytes`` apart, if the block list covers the
-    file without a gap; otherwise the file stays whole."""
+def _block_cuts(
+    path: str, info: zipfile.ZipInfo, split_bytes: int
+) -> tuple[list[int], list[int]]:
+    """Starts of gzip members, at least ``split_bytes`` apart, and of the member before each, if the
+    block list covers the file without a gap; otherwise the file stays whole."""
     with open_input(path) as file, open_zip(file, path) as archive:
         if CDX_BLOCKS_FILE not in archive.namelist():
-            return [0]
+            return [0], [0]
         with archive.open(CDX_BLOCKS_FILE) as lines:
             texts = [line[line.find(b"{") :] for line in lines if b'"offset"' in line]
     blocks = sorted((b["offset"], b["length"]) for b in map(json.loads, texts))
-    cuts, end = [0], 0
+    cuts, before, end, last = [0], [0], 0, 0
     for offset, length in blocks:
         if offset != end:
-            return [0]
+            return [0], [0]
         if offset - cuts[-1] >= split_bytes:
             cuts.append(offset)
-        end = offset + length
-    return cuts if end == info.file_size else [0]
+            before.append(last)
+        end, last = offset + length, offset
+    return (cuts, before) if end == info.file_size else ([0], [0])
 
 
 def _read_split(
-    wacz_path: str, member: str, start: int, stop: int, whole: bool
+    wacz_path: str, member: str, start: int, stop: int, whole: bool, before: int
 ) -> Iterator[pa.RecordBatch]:
     with open_input(wacz_path) as file, open_zip(file, wacz_path) as archive:
         source = open_member(file, archive, member)
         if member.endswith(".gz"):
-            limit = None if whole else stop - start
+            cut = start > 0 and not _ends_line(source, before, start)
             source.seek(start)
-            runs = _lines(_inflate(_chunks(source, limit)), 0, None)
+            if whole:
+                runs = _lines(_inflate(_chunks(source, None)), 0, None)
+            else:
+                runs = _lines(_own_blocks(source, start, stop), 0, None, cut)
         else:
             # a line belongs to the split it begins in; look back one byte to see whether
             # one begins right at the start
@@ -250,6 +281,32 @@ def _chunks(source, limit: int | None) -> Iterator[bytes]:
         yield chunk
 
 
+def _ends_line(source, start: int, stop: int) -> bool:
+    """Whether the gzip blocks from ``start`` to ``stop`` end with a line feed."""
+    source.seek(start)
+    last = b""
+    for data in _inflate(_chunks(source, stop - start)):
+        last = data[-1:] or last
+    return last == b"\n"
+
+
+def _own_blocks(source, start: int, stop: int) -> Iterator[bytes]:
+    """The text of the gzip blocks from ``start`` to ``stop``, and of what follows as much as ends the
+    last line."""
+    last = b""
+    for data in _inflate(_chunks(source, stop - start)):
+        last = data[-1:] or last
+        yield data
+    if last == b"\n":
+        return
+    source.seek(stop)
+    for data in _inflate(_chunks(source, None)):
+        head, feed, _ = data.partition(b"\n")
+        yield head + feed
+        if feed:
+            return
+
+
 def _inflate(chunks: Iterable[bytes]) -> Iterator[bytes]:
     """Unpack gzip members standing one behind the other."""
     member = None
@@ -260,25 +317,25 @@ def _inflate(chunks: Iterable[bytes]) -> Iterator[bytes]:
                 if not data:
                     break
                 member = zlib.decompressobj(zlib.MAX_WBITS | 16)
-            yield member.decompress(data)
-            data = member.unused_data
-            if not member.eof:
-                break
-            member = None
+            yield member.decompress(data, CHUNK_BYTES)
+            if member.eof:
+                data, member = member.unused_data, None
+            else:
+                data = member.unconsumed_tail
     if member is not None:
         raise EOFError("gzip text ends within a member")
 
 
 def _lines(
-    chunks: Iterable[bytes], start: int, stop: int | None
+    chunks: Iterable[bytes], start: int, stop: int | None, cut: bool = False
 ) -> Iterator[tuple[list[bytes], np.ndarray]]:
     """Runs of lines, with positions, of those that begin in ``[start, stop)``.
 
     A reader with ``start > 0`` begins one byte early and drops all up to the first line
-    feed.
+    feed; so does one whose text is ``cut`` in front.
     """
     position = max(start - 1, 0)
-    aligned = start == 0
+    aligned = start == 0 and not cut
     rest = b""
     for chunk in chunks:
         lines = (rest + chunk).split(b"\n")

@@ -142,6 +142,26 @@ def test_packed_index_splits_at_its_blocks(spark, tmp_path, split_bytes, index):
     assert (len(splits) > 1) == (index == "full" and split_bytes < 1000)
 
 
+@pytest.mark.parametrize("split_bytes", [1, 60, 1 << 20])
+@pytest.mark.parametrize("size", [3, 11, 40])
+def test_lines_across_index_blocks(spark, tmp_path, split_bytes, size):
+    texts = [f"line {i} " + "x" * (i % 13) for i in range(30)] + ["the last, without an end"]
+    data = "\n".join(texts).encode()
+    blocks = [gzip.compress(data[i : i + size]) for i in range(0, len(data), size)]
+    members = {CDX_GZ: b"".join(blocks), "indexes/index.idx": blocks_file(blocks)}
+    write_archive(tmp_path / "a.wacz", members)
+    rows = member_lines(archives(spark, str(tmp_path)), CDX_GZ, split_bytes=split_bytes).collect()
+    assert sorted(r.line.decode() for r in rows) == sorted(texts)
+
+
+def test_every_file_is_listed(spark, tmp_path):
+    for name in ("x.wacz", "_under.wacz", ".dot.wacz"):
+        write_archive(tmp_path / name, {SEEDS: page_list({"url": "u"})})
+    (tmp_path / "zero.wacz").write_bytes(b"")
+    listing = {(r.path.rsplit("/", 1)[1], r.length > 0) for r in archives(spark, str(tmp_path)).collect()}
+    assert listing == {("x.wacz", True), ("_under.wacz", True), (".dot.wacz", True), ("zero.wacz", False)}
+
+
 def test_inflate_reports_cut_text():
     data = gzip.compress(b"abc") + b"\0\0" + gzip.compress(b"def") + b"\0"
     assert b"".join(_inflate([data[:5], data[5:]])) == b"abcdef"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from archivetables import content_by_url, generate_records, harvest_tables, write_harvest
 from archivetables.operators import active_records, drop_duplicate_urls, join_captures
 from archivetables.plans import scan_cdx, scan_pages
+from archivetables.plans.archive_tables import scan_problems
 from archivetables.plans.generate import ArchiveProblemError
 from archivetables.schemas import RECORD
 from archivetables.sources import fetch_warc, read_url_list
@@ -148,9 +149,17 @@ def test_malformed_page_line(spark, tmp_path):
 
 def test_incomplete_archives_are_named(spark, tmp_path):
     write_archive(tmp_path / "empty.wacz", {SEEDS: page_list()})
-    with pytest.raises(ArchiveProblemError, match="no index lines"):
+    with pytest.raises(ArchiveProblemError, match="no index: 1"):
         generate_records(spark, str(tmp_path), check_archives=True)
-    assert generate_records(spark, str(tmp_path)).count() == 0
+    with pytest.raises(ArchiveProblemError, match="empty.wacz"):
+        generate_records(spark, str(tmp_path))
+    assert generate_records(spark, str(tmp_path), check_archives=False).count() == 0
+    assert generate_records(spark, str(tmp_path), strict=False).count() == 0
+    for name in ("zero.wacz", "_under.wacz"):
+        (tmp_path / name).write_bytes(b"")
+    with pytest.raises(ArchiveProblemError, match="unreadable archive: 2"):
+        generate_records(spark, str(tmp_path))
+    assert {r.problem for r in scan_problems(spark, str(tmp_path)).collect()} >= {"unreadable archive"}
 
 
 def test_content_by_url(spark, crawl):

@@ -1,11 +1,12 @@
+import gzip
 from datetime import UTC, datetime
 
 import pytest
 
 from archivetables import operators as ops
 
-DAYS = [("https://example.com/page1", "2025-01-15"), ("https://example.com/page2", "2025-02-20"),
-        ("https://example.com/page3", "2025-03-10"), ("undated", None)]
+DAYS = [("//shop/june", "2019-06-30"), ("//shop/july", "2019-07-01"), ("//shop/october", "2019-10-31"),
+        ("//shop/never", None)]
 
 
 @pytest.fixture
@@ -16,18 +17,19 @@ def pages(spark):
 
 
 def names(df):
-    return sorted(r.url[-5:] for r in df.collect())
+    return sorted(r.url.rpartition("/")[2] for r in df.collect())
 
 
 @pytest.mark.parametrize(
     ("bounds", "expected"),
     [
-        ((None, None), ["dated", "page1", "page2", "page3"]),
-        (("2025-02-01", None), ["page2", "page3"]),
-        ((None, "2025-02-01"), ["page1"]),
-        (("2025-02-01", "2025-03-01"), ["page2"]),
-        (("2025-02-20", "2025-03-10"), ["page2"]),
-        (("February 1, 2025", "20250301"), ["page2"]),
+        ((None, None), ["july", "june", "never", "october"]),
+        (("2019-07-01", None), ["july", "october"]),
+        ((None, "2019-07-01"), ["june"]),
+        (("2019-07-01T00:00:01", None), ["october"]),
+        (("2019-06-30", "2019-10-31"), ["july", "june"]),
+        (("1 July 2019", "20191101"), ["july", "october"]),
+        (("2020", None), []),
     ],
 )
 def test_date_bounds(pages, bounds, expected):
@@ -35,10 +37,10 @@ def test_date_bounds(pages, bounds, expected):
 
 
 def test_bound_given_per_call_goes_first(pages):
-    got = ops.filter_by_date(pages, "2025-02-15", "", default_from="2025-03-01", default_to="2025-03-01")
-    assert names(got) == ["page2"]
-    assert names(ops.filter_by_date(pages, default_from="2025-03-01")) == ["page3"]
-    assert names(ops.filter_by_date(pages, "2025-03-01", keep_undated=True)) == ["dated", "page3"]
+    got = ops.filter_by_date(pages, "2019-07-01", "", default_from="2020-01-01", default_to="2019-08-01")
+    assert names(got) == ["july"]
+    assert names(ops.filter_by_date(pages, default_from="2019-08-01")) == ["october"]
+    assert names(ops.filter_by_date(pages, "2019-08-01", keep_undated=True)) == ["never", "october"]
 
 
 def test_zone_of_a_bound_is_dropped():
@@ -48,12 +50,11 @@ def test_zone_of_a_bound_is_dropped():
 
 
 def test_roots(spark):
-    urls = ["https://example.com/sitemap.xml", "https://example.com/news/sitemap.xml",
-            "https://example.com/sitemap.xml?x=1", "HTTPS://other.org/sitemap.xml"]
+    urls = ["http://a.test:8080/map/one.xml", "http://a.test:8080/two.xml", "http://a.test:8080/two.xml#x",
+            "https://a.test/two.xml"]
     df = spark.createDataFrame([(u,) for u in urls], "sitemap_url string")
     assert {(r.root, r.path) for r in ops.sitemap_roots(df).collect()} == {
-        ("https://example.com", "/sitemap.xml"), ("https://example.com", "/news/sitemap.xml"),
-        ("https://other.org", "/sitemap.xml"),
+        ("http://a.test:8080", "/map/one.xml"), ("http://a.test:8080", "/two.xml"), ("https://a.test", "/two.xml"),
     }
 
 
@@ -120,14 +121,72 @@ def test_links_and_reachable(spark, docs):
     roots = spark.createDataFrame([("h/robots.txt",), ("h/robots.txt",)], "sitemap_url string")
     reached = sorted(r.sitemap_url for r in ops.reachable_sitemaps(links, roots).collect())
     assert reached == ["h/a.xml", "h/b.xml", "h/index.xml", "h/index2.xml", "h/plain.xml", "h/robots.txt"]
-    near = ops.reachable_sitemaps(links, roots, max_depth=1).collect()
-    assert sorted(r.sitemap_url for r in near) == ["h/index.xml", "h/plain.xml", "h/robots.txt"]
+
+
+def test_a_chain_of_any_length_is_walked(spark):
+    links = spark.range(40).selectExpr("'s' || id AS sitemap_url", "'s' || (id + 1) AS linked_url")
+    roots = spark.createDataFrame([("s0",)], "sitemap_url string")
+    assert ops.reachable_sitemaps(links, roots).count() == 41
+
+
+ODD = [
+    ("bom", "\ufeff<?xml version='1.0'?><urlset><url><loc>h/1</loc></url></urlset>", {"h/1"}, {}),
+    ("blank", "\n <?xml version='1.0'?>\n<!-- urls -->\n<urlset><url><loc>h/2</loc></url></urlset>\n", {"h/2"}, {}),
+    ("cut", "<urlset><url><loc>h/3</loc></url><url><loc>h/4</lo", {"h/3"},
+     {"ends within the document": 1, "no address": 1}),
+    ("bare", "<urlset><url><loc>h/5?a&b</loc></url><url><loc>h/6?a&amp;b&#38;c</loc></url></urlset>",
+     {"h/5?a&b", "h/6?a&b&c"}, {}),
+    ("cdata", "<urlset><url><loc><![CDATA[ h/7?a&b ]]></loc><lastmod>soon</lastmod></url></urlset>", {"h/7?a&b"},
+     {"no date": 1}),
+    ("image", "<urlset xmlns:i='x'><url><i:image><i:loc>h/i</i:loc></i:image><loc>h/8</loc></url></urlset>", {"h/8"}, {}),
+    ("feed", "<rss><channel><item><link>h/9</link><title>a urlset</title></item></channel></rss>", {"h/9"}, {}),
+    ("broken feed", "<rss><channel><item><link>h/10</link></channel></rss>", set(), {"no well-formed feed": 1}),
+    ("page", "<html><body>urlset</body></html>", set(), {"no sitemap": 1}),
+    ("nothing", "", set(), {"empty body": 1}),
+    ("null", None, set(), {"unreadable body": 1}),
+    ("empty set", "<urlset/>", set(), {}),
+    ("many", "<urlset>" + "<url><loc>h/same</loc></url>" * 30_000 + "</urlset>", {"h/same"}, {}),
+]
+
+
+@pytest.mark.parametrize("packed", [None, False, True])
+def test_odd_documents_are_read_or_reported(spark, packed):
+    def body(text):
+        if packed is None or text is None:
+            return text
+        return gzip.compress(text.encode()) if packed else text.encode()
+
+    kind = "string" if packed is None else "binary"
+    docs = spark.createDataFrame([(u, body(t)) for u, t, _, _ in ODD], f"sitemap_url string, body {kind}")
+    found, rejects = {}, {}
+    for r in ops.sitemap_entries(docs).collect():
+        found.setdefault(r.sitemap_url, set()).add(r.url)
+    for r in ops.sitemap_rejects(docs).collect():
+        rejects.setdefault(r.sitemap_url, {})[r.reason] = r.n
+    assert found == {u: urls for u, _, urls, _ in ODD if urls}
+    assert rejects == {u: reasons for u, _, _, reasons in ODD if reasons}
+
+
+def test_damaged_gzip_is_reported(spark):
+    docs = spark.createDataFrame([("d", bytearray(gzip.compress(b"<urlset/>")[:-9]))], "sitemap_url string, body binary")
+    assert ops.sitemap_entries(docs).count() == 0
+    assert [r.reason for r in ops.sitemap_rejects(docs).collect()] == ["unreadable body"]
+
+
+def test_fields_of_a_page(spark):
+    body = ("<urlset><url><loc>h/1</loc><lastmod>January 5, 2024</lastmod><changefreq>daily</changefreq>"
+            "<priority>0.8</priority></url><url><loc>h/1</loc><lastmod>2024-01-05</lastmod></url></urlset>")
+    docs = spark.createDataFrame([("a", body), ("b", body)], "sitemap_url string, body string")
+    pages = ops.distinct_pages(ops.sitemap_entries(docs)).orderBy("priority").collect()
+    assert [tuple(map(str, r)) for r in pages] == [
+        ("h/1", "2024-01-05 00:00:00", "None", "None"), ("h/1", "2024-01-05 00:00:00", "daily", "0.8"),
+    ]
 
 
 def test_distinct(pages):
     twice = pages.union(pages).union(pages.selectExpr("url", "last_modified + INTERVAL 1 DAY"))
     assert ops.distinct_pages(twice).count() == 7
-    latest = ops.distinct_pages(twice, by="url").where("url LIKE '%page1'").first()
-    assert str(latest.last_modified) == "2025-01-16 00:00:00"
+    latest = ops.distinct_pages(twice, by="url").where("url LIKE '%june'").first()
+    assert str(latest.last_modified) == "2019-07-01 00:00:00"
     with pytest.raises(ValueError, match="by must be"):
         ops.distinct_pages(pages, by="host")

@@ -153,7 +153,7 @@ page_headers AS (
       {'name': 'Set-Cookie', 'position': 0, 'value': 'page=' || page_id},
       {'name': 'content-encoding', 'position': 0,
        'value': CASE WHEN url LIKE 'https:%' THEN 'gzip' ELSE 'identity' END},
-      {'name': 'Set-Cookie', 'position': 1, 'value': substr(url, 1, 30)},
+      {'name': 'Set-Cookie', 'position': 1, 'value': url},
       {'name': 'Transfer-Encoding', 'position': 0, 'value': 'chunked'},
       {'name': 'set-cookie', 'position': 0, 'value': 'lower'}]) AS h
     FROM page_base WHERE NOT has_fragment)),

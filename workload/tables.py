@@ -285,7 +285,7 @@ def archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("Content-Type", html),
         ("Set-Cookie", text("page=", F.col("page_id"))),
         ("content-encoding", encoding),
-        ("Set-Cookie", F.substring("url", 1, 30)),
+        ("Set-Cookie", F.col("url")),
         ("Transfer-Encoding", F.lit("chunked")),
         ("set-cookie", F.lit("lower")),
     )
