@@ -6,11 +6,11 @@ alike (largest group first), the first ``d + 1`` groups of both have one in comm
 filed under those, and only documents that share such a group can link. No link is lost, and nothing
 is sampled.
 
-Documents filed under a group are linked into a chain, and the chain's pairs are verified by the sets
-themselves. A group whose members are by then in one component has nothing more to say. Of the other
-groups, members of different components are compared by an R-tree: points are vectors of counts by
-hashed group, a box knows the largest count of each coordinate, and the sum of the coordinate minima
-bounds the overlap of two points, or of all points of two boxes. Pairs that survive are verified.
+Documents filed under a group are linked into a chain. The chain's pairs are tested by points, vectors
+of counts by hashed group whose summed coordinate minima bound the overlap; those that may link are
+verified by the sets themselves. A group whose members are by then in one component has nothing more to say. Of the other
+groups, members of different components are compared by an R-tree of these points: a box knows the largest count of each coordinate, so
+that the same sum bounds the overlap of all points of two boxes. Pairs that survive are verified.
 
 Copies of a text cost a link each. A group that holds a third of all rows is chained by
 each task first, so that one entry for each task goes on; groups that stay mixed are compared in blocks.
@@ -36,6 +36,7 @@ CLASS = 2
 HELD = 4_000_000  # filed groups that a task holds before it chains them
 POINT = 2  # shingles for each coordinate of a point
 LEAF, BLOCK = 16, 1024  # points in a box; members of a group compared at a time
+SMALLEST = 16  # keys by which a pair is left to another group; of more keys it may come twice
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,7 +147,9 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 def point(found: np.ndarray) -> np.ndarray:
     """Counts of shingles by group; the number of groups is a power of two that fits the size."""
     n = max(16, 1 << (len(found) // POINT).bit_length())
-    return np.bincount(found % np.uint64(n), minlength=n).astype("uint16").clip(max=65535)
+    while (counts := np.bincount(found % np.uint64(n), minlength=n)).max() > 255:
+        n *= 2
+    return counts.astype("uint8")
 
 
 def folded(points: list[np.ndarray]) -> np.ndarray:
@@ -258,60 +261,78 @@ def _chains(filed: DataFrame) -> DataFrame:
     )
 
 
-def _sets(chunks: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """``row, found, n, point``: of some rows the set, packed, its size and its point in the tree."""
-    chunk = F.shiftright("row", CHUNK_ROWS.bit_length() - 1)
-    wanted = rows.select(
-        chunk.alias("chunk"), F.pmod("row", F.lit(CHUNK_ROWS)).cast("int").alias("pos")
-    )
-    parts = chunks.select("chunk", "part")
-    wanted = wanted.join(parts, "chunk")
+def _asked(chunks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The chunks that hold rows of ``pairs``, with their positions."""
+    rows = pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")).distinct()
+    chunk = F.shiftright("row", CHUNK_ROWS.bit_length() - 1).alias("chunk")
+    wanted = rows.select(chunk, F.pmod("row", F.lit(CHUNK_ROWS)).cast("int").alias("pos"))
+    wanted = wanted.join(chunks.select("chunk", "part"), "chunk")
+    asked = with_answers(chunks, wanted, "wanted").filter("wanted IS NOT NULL")
+    return asked.select("chunk", "texts", "wanted")
+
+
+def _of_rows(asked: DataFrame, words: int, whole: bool) -> DataFrame:
+    """``row, n, data`` of the rows asked for: the size of the set, and the packed set or its point."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                row = batch.slice(i, 1).to_pylist()[0]
-                for w in row["wanted"] or ():
-                    found = shingles(row["texts"][w["pos"]], words)
+                chunk = batch.slice(i, 1).to_pylist()[0]
+                at = [w["pos"] for w in chunk["wanted"]]
+                for begin in range(0, len(at), 64):
+                    own = at[begin : begin + 64]
+                    found = [shingles(chunk["texts"][pos], words) for pos in own]
+                    data = [(f if whole else point(f)).tobytes() for f in found]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([row["chunk"] * CHUNK_ROWS + w["pos"]], pa.int64()),
-                            pa.array([found.tobytes()], pa.binary()),
-                            pa.array([len(found)], pa.int64()),
-                            pa.array([point(found).tobytes()], pa.binary()),
+                            pa.array([chunk["chunk"] * CHUNK_ROWS + pos for pos in own], pa.int64()),
+                            pa.array([len(f) for f in found], pa.int64()),
+                            pa.array(data, pa.binary()),
                         ],
-                        ["row", "found", "n", "point"],
+                        ["row", "n", "data"],
                     )
 
-    asked = with_answers(chunks, wanted, "wanted").filter("wanted IS NOT NULL")
-    return asked.select("chunk", "texts", "wanted").mapInArrow(
-        run, "row bigint, found binary, n bigint, point binary"
-    )
+    found = asked.mapInArrow(run, "row bigint, n bigint, data binary")
+    return written(found, "jaccard-sets" if whole else "jaccard-points")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """``a, b, links`` of pairs of rows."""
+def _tested(pairs: DataFrame, rows: DataFrame, similarity: Similarity, whole: bool) -> DataFrame:
+    """``a, b`` of the pairs whose sets link or, by their points, may link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = (np.frombuffer(z.as_buffer(), "uint64") for z in (x, y))
-                links.append(similarity.links(overlap(x, y), len(x), len(y)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(links, pa.bool_())], ["a", "b", "links"]
-            )
-
-    left = sets.select(F.col("row").alias("a"), F.col("found").alias("x"))
-    right = sets.select(F.col("row").alias("b"), F.col("found").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(
-        run, "a bigint, b bigint, links boolean"
-    )
-
-
-def _survivors(mixed: DataFrame, similarity: Similarity) -> DataFrame:
-    """``a, b``: of the members of each key (``key, row, component, n, point``), the pairs of different
-    components that the R-tree lets through. Large keys are compared block by block."""
+            keep = []
+            columns = (batch.column(c) for c in ("n_a", "n_b", "x", "y"))
+            for n_a, n_b, x, y in zip(*columns, strict=True):
+                n_a, n_b = n_a.as_py(), n_b.as_py()
+                if whole:
+                    x, y = (np.frombuffer(z.as_buffer(), "uint64") for z in (x, y))
+                    keep.append(similarity.links(overlap(x, y), n_a, n_b))
+                else:
+                    x, y = folded([np.frombuffer(z.as_buffer(), "uint8") for z in (x, y)])
+                    keep.append(np.minimum(x, y).sum() >= similarity.overlap(n_a + n_b))
+            kept = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            if len(kept):
+                yield kept
+
+    def end(name: str, data: str) -> DataFrame:
+        return rows.select(
+            F.col("row").alias(name), F.col("n").alias(f"n_{name}"), F.col("data").alias(data)
+        )
+
+    both = pairs.select("a", "b").join(end("a", "x"), "a").join(end("b", "y"), "b")
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def _links(chunks: DataFrame, pairs: DataFrame, words: int, similarity: Similarity) -> DataFrame:
+    sets = _of_rows(_asked(chunks, pairs), words, whole=True)
+    return written(_tested(pairs, sets, similarity, whole=True), "jaccard-links")
+
+
+def _survivors(mixed: DataFrame, points: DataFrame, similarity: Similarity) -> DataFrame:
+    """``a, b``: of the members of each key (``key, row, component``), with their points (``row, n, data,
+    smallest``), the pairs of different components that the R-tree lets through. Large keys are compared block by block. A pair
+    that is known to share a smaller key too (``smallest`` are some of a row's) is left to that one."""
     counts = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     dealt = mixed.join(written(counts, "jaccard-blocks"), "key")
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("row"), F.col("_blocks")).cast("int"))
@@ -325,15 +346,20 @@ def _survivors(mixed: DataFrame, similarity: Similarity) -> DataFrame:
 
         def compare() -> pa.RecordBatch:
             tree = Tree(
-                folded([np.frombuffer(m["point"], "uint16") for m in members]),
+                folded([np.frombuffer(m["data"], "uint8") for m in members]),
                 np.array([m["n"] for m in members]),
                 np.array([m["component"] for m in members]),
             )
             block = np.array([m["_block"] for m in members])
+            below = [{k for k in m["smallest"] if k < group[0]} for m in members]
             left, right = np.flatnonzero(block == group[1]), np.flatnonzero(block == group[2])
             pairs = [] if not (len(left) and len(right)) else tree.pairs(left, right, similarity)
             rows = [m["row"] for m in members]
-            pairs = {(min(rows[i], rows[j]), max(rows[i], rows[j])) for i, j in pairs}
+            pairs = {
+                (min(rows[i], rows[j]), max(rows[i], rows[j]))
+                for i, j in pairs
+                if below[i].isdisjoint(below[j])
+            }
             a, b = zip(*pairs, strict=True) if pairs else ((), ())
             return pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
@@ -351,7 +377,9 @@ def _survivors(mixed: DataFrame, similarity: Similarity) -> DataFrame:
             yield compare()
 
     return (
-        dealt.repartition("key", "_low", "_high")
+        dealt.drop("_blocks", "_other")
+        .join(points, "row")  # last, so that points move once
+        .repartition("key", "_low", "_high")
         .sortWithinPartitions("key", "_low", "_high")
         .mapInArrow(run, "a bigint, b bigint")
     )
@@ -397,17 +425,15 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     by_row = by_row.withColumns({"_a": F.col("a"), "_b": F.col("b")})
     by_row = written(_joined(_joined(by_row, nodes, "a"), nodes, "b").filter("a <> b"), "jaccard-pairs")
     pairs = written(_ordered(by_row).distinct(), "jaccard-distinct")
-    ends = pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")).distinct()
-    sets = written(_sets(chunks, ends, words), "jaccard-sets")
-    tried = written(_verified(pairs, sets, similarity), "jaccard-verified")
-    links = tried.filter("links").select("a", "b")
+    points = _of_rows(_asked(chunks, pairs), words, whole=False)
+    likely = written(_tested(pairs, points, similarity, whole=False), "jaccard-likely")
+    links = _links(chunks, likely, words, similarity)
     joined = components(links, "jaccard-components")
 
-    more = _mixed_pairs(chains, by_row, nodes, joined, sets, similarity)
-    more = written(more.join(pairs, ["a", "b"], "left_anti"), "jaccard-more")
+    more = _mixed_pairs(chains, by_row, nodes, joined, points, similarity)
+    more = written(more.join(likely, ["a", "b"], "left_anti"), "jaccard-more")
     if not more.isEmpty():
-        found = written(_verified(more, sets, similarity), "jaccard-verified")
-        links = links.unionAll(found.filter("links").select("a", "b"))
+        links = links.unionAll(_links(chunks, more, words, similarity))
         joined = components(links, "jaccard-components")
 
     roots = joined.select("node", F.col("component").alias("_root"))
@@ -438,7 +464,7 @@ def _mixed_pairs(
     by_row: DataFrame,
     nodes: DataFrame,
     joined: DataFrame,
-    sets: DataFrame,
+    points: DataFrame,
     similarity: Similarity,
 ) -> DataFrame:
     """Pairs of the groups whose members are in several components by now, as far as the tree allows.
@@ -458,5 +484,7 @@ def _mixed_pairs(
     members = _joined(rows, nodes, "row").distinct()
     members = members.join(joined, F.col("row") == F.col("node"), "left")
     members = members.withColumn("component", F.coalesce("component", "row")).drop("node")
-    members = members.join(sets.select("row", "n", "point"), "row")
-    return _survivors(written(members, "jaccard-mixed-members"), similarity).distinct()
+    members = written(members, "jaccard-mixed-members")
+    smallest = F.slice(F.sort_array(F.collect_list("key")), 1, SMALLEST).alias("smallest")
+    smallest = members.groupBy("row").agg(smallest)  # of the groups that a row is filed under
+    return _survivors(members, points.join(smallest, "row"), similarity).distinct()
