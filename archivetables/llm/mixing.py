@@ -155,11 +155,11 @@ def mix_rates(
         F.sum(F.col("size") * F.col("_n")).alias("source_size"), F.sum("_n").alias("n_docs")
     )
     tilted = tilt(histogram.drop("source"), source_targets(sizes, share, cap, weights), cap)
-    exact = F.when(
+    inside = F.when(
         F.col("_tilt").isNotNull(),
         F.least(F.lit(float(cap)), F.exp(F.col("_tilt") * F.col("size") / F.col("_mean"))),
     ).otherwise(F.lit(float(cap)))
-    rate = F.when(F.col("size") > 0, exact).otherwise(0.0)
+    rate = F.when(F.col("size") > 0, inside).otherwise(0.0)
     rated = narrow.join(tilted.drop("source", "n_docs", "weight"), "_key")
     rated = rated.select(
         *narrow.columns,
