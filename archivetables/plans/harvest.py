@@ -3,7 +3,8 @@ records."""
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,13 +21,34 @@ from archivetables.sinks import write_records
 from archivetables.sources.url_lists import save_url_snapshot
 
 
-class HarvestTables(NamedTuple):
+class HarvestTables:
     """``seed_urls`` is limited by date, for the crawler; ``all_urls`` is not, for the
-    comparison with the previous and the next run."""
+    comparison with the previous and the next run. Both are null without sitemaps. Each table is planned,
+    and the sitemap tree walked, when it is first asked for."""
 
-    seed_urls: DataFrame | None
-    all_urls: DataFrame | None
-    records: DataFrame
+    def __init__(
+        self,
+        pages: Callable[[], DataFrame] | None,
+        seeds: Callable[[DataFrame], DataFrame],
+        records: Callable[[DataFrame | None], DataFrame],
+    ) -> None:
+        self._plan_pages, self._plan_seeds, self._plan_records = pages, seeds, records
+
+    @cached_property
+    def _pages(self) -> DataFrame | None:
+        return self._plan_pages() if self._plan_pages else None
+
+    @cached_property
+    def seed_urls(self) -> DataFrame | None:
+        return None if self._pages is None else self._plan_seeds(self._pages).select("url")
+
+    @cached_property
+    def all_urls(self) -> DataFrame | None:
+        return None if self._pages is None else self._pages.select("url")
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return self._plan_records(self.all_urls)
 
 
 def harvest_tables(
@@ -41,22 +63,25 @@ def harvest_tables(
 ) -> HarvestTables:
     """URL lists from sitemap documents and records from archives.
 
-    With ``roots`` only documents reachable from them count; the sitemap tree is walked, in
-    Spark jobs, when this is called. Vanished URLs are those the
+    With ``roots`` only documents reachable from them count; the tree is walked by Spark jobs, and
+    bodies are cut to their entries before anything is joined. Vanished URLs are those the
     previous list has and the unfiltered current one lacks: with the date-limited list
     every unmodified page would count as vanished. Without sitemaps there is no current
     list, hence nothing vanished.
     """
-    seed_urls = all_urls = None
-    if sitemap_docs is not None:
+
+    def pages() -> DataFrame:
+        entries = sitemap_entries(sitemap_docs)
         if roots is not None:
             reached = reachable_sitemaps(sitemap_links(sitemap_docs), roots)
-            sitemap_docs = sitemap_docs.join(reached, "sitemap_url", "left_semi")
-        pages = distinct_pages(sitemap_entries(sitemap_docs))
-        seed_urls = filter_by_date(pages, from_date, to_date).select("url")
-        all_urls = pages.select("url")
-    records = generate_records(spark, wacz_paths, all_urls, previous_urls, **record_options)
-    return HarvestTables(seed_urls, all_urls, records)
+            entries = entries.join(reached, "sitemap_url", "left_semi")
+        return distinct_pages(entries)
+
+    return HarvestTables(
+        pages if sitemap_docs is not None else None,
+        lambda found: filter_by_date(found, from_date, to_date),
+        lambda urls: generate_records(spark, wacz_paths, urls, previous_urls, **record_options),
+    )
 
 
 def write_harvest(

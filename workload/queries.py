@@ -415,6 +415,10 @@ def sitemap_root_paths(spark, sf_dir):
 DATE_TEXT = "strftime(last_modified, '%Y-%m-%d %H:%M:%S') AS last_modified"
 
 
+PAGE_TEXT = """CASE WHEN o_orderkey % 3 = 0 THEN 'daily' END AS change_frequency,
+           '0.' || (o_orderkey % 10) AS priority"""
+
+
 def _dated(pages: DataFrame) -> DataFrame:
     return pages.withColumn(
         "last_modified", tb.utc_text("last_modified", "yyyy-MM-dd HH:mm:ss")
@@ -424,7 +428,7 @@ def _dated(pages: DataFrame) -> DataFrame:
 @query(
     f"""WITH {sql.ORDER_SITEMAP}
     SELECT 'https://c' || o_custkey || '.example.com/sitemap-' || part || '.xml' AS sitemap_url,
-           url, {DATE_TEXT}
+           url, {DATE_TEXT}, {PAGE_TEXT}
     FROM order_sitemap"""
 )
 def sitemap_entries(spark, sf_dir):
@@ -446,16 +450,64 @@ def sitemap_links(spark, sf_dir):
 
 @query(
     f"""WITH {sql.SITEMAP_PARTS}
-    SELECT url, {DATE_TEXT} FROM order_sitemap JOIN linked_parts USING (o_custkey, part)"""
+    SELECT url, {DATE_TEXT}, {PAGE_TEXT}
+    FROM order_sitemap JOIN linked_parts USING (o_custkey, part)"""
 )
 def sitemap_tree_pages(spark, sf_dir):
     docs = tb.sitemap_docs(spark, sf_dir)
     roots = docs.where("sitemap_url LIKE '%/robots.txt'")
     reached = ops.reachable_sitemaps(ops.sitemap_links(docs), roots)
-    pages = ops.sitemap_entries(docs.join(reached, "sitemap_url", "left_semi"))
+    pages = ops.sitemap_entries(docs).join(reached, "sitemap_url", "left_semi")
     return _dated(ops.distinct_pages(pages))
 
 
+@query(
+    """WITH RECURSIVE links AS (
+      SELECT o_orderkey, o_orderkey // 400 AS chain,
+             lead(o_orderkey) OVER (PARTITION BY o_orderkey // 400 ORDER BY o_orderkey) AS next
+      FROM orders),
+    walk AS (
+      SELECT min(o_orderkey) AS o_orderkey FROM links GROUP BY chain
+      UNION
+      SELECT next FROM walk JOIN links USING (o_orderkey)
+      WHERE o_orderkey % 97 <> 0 AND next IS NOT NULL)
+    SELECT 'sitemap-' || o_orderkey AS sitemap_url FROM walk"""
+)
+def sitemap_deep_tree(spark, sf_dir):
+    chain = tb.sitemap_chain(spark, sf_dir)
+    return ops.reachable_sitemaps(chain.where("linked_url IS NOT NULL"), chain.where("is_root"))
+
+
+@query(
+    """SELECT 'odd-' || o_orderkey || '.xml' AS sitemap_url,
+           'https://odd.example.com/o?id=' || o_orderkey || '&x=1' AS url
+    FROM orders WHERE o_orderkey % 6 <> 4"""
+)
+def sitemap_odd_entries(spark, sf_dir):
+    docs = tb.odd_sitemaps(spark, sf_dir).withColumn("body", F.col("body").cast("binary"))
+    return ops.sitemap_entries(docs).select("sitemap_url", "url")
+
+
+@query(
+    """SELECT 'odd-' || o_orderkey || '.xml' AS sitemap_url, reason, CAST(1 AS BIGINT) AS n
+    FROM orders JOIN (VALUES (1, 'ends within the document'), (1, 'no address'), (4, 'no sitemap'))
+        AS reasons(kind, reason) ON o_orderkey % 6 = kind"""
+)
+def sitemap_rejects(spark, sf_dir):
+    return ops.sitemap_rejects(tb.odd_sitemaps(spark, sf_dir))
+
+
+@query(
+    """SELECT event_id AS line_no, CASE WHEN event_type = 'error' THEN 'fatal' ELSE 'ok' END AS class,
+           CASE WHEN event_type = 'error' THEN 'user ' || user_id || ' ' || chr(65533) || chr(65533) END
+             AS message
+    FROM events"""
+)
+def crawl_fatal_damaged(spark, sf_dir):
+    lines = ops.crawl_log_lines(tb.damaged_log(spark, sf_dir))
+    return ops.crawl_fatal(lines).select("line_no", "class", "message")
+
+
 def _shipments(spark, sf_dir):
     return tb.table(spark, sf_dir, "lineitem").select(
         tb.part_url("l_partkey").alias("url"),

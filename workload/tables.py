@@ -8,7 +8,7 @@ crawl logs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivetables.session import partitions_for, scratch_dir
@@ -157,7 +157,9 @@ def built_sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("url"),
         " </loc><lastmod>",
         utc_text("last_modified", "yyyy-MM-dd"),
-        "</lastmod></url>",
+        "</lastmod>",
+        F.when(F.col("o_orderkey") % 3 == 0, "<changefreq>daily</changefreq>").otherwise(""),
+        text("<priority>0.", F.col("o_orderkey") % 10, "</priority></url>"),
     )
     xmlns = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
     urlsets = pages.groupBy("o_custkey", "part").agg(
@@ -186,6 +188,54 @@ def built_sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlsets.union(indexes).union(robots)
 
 
+def sitemap_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sitemap per order that names the next order's, in chains of up to 400 orders; one in 97
+    names none."""
+    orders = table(spark, sf_dir, "orders")
+    chain = Window.partitionBy(F.expr("o_orderkey div 400")).orderBy("o_orderkey")
+    return orders.select(
+        text("sitemap-", F.col("o_orderkey")).alias("sitemap_url"),
+        F.when(F.col("o_orderkey") % 97 != 0, text("sitemap-", F.lead("o_orderkey").over(chain))).alias(
+            "linked_url"
+        ),
+        (F.row_number().over(chain) == 1).alias("is_root"),
+    )
+
+
+def odd_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sitemap of one page per order, of a kind that follows from its number: with a byte-order mark,
+    cut at the end, with a bare ampersand, a feed that mentions the tag of a sitemap, an HTML page, and
+    packed bytes."""
+    url = text("https://odd.example.com/o?id=", F.col("o_orderkey"), "&x=1")
+    escaped = F.replace(url, F.lit("&"), F.lit("&amp;"))
+    sitemap = text("<urlset><url><loc>", escaped, "</loc></url></urlset>")
+    kind = F.col("o_orderkey") % 6
+    body = (
+        F.when(kind == 0, text("\ufeff\n<?xml version='1.0'?>", sitemap))
+        .when(kind == 1, text(sitemap.substr(F.lit(1), F.length(sitemap) - 9), "<url><loc>"))
+        .when(kind == 2, text("<urlset><url><loc>", url, "</loc></url></urlset>"))
+        .when(kind == 3, text("<rss><channel><item><title>urlset</title><link>", escaped, "</link></item></channel></rss>"))
+        .when(kind == 4, text("<html>", escaped, "</html>"))
+        .otherwise(sitemap)
+    )
+    return table(spark, sf_dir, "orders").select(
+        text("odd-", F.col("o_orderkey"), ".xml").alias("sitemap_url"), body.alias("body")
+    )
+
+
+def damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of one log member with bytes that are no UTF-8 in them; errors are fatal lines."""
+    mark = F.when(F.col("event_type") == "error", '"logLevel":"fatal"').otherwise('"logLevel":"info"')
+    head = text("{", mark, ',"message":"user ', F.col("user_id"), " ")
+    return table(spark, sf_dir, "events").select(
+        F.lit("crawl").alias("wacz_path"),
+        F.lit("logs/crawl.log").alias("member"),
+        F.lit(0).cast("bigint").alias("split_start"),
+        F.col("event_id").cast("bigint").alias("line_pos"),
+        F.concat(head.cast("binary"), F.lit(b"\xff\xc3"), F.lit(b'"}')).alias("line"),
+    )
+
+
 def previous_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the previous URL list: every order's URL, twice if urgent, in white space,
     and a blank line per nation."""
