@@ -234,7 +234,7 @@ def equal_texts(chunks: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"), F.min(F.struct("chunk", "pos")).alias("least"))
         .filter("n > 1")
     )
-    return digests.join(shared, "digest").select(
+    return digests.join(written(shared, "substring-shared"), "digest").select(
         "part", "chunk", "pos", (F.struct("chunk", "pos") == F.col("least")).alias("first")
     )
 
