@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from archivetables import schemas
 from archivetables.functions import site_path, site_root, strip, w3c_timestamp
-from archivetables.session import checkpoint_root
+from archivetables.session import checkpoint_root, partitions_for
+
+LEVELS_TOGETHER = 8  # levels of a walk before what was reached is written as one
 
 ROBOTS_FILE = "/robots.txt"
 WEB_ADDRESS = r"(?i)^\s*https?://[^/\s]"
@@ -232,7 +234,8 @@ def reachable_sitemaps(links: DataFrame, roots: DataFrame) -> DataFrame:
     checkpoint_root(links.sparkSession)
     links = links.select("sitemap_url", "linked_url").distinct().checkpoint()
     level = roots.select("sitemap_url").distinct().checkpoint()
-    reached = level
+    reached, depth = level, 0
+    partitions = partitions_for(links.sparkSession)
     while not level.isEmpty():
         level = (
             level.join(links, "sitemap_url")
@@ -241,7 +244,9 @@ def reachable_sitemaps(links: DataFrame, roots: DataFrame) -> DataFrame:
             .join(reached, "sitemap_url", "left_anti")
             .checkpoint()
         )
-        reached = reached.union(level)
+        reached, depth = reached.union(level), depth + 1
+        if depth % LEVELS_TOGETHER == 0:  # or the plan would grow with every level
+            reached = reached.coalesce(partitions).checkpoint()
     return reached
 
 

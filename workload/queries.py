@@ -470,7 +470,7 @@ def sitemap_tree_pages(spark, sf_dir):
       SELECT min(o_orderkey) AS o_orderkey FROM links GROUP BY chain
       UNION
       SELECT next FROM walk JOIN links USING (o_orderkey)
-      WHERE o_orderkey % 97 <> 0 AND next IS NOT NULL)
+      WHERE o_orderkey % 41 <> 0 AND next IS NOT NULL)
     SELECT 'sitemap-' || o_orderkey AS sitemap_url FROM walk"""
 )
 def sitemap_deep_tree(spark, sf_dir):

@@ -189,13 +189,13 @@ def built_sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sitemap_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sitemap per order that names the next order's, in chains of up to 400 orders; one in 97
+    """A sitemap per order that names the next order's, in chains of up to 400 orders; one in 41
     names none."""
     orders = table(spark, sf_dir, "orders")
     chain = Window.partitionBy(F.expr("o_orderkey div 400")).orderBy("o_orderkey")
     return orders.select(
         text("sitemap-", F.col("o_orderkey")).alias("sitemap_url"),
-        F.when(F.col("o_orderkey") % 97 != 0, text("sitemap-", F.lead("o_orderkey").over(chain))).alias(
+        F.when(F.col("o_orderkey") % 41 != 0, text("sitemap-", F.lead("o_orderkey").over(chain))).alias(
             "linked_url"
         ),
         (F.row_number().over(chain) == 1).alias("is_root"),
