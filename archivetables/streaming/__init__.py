@@ -4,10 +4,6 @@
 streams as they are.
 """
 
-from archivetables.streaming.crawl_log import (
-    read_crawl_log_stream,
-    sample_status_stream,
-    stop_on_fatal,
-)
+from archivetables.streaming.crawl_log import read_crawl_log_stream, stop_on_fatal
 
-__all__ = ["read_crawl_log_stream", "sample_status_stream", "stop_on_fatal"]
+__all__ = ["read_crawl_log_stream", "stop_on_fatal"]

@@ -1,14 +1,9 @@
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from archivetables.operators.crawl_log import SAMPLE_STEP, raise_if_fatal
+from archivetables.operators.crawl_log import raise_if_fatal
 
 
 def read_crawl_log_stream(
@@ -26,28 +21,6 @@ def read_crawl_log_stream(
     )
 
 
-def sample_status_stream(status: DataFrame, step: int = SAMPLE_STEP) -> DataFrame:
-    """Each ``step``-th status entry of every log, in the order they arrive.
-
-    The state per log is one number; the entries of a batch pass through in chunks.
-    """
-    schema = status.schema
-
-    def sample(
-        key: tuple, chunks: Iterable[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        seen = state.get[0] if state.exists else 0
-        for chunk in chunks:
-            number = seen + 1 + np.arange(len(chunk))
-            seen += len(chunk)
-            yield chunk[number % step == 0]
-        state.update((seen,))
-
-    return status.groupBy("path").applyInPandasWithState(
-        sample, schema, "seen bigint", "append", GroupStateTimeout.NoTimeout
-    )
-
-
 def stop_on_fatal(batch: DataFrame, batch_id: int) -> None:
     """For ``writeStream.foreachBatch`` on log lines: a fatal line fails the stream."""
     raise_if_fatal(batch)

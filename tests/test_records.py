@@ -22,8 +22,8 @@ def kept(df):
 @pytest.fixture
 def records(spark):
     rows = [
-        ("https://example.com", "active", "100"), ("https://example.com", "active", "200"),
-        ("https://other.com", "active", "150"),
+        ("http://shop.test/a", "active", "7341"), ("http://shop.test/a", "active", "88"),
+        ("http://shop.test/a", "active", "7340"), ("http://shop.test/b", "active", "0"),
         ("text", "active", "999"), ("text", "active", "10000"),
         ("gone", "active", "5"), ("gone", "deleted", None),
         (None, "active", "1"), (None, "active", "2"),
@@ -35,8 +35,8 @@ def records(spark):
 @pytest.mark.parametrize("drop", [ops.drop_duplicate_urls, ops.drop_duplicate_urls_window])
 def test_last_offset_wins(records, drop):
     assert kept(drop(records)) == [
-        ("", "active", "2"), ("gone", "deleted", None), ("https://example.com", "active", "200"),
-        ("https://other.com", "active", "150"), ("odd", "active", "3"), ("text", "active", "10000"),
+        ("", "active", "2"), ("gone", "deleted", None), ("http://shop.test/a", "active", "7341"),
+        ("http://shop.test/b", "active", "0"), ("odd", "active", "3"), ("text", "active", "10000"),
     ]
 
 
@@ -51,6 +51,14 @@ def test_equal_offsets_fall_to_the_tie_break(spark):
     assert ops.drop_duplicate_urls(df, tie_breaks=("f",)).first().f == "b"
 
 
+@pytest.mark.parametrize("drop", [ops.drop_duplicate_urls, ops.drop_duplicate_urls_window])
+def test_ties_are_decided_by_default(spark, drop):
+    names = "url string, cdx_offset string, cdx_warc_filename string, cdx_length string"
+    rows = [("u", "5", "one", "9"), ("u", "5", "two", "10"), ("u", "5", "two", "11")]
+    for order in (rows, rows[::-1]):
+        assert drop(spark.createDataFrame(order, names)).first().cdx_length == "11"
+
+
 def test_nothing_and_deletes_only(spark):
     empty = spark.createDataFrame([], RECORD)
     assert ops.drop_duplicate_urls(empty).count() == 0

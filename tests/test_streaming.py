@@ -1,7 +1,7 @@
 import pytest
 
 from archivetables import operators as ops
-from archivetables.streaming import read_crawl_log_stream, sample_status_stream, stop_on_fatal
+from archivetables.streaming import read_crawl_log_stream, stop_on_fatal
 from tests.test_crawl_log import STATUS
 
 
@@ -27,21 +27,9 @@ def folder(tmp_path):
     return str(logs)
 
 
-def test_status_and_sample(spark, folder, tmp_path):
+def test_status(spark, folder, tmp_path):
     status = ops.crawl_status(read_crawl_log_stream(spark, folder))
     assert len(drain(spark, status, tmp_path, "all_status")) == 349
-    sampled = drain(spark, sample_status_stream(status), tmp_path, "sampled")
-    assert sorted((r.path[-5:], r.crawled) for r in sampled) == [("a.log", 100), ("a.log", 200)]
-
-
-def test_sample_counts_across_batches(spark, tmp_path):
-    logs = tmp_path / "logs"
-    logs.mkdir()
-    for i in range(5):
-        (logs / f"{i}.log").write_text("\n".join(STATUS % (i * 50 + j + 1) for j in range(50)))
-    lines = read_crawl_log_stream(spark, str(logs), max_files_per_trigger=1)
-    one_log = ops.crawl_status(lines).drop("path").selectExpr("'log' AS path", "*")
-    assert len(drain(spark, sample_status_stream(one_log), tmp_path, "batches")) == 2
 
 
 def test_fatal_line_fails_the_stream(spark, folder, tmp_path):
