@@ -39,6 +39,7 @@ from archivetables.operators.sitemaps import (
     filter_by_date,
     reachable_sitemaps,
     sitemap_entries,
+    sitemap_counts,
     sitemap_links,
     sitemap_rejects,
     sitemap_roots,
@@ -78,6 +79,7 @@ __all__ = [
     "response_header_values",
     "sample_statuses",
     "sitemap_entries",
+    "sitemap_counts",
     "sitemap_links",
     "sitemap_rejects",
     "sitemap_roots",

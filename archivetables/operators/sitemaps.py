@@ -280,13 +280,33 @@ def filter_by_date(
 
     Pages without a date are dropped once a bound is set, unless ``keep_undated``.
     """
+    bounds = date_bound(from_date, default_from), date_bound(to_date, default_to)
+    return pages.where(_in_range(*bounds, keep_undated))
+
+
+def _in_range(lower: datetime | None, upper: datetime | None, keep_undated: bool = False) -> Column:
     modified = F.col("last_modified")
-    lower, upper = date_bound(from_date, default_from), date_bound(to_date, default_to)
-    tests = []
+    test = F.lit(True)
     if lower:
-        tests.append(modified >= F.lit(lower))
+        test &= modified >= F.lit(lower)
     if upper:
-        tests.append(modified < F.lit(upper))
-    for test in tests:
-        pages = pages.where(test | modified.isNull() if keep_undated else test)
-    return pages
+        test &= modified < F.lit(upper)
+    return test | modified.isNull() if keep_undated else test
+
+
+def sitemap_counts(
+    entries: DataFrame, from_date: str | None = None, to_date: str | None = None
+) -> DataFrame:
+    """Per site: entries of its sitemaps, distinct pages and distinct pages within the dates:
+    ``root, n_entries, n_pages, n_in_range``. Counted per page first, which is also when they are
+    made distinct."""
+    fields = [c for c in entries.columns if c != "sitemap_url"]
+    pages = entries.groupBy(site_root("sitemap_url").alias("root"), *fields).agg(
+        F.count("*").alias("_n")
+    )
+    inside = _in_range(date_bound(from_date), date_bound(to_date))
+    return pages.groupBy("root").agg(
+        F.sum("_n").alias("n_entries"),
+        F.count("*").alias("n_pages"),
+        F.count_if(inside).alias("n_in_range"),
+    )

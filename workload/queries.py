@@ -461,6 +461,15 @@ def sitemap_tree_pages(spark, sf_dir):
     return _dated(ops.distinct_pages(pages))
 
 
+@query(
+    """SELECT 'https://c' || o_custkey || '.example.com' AS root, count(*) AS n_entries,
+           count(*) AS n_pages, count(*) FILTER (o_orderdate >= DATE '1997-01-01') AS n_in_range
+    FROM orders GROUP BY o_custkey"""
+)
+def sitemap_counts(spark, sf_dir):
+    return ops.sitemap_counts(ops.sitemap_entries(tb.sitemap_docs(spark, sf_dir)), "1997-01-01")
+
+
 @query(
     """WITH RECURSIVE links AS (
       SELECT o_orderkey, o_orderkey // 400 AS chain,
