@@ -59,6 +59,28 @@ def test_index_text_is_parsed_once(spark):
     assert plan.count("from_json") == 1
 
 
+def test_looked_up_urls_are_cut_before_they_meet(spark):
+    crawl = F.substring("url", 9, 4)
+    pages = tb.seed_pages(spark, SF_DIR).withColumn("wacz_path", crawl)
+    cdx = tb.html_shop_captures(spark, SF_DIR).withColumn("wacz_path", crawl)
+    wanted = tb.order_sitemap(spark, SF_DIR).select("url")
+    plan = plan_of(ops.match_urls(wanted, pages, cdx))
+    # each side's rows per URL are added up before its first shuffle
+    assert plan.count("partial_max(") == 2
+    for side in plan.split("partial_max(")[1:]:
+        assert not re.search(r"\bExchange ", side.split("Scan")[0])
+
+
+def test_sitemap_bodies_are_not_shuffled(spark):
+    docs = tb.sitemap_docs(spark, SF_DIR)
+    reached = docs.select("sitemap_url").where("sitemap_url LIKE '%1.xml'")
+    entries = ops.sitemap_entries(docs).join(reached, "sitemap_url", "left_semi")
+    lines = plan_of(ops.distinct_pages(entries)).split("\n")
+    generate = [i for i, line in enumerate(lines) if "Generate" in line]
+    first = min(i for i, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\(sitemap_url", line))
+    assert first < generate[0] and not any("body" in line for line in lines[: generate[0]])
+
+
 def test_filters_reach_the_scan(spark):
     pages = tb.order_sitemap(spark, SF_DIR).select("url", "last_modified")
     plan = plan_of(ops.filter_by_date(pages, "1996-02-01", "1998-03-01"))
