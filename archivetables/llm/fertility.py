@@ -108,7 +108,8 @@ class Vocabularies:
         share = counts / total
         most = min(np.log2(total), ENTROPY_BITS)
         entropy = float(-(share * np.log2(share)).sum() / most) if total > 1 else 1.0
-        return n_chars / total, float(self.n_bytes[at].sum() / self.n_pieces[at].sum()), min(entropy, 1.0)
+        pieces = max(1, int(self.n_pieces[at].sum()))  # a normaliser may leave nothing of a word
+        return n_chars / total, float(self.n_bytes[at].sum() / pieces), min(entropy, 1.0)
 
 
 def repeated_words(at: np.ndarray) -> int:
