@@ -193,9 +193,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     known = known.agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     order = F.xxhash64("doc_id")
     chosen = known.filter(~held_out()).orderBy(order, "doc_id").limit(max_labelled)
-    rows = measured.dropDuplicates(["doc_id"]).join(chosen, "doc_id")
+    # at most max_labelled ids and labels, so small enough for all executors
+    rows = measured.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     # one sorted partition of bounded size, so that the forest's samples are the same in each run
-    labelled = written(rows.coalesce(1).sortWithinPartitions(order, "doc_id"), "quality-labelled")
+    labelled = rows.repartition(1).sortWithinPartitions(order, "doc_id")
+    labelled = written(labelled, "quality-labelled")
     model = fit(labelled)
     return measured.withColumn("score", model.score()).select(
         "doc_id",
