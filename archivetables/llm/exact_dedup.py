@@ -85,8 +85,8 @@ def _groups(rows: DataFrame) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` less the rows that ``exact_groups`` does not keep; columns as before."""
     rows = numbered(hidden(docs, "doc_id", "text"), "radix-documents")
-    normal = written(rows.select("_row", "doc_id", _bytes(rows)), "radix-rows")
-    kept = _groups(normal).filter("kept").select("_row")
+    groups = _groups(rows.select("_row", "doc_id", _bytes(rows)))
+    kept = groups.filter("kept").select("_row")
     return rows.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)
 
 

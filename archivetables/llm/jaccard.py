@@ -145,15 +145,17 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def point(found: np.ndarray) -> np.ndarray:
-    """Counts of shingles by group; the number of groups is a power of two that fits the size."""
+    """Counts of shingles by group, two to a byte; the number of groups is a power of two that fits
+    the size, and twice that as long as a count is above fifteen."""
     n = max(16, 1 << (len(found) // POINT).bit_length())
-    while (counts := np.bincount(found % np.uint64(n), minlength=n)).max() > 255:
+    while (counts := np.bincount(found % np.uint64(n), minlength=n)).max() > 15:
         n *= 2
-    return counts.astype("uint8")
+    return (counts[0::2] | counts[1::2] << 4).astype("uint8")
 
 
-def folded(points: list[np.ndarray]) -> np.ndarray:
+def folded(packed: list[np.ndarray]) -> np.ndarray:
     """Points of different lengths as rows of the shortest length: groups fall together in pairs."""
+    points = [np.stack((p & 15, p >> 4), 1).ravel() for p in packed]
     n = min(map(len, points))
     return np.array([p.reshape(-1, n).sum(0, dtype="int64") for p in points]).reshape(-1, n)
 
@@ -454,9 +456,9 @@ def without_similar(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     groups = similar_groups(rows.select("text", F.col("_row").alias("doc_id")), words, percent)
     groups = groups.select(F.col("doc_id").alias("_row"), "component_id")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    first = groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
-    kept = first.agg(F.min(order)["_row"].alias("_row")).select("_row")
-    return rows.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)
+    members = written(groups.join(rows.select("_row", "doc_id"), "_row"), "jaccard-groups")
+    kept = members.groupBy("component_id").agg(F.min(order)["_row"].alias("_row"))
+    return rows.join(kept.select("_row"), "_row", "left_semi").drop("_row").toDF(*docs.columns)
 
 
 def _mixed_pairs(
