@@ -1,14 +1,15 @@
 """Licence scan by sentence rules, with DataFrame functions alone.
 
-A text is cut at line ends and sentence ends. Runs of one to ``MAX_LINES`` pieces (a sentence may be
-wrapped over lines), normalised to lower-case letters and digits, are looked up among known
-licence sentences. What is left of a document is the ordered sequence of their identifiers. Ordered
+A text is cut at line ends and sentence ends. Runs of pieces (a sentence may be wrapped over any number of
+lines), normalised to lower-case letters and digits, are looked up among known licence sentences. What
+is left of a document is the ordered sequence of their identifiers. Ordered
 rules then replace runs of identifiers by a licence; an earlier rule takes its identifiers away
 from the later ones, so a full text is not also reported as the shorter notices in it.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -115,7 +116,7 @@ CUES = (
     "liability",
     "version",
 )
-MAX_LINES = 8
+MAX_LINES = 8  # pieces in a run, in the SQL only
 CUT = r"\n|[.!?;:][\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -125,31 +126,27 @@ for _sentence in SENTENCES.values():
 
 def _identifiers(text: Column, sentences: dict[str, str]) -> Column:
     """Identifiers of the known sentences in a lower-cased text, in the order of the text."""
-    ids = F.create_map(*[F.lit(x) for key, value in sentences.items() for x in (value, key)])
-
-    def normal(piece: Column) -> Column:
-        return F.trim(F.regexp_replace(piece, "[^a-z0-9]+", " "))
-
-    def runs(pieces: Column) -> Column:
-        """Each run of pieces that is a known sentence, by its first piece and length."""
-
-        def of_start(start: Column) -> Column:
-            longest = F.least(F.lit(MAX_LINES), F.size(pieces) - start + 1)
-            return F.transform(
-                F.sequence(F.lit(1), longest),
-                lambda length: F.try_element_at(
-                    ids, F.array_join(F.slice(pieces, start, length), " ")
-                ),
-            )
-
-        found = F.flatten(F.transform(F.sequence(F.lit(1), F.size(pieces)), of_start))
-        return F.when(F.size(pieces) > 0, F.filter(found, F.isnotnull)).otherwise(
-            F.array().cast("array<string>")
-        )
-
-    pieces = F.filter(F.transform(F.split(text, CUT, -1), normal), lambda piece: piece != "")
-    # bound once by the outer transform; named directly it would be cut anew for every run
-    return F.transform(F.array(pieces), runs)[0]
+    if not sentences:
+        return F.array().cast("array<string>")
+    known = sorted(sentences.items(), key=lambda item: len(item[1]))
+    entries = F.array(*[F.struct(F.lit(x).alias("text"), F.lit(key).alias("id")) for key, x in known])
+    # pieces between line ends; words of a piece between single blanks
+    pieces = F.concat(F.lit("\n"), F.regexp_replace(text, CUT, "\n"), F.lit("\n"))
+    pieces = F.regexp_replace(F.regexp_replace(pieces, r"[^a-z0-9\n]+", " "), r" ?\n[ \n]*", "\n")
+    # at each piece the longest run that is a known sentence; any other there is its beginning
+    longest = "|".join(re.escape(x).replace(r"\ ", r"[ \n]") for _, x in reversed(known))
+    runs = F.regexp_extract_all(pieces, F.lit(rf"\n(?=((?:{longest})\n))"), F.lit(1))
+
+    def of_run(run: Column) -> Column:
+        words = F.replace(run, F.lit("\n"), F.lit(" "))
+
+        def ends_a_piece(entry: Column) -> Column:
+            after = F.substring(run, F.length(entry["text"]) + 1, F.lit(1))
+            return words.startswith(entry["text"]) & (after == "\n")
+
+        return F.transform(F.filter(entries, ends_a_piece), lambda entry: entry["id"])
+
+    return F.flatten(F.transform(runs, of_run))
 
 
 def scan_licences(docs: DataFrame, sentences: dict = SENTENCES, rules: tuple = RULES) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import textwrap
 
 import duckdb
 import numpy as np
@@ -328,3 +329,49 @@ def test_licence_sql(spark):
 def test_licence_scan_runs_no_python(spark):
     plan = QUERIES["op3_license_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def wrapped(text, width):
+    return "\n".join(textwrap.wrap(text, width, break_long_words=False)) if width else text
+
+
+WIDTHS = (None, 1, 12, 40, 50, 55, 60, 72, 79)
+
+
+def scanned(make, texts):
+    rows = licences.scan_licences(make(list(enumerate(texts, 100)))).collect()
+    return [(r.licences, r.sentence_ids) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_sentences_over_any_number_of_lines(spark, make):
+    keys = ("mit-grant", "mit-notice", "mit-as-is", "mit-liability")
+    mit = ". ".join(licences.SENTENCES[key] for key in keys) + "."
+    got = scanned(make, [wrapped(mit, width) for width in WIDTHS])
+    assert got == [("MIT", ",".join(keys))] * len(WIDTHS)
+    rest = {k: x for k, x in licences.SENTENCES.items()}
+    for width in (None, 1):
+        for (key, text), (_, ids) in zip(rest.items(), scanned(make, [wrapped(x, width) for x in rest.values()])):
+            # a word to a line, shorter known sentences in it begin pieces of their own
+            inner = [k for k, x in rest.items() if f" {x} " in f" {text} "]
+            assert sorted(ids.split(",")) == sorted(inner if width else [key])
+
+
+def plain_scan(text):
+    lowered = text.translate(str.maketrans(licences.UPPER, licences.LOWER))
+    pieces = [re.sub("[^a-z0-9]+", " ", p).strip() for p in re.split(licences.CUT, lowered)]
+    pieces, known = [p for p in pieces if p], {x: k for k, x in licences.SENTENCES.items()}
+    runs = [" ".join(pieces[i:j]) for i in range(len(pieces)) for j in range(i + 1, len(pieces) + 1)]
+    return ",".join(known[run] for run in runs if run in known)
+
+
+def test_runs_of_random_pieces(spark, make):
+    dice = random.Random(10)
+    cuts = ["\n", "\n", " ", " ", " ", ".\t", "; ", " * ", "\r\n", "\n\n", " \n \n", ",", ":", "é", "中"]
+    texts = []
+    for _ in range(300):
+        words = " ".join(dice.choices(list(licences.SENTENCES.values()), k=dice.choice((1, 2, 3)))).split()
+        texts.append("".join(word + dice.choice(cuts[: dice.choice((3, 5, 15))]) for word in words))
+    parts = {a for a, _ in getattr(licences, "JOINED", ())}
+    for text, (_, ids) in zip(texts, scanned(make, texts)):
+        if not parts & set(ids.split(",")):
+            assert ids == plain_scan(text), text
