@@ -111,7 +111,7 @@ CUES = (
     "redistribut",
     "copyright",
     "warrant",
-    "public domain",
+    "unencumbered",
     "rights",
     "liability",
     "version",
@@ -120,6 +120,7 @@ MAX_LINES = 8  # pieces in a run, in the SQL only
 CUT = r"\n|[.!?;:][\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+assert not any(" " in cue for cue in CUES)  # it may be a line end in the text
 for _sentence in SENTENCES.values():
     assert any(cue in _sentence for cue in CUES), _sentence
 

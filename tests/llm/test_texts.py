@@ -8,6 +8,7 @@ import textwrap
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -375,3 +376,13 @@ def test_runs_of_random_pieces(spark, make):
     for text, (_, ids) in zip(texts, scanned(make, texts)):
         if not parts & set(ids.split(",")):
             assert ids == plain_scan(text), text
+
+
+def test_cues_hold_over_line_ends(spark, make):
+    notice = "This is free and unencumbered software released into the public{}domain."
+    rows = [(i, notice.format(gap)) for i, gap in enumerate((" ", "\n", "  ", "\t", "\n * "))]
+    db = duckdb.connect()
+    db.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    got = licences.scan_licences(make(rows)).toPandas()
+    assert rows_of(got) == rows_of(db.execute(licences.scan_sql()).df())
+    assert set(got.licences) == {"Unlicense"}
