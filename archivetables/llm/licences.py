@@ -104,6 +104,32 @@ RULES = (
     ("proprietary", ("rights",)),
 )
 
+# Notices of the other GNU licences. The SQL has SENTENCES and RULES alone.
+_TERMS = "is free software you can redistribute it and or modify it under the terms of the gnu"
+_ISSUER = "general public license as published by the free software foundation"
+NOTICES = {
+    "lgpl-free": f"this program {_TERMS} lesser {_ISSUER}",
+    "lgpl-library-free": f"this library {_TERMS} lesser {_ISSUER}",
+    "lgpl-2-1-later": "either version 2 1 of the license or at your option any later version",
+    "agpl-free": f"this program {_TERMS} affero {_ISSUER}",
+}
+NOTICE_RULES = (
+    ("LGPL-3.0-or-later", ("lgpl-free", "gpl-3-later")),
+    ("LGPL-3.0-or-later", ("lgpl-library-free", "gpl-3-later")),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl-2-1-later")),
+    ("LGPL-2.1-or-later", ("lgpl-library-free", "lgpl-2-1-later")),
+    ("LGPL", ("lgpl-free",)),
+    ("LGPL", ("lgpl-library-free",)),
+    ("AGPL-3.0-or-later", ("agpl-free", "gpl-3-later")),
+    ("AGPL", ("agpl-free",)),
+)
+# Known sentences that a comma may join to one, which is then read as both.
+JOINED = tuple(
+    (free, later)
+    for free in ("gpl-free", "lgpl-free", "lgpl-library-free", "agpl-free")
+    for later in ("gpl-2-later", "gpl-3-later", "lgpl-2-1-later")
+)
+
 # Every known sentence has one of these, so a text without them needs no look-up.
 CUES = (
     "licen",
@@ -121,7 +147,7 @@ CUT = r"\n|[.!?;:][\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 assert not any(" " in cue for cue in CUES)  # it may be a line end in the text
-for _sentence in SENTENCES.values():
+for _sentence in (SENTENCES | NOTICES).values():
     assert any(cue in _sentence for cue in CUES), _sentence
 
 
@@ -129,28 +155,47 @@ def _identifiers(text: Column, sentences: dict[str, str]) -> Column:
     """Identifiers of the known sentences in a lower-cased text, in the order of the text."""
     if not sentences:
         return F.array().cast("array<string>")
-    known = sorted(sentences.items(), key=lambda item: len(item[1]))
-    entries = F.array(*[F.struct(F.lit(x).alias("text"), F.lit(key).alias("id")) for key, x in known])
+    known = [(text, (key,), "") for key, text in sentences.items()]
+    for first, second in JOINED:
+        if first in sentences and second in sentences:
+            known.append((f"{sentences[first]} {sentences[second]}", (first, second), sentences[first]))
+    known.sort(key=lambda entry: len(entry[0]))
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(text).alias("text"),
+                F.array(*map(F.lit, keys)).alias("ids"),
+                F.lit(len(first)).alias("first"),
+            )
+            for text, keys, first in known
+        ]
+    )
     # pieces between line ends; words of a piece between single blanks
     pieces = F.concat(F.lit("\n"), F.regexp_replace(text, CUT, "\n"), F.lit("\n"))
     pieces = F.regexp_replace(F.regexp_replace(pieces, r"[^a-z0-9\n]+", " "), r" ?\n[ \n]*", "\n")
     # at each piece the longest run that is a known sentence; any other there is its beginning
-    longest = "|".join(re.escape(x).replace(r"\ ", r"[ \n]") for _, x in reversed(known))
+    longest = "|".join(re.escape(text).replace(r"\ ", r"[ \n]") for text, _, _ in reversed(known))
     runs = F.regexp_extract_all(pieces, F.lit(rf"\n(?=((?:{longest})\n))"), F.lit(1))
 
     def of_run(run: Column) -> Column:
         words = F.replace(run, F.lit("\n"), F.lit(" "))
 
-        def ends_a_piece(entry: Column) -> Column:
-            after = F.substring(run, F.length(entry["text"]) + 1, F.lit(1))
-            return words.startswith(entry["text"]) & (after == "\n")
+        def ends_a_piece(length: Column) -> Column:
+            return F.substring(run, length + 1, F.lit(1)) == "\n"
+
+        def read(entry: Column) -> Column:
+            # where the first of two joined sentences ends a piece, each is found by itself
+            apart = (entry["first"] > 0) & ends_a_piece(entry["first"])
+            return words.startswith(entry["text"]) & ends_a_piece(F.length(entry["text"])) & ~apart
 
-        return F.transform(F.filter(entries, ends_a_piece), lambda entry: entry["id"])
+        return F.flatten(F.transform(F.filter(entries, read), lambda entry: entry["ids"]))
 
     return F.flatten(F.transform(runs, of_run))
 
 
-def scan_licences(docs: DataFrame, sentences: dict = SENTENCES, rules: tuple = RULES) -> DataFrame:
+def scan_licences(
+    docs: DataFrame, sentences: dict = SENTENCES | NOTICES, rules: tuple = NOTICE_RULES + RULES
+) -> DataFrame:
     """``doc_id, licences, sentence_ids, n_sentences`` of every row of ``docs``.
 
     ``licences`` names the recognised licences once each, in the order of the text, joined by
@@ -180,7 +225,8 @@ def scan_licences(docs: DataFrame, sentences: dict = SENTENCES, rules: tuple = R
 
 
 def scan_sql() -> str:
-    """The same in SQL, over ``documents``."""
+    """The same in SQL, over ``documents``, for runs of up to ``MAX_LINES`` pieces, without joined sentences and
+    the further notices."""
     known = ", ".join(f"('{value}', '{key}')" for key, value in SENTENCES.items())
     sequence = "list_aggregate(list_transform(ids, lambda x: '<' || x || '>'), 'string_agg', '')"
     sequence = f"coalesce({sequence}, '')"

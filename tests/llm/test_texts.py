@@ -372,12 +372,34 @@ def test_runs_of_random_pieces(spark, make):
     for _ in range(300):
         words = " ".join(dice.choices(list(licences.SENTENCES.values()), k=dice.choice((1, 2, 3)))).split()
         texts.append("".join(word + dice.choice(cuts[: dice.choice((3, 5, 15))]) for word in words))
-    parts = {a for a, _ in getattr(licences, "JOINED", ())}
+    parts = {a for a, _ in licences.JOINED}
     for text, (_, ids) in zip(texts, scanned(make, texts)):
         if not parts & set(ids.split(",")):
             assert ids == plain_scan(text), text
 
 
+def test_gnu_notices_with_a_comma(spark, make):
+    notice = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} "
+        "as published by the Free Software Foundation{} either version {} of the License, or (at your option) "
+        "any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY."
+    )
+    gpl, lgpl, agpl = (f"{name}General Public License" for name in ("", "Lesser ", "Affero "))
+    cases = [
+        (notice.format(gpl, ",", 3), "GPL-3.0-or-later"),
+        (notice.format(gpl, ";", 3), "GPL-3.0-or-later"),
+        (notice.format(gpl, ",", 2), "GPL-2.0-or-later"),
+        (notice.format(gpl, ";", 2), "GPL-2.0-or-later"),
+        (notice.format(lgpl, ",", 3), "LGPL-3.0-or-later"),
+        (notice.replace("program", "library").format(lgpl, ";", "2.1"), "LGPL-2.1-or-later"),
+        (notice.format(agpl, ",", 3), "AGPL-3.0-or-later"),
+    ]
+    texts = [wrapped(text, width) for text, _ in cases for width in WIDTHS]
+    texts += [text.replace("Foundation, ", "Foundation,\n") for text, _ in cases]
+    want = [licence for _, licence in cases for _ in WIDTHS] + [licence for _, licence in cases]
+    assert [found for found, _ in scanned(make, texts)] == want
+
+
 def test_cues_hold_over_line_ends(spark, make):
     notice = "This is free and unencumbered software released into the public{}domain."
     rows = [(i, notice.format(gap)) for i, gap in enumerate((" ", "\n", "  ", "\t", "\n * "))]
