@@ -7,7 +7,8 @@ looks further than its own match, so the work is linear in the text.
 
 Kinds ``email``, ``ip``, ``card`` and ``phone`` are what the usual patterns match, leftmost and without
 overlap within a kind. Kinds ``login`` (credentials in a URL), ``iban`` and ``account`` need an
-announcing anchor; where they overlap one of the first four, that one stays alone.
+announcing anchor; where an ``iban`` or ``account`` overlaps one of the first four, that one stays alone,
+and so it does where it holds the whole password of a ``login``.
 """
 
 from __future__ import annotations
@@ -32,8 +33,9 @@ IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
-LOGIN = re.compile(r"://[^\s/@:]{1,64}:[^\s/@]{1,64}@[A-Za-z0-9.-]+")
-SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
+LOGIN = re.compile(r"://[^\s/@:]++:([^\s/@]++)@[A-Za-z0-9.-]+")
+LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+SCHEME = LETTERS | frozenset("0123456789+.-")
 IBAN = re.compile(r"[\s:.#]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
 ACCOUNT = re.compile(r"(?:[\s.]{0,2}(?i:number|no|nr))?[\s.:#]{0,3}([0-9](?:[ -]?[0-9]){5,16})(?![0-9])")
 # Words that announce an identifier.
@@ -102,19 +104,27 @@ def spans(text: str) -> list[tuple[str, int, int]]:
             if 8 <= sum(map(str.isdigit, m.group())) <= 15:
                 found.append(("phone", at, done))
     taken = sorted((start, end) for _, start, end in found)
-    added = [*_logins(text, anchors), *_ibans(text, anchors), *_accounts(text, anchors)]
+    for login, begin, end in _logins(text, anchors):
+        if not any(s <= begin and end <= e for s, e in taken):
+            found.append(login)
+    added = [*_ibans(text, anchors), *_accounts(text, anchors)]
     found += [x for x in added if not any(s < x[2] and x[1] < e for s, e in taken)]
     return found
 
 
-def _logins(text: str, anchors: dict) -> Iterator[tuple[str, int, int]]:
+def _logins(text: str, anchors: dict) -> Iterator[tuple[tuple[str, int, int], int, int]]:
+    """Each login, and where its password begins and ends."""
     done = 0
     for last in anchors.get("://", ()):
         colon = last - 2
         if colon >= done and (m := LOGIN.match(text, colon)):
-            scheme = SCHEME.search(text[max(done, colon - 16) : colon])
+            begin = colon
+            while begin > done and text[begin - 1] in SCHEME:
+                begin -= 1
+            while begin < colon and text[begin] not in LETTERS:
+                begin += 1
             done = m.end()
-            yield "login", colon - (len(scheme.group()) if scheme else 0), done
+            yield ("login", begin, done), *m.span(1)
 
 
 def _ibans(text: str, anchors: dict) -> Iterator[tuple[str, int, int]]:

@@ -188,6 +188,25 @@ def test_added_kinds_need_a_cue_and_a_valid_number():
     assert kinds("get ftp://bob:pw@localhost/x") == [("login", "ftp://bob:pw@localhost")]
 
 
+def test_logins_are_whole():
+    def logins(text):
+        return [text[s:e] for k, s, e in pii.spans(text) if k == "login"]
+
+    long = "k" * 200
+    for login in (
+        "https://bob:s3cr3t!x@db.example.com",  # its e-mail address holds the last letter of the password only
+        f"https://bob:{long}@localhost",
+        f"https://{long}:{long}@localhost",
+        f"https://bob:{long}$@db.example.com",
+        "a.scheme+of-more.than+16-characters://bob:pw@localhost",
+    ):
+        text = f"see 1:{login}/x"
+        assert logins(text) == [login]
+        assert [s for s in pii.spans(text) if s[0] in pii.BASE] == plain_spans(text)
+    assert logins("x://a:b@h://c:d@i") == ["x://a:b@h", "://c:d@i"]
+    assert logins("://a" * 50_000 + ":b" * 50_000) == []
+
+
 # rules
 
 
