@@ -59,7 +59,7 @@ def _gunzip(bodies: pd.Series) -> pd.Series:
 
 
 def sitemap_text(docs: DataFrame) -> DataFrame:
-    """Documents with a ``body`` of text, without a byte-order mark or white space in front.
+    """Documents with a ``body`` of text, without a byte-order mark or white space in front; XML without comments.
 
     Bodies as fetched, of bytes, may be packed; they are unpacked and read as UTF-8. One
     that cannot be unpacked becomes null.
@@ -70,7 +70,9 @@ def sitemap_text(docs: DataFrame) -> DataFrame:
         plain = docs.where(~packed | body.isNull())
         docs = plain.unionByName(docs.where(packed).withColumn("body", _gunzip("body")))
         body = F.make_valid_utf8(F.col("body").cast("string"))
-    return docs.withColumn("body", F.regexp_replace(body, r"^[\x{FEFF}\s]+", ""))
+    docs = docs.withColumn("body", F.regexp_replace(body, r"^[\x{FEFF}\s]+", ""))
+    plain = F.regexp_replace("body", r"(<!\[CDATA\[[\s\S]*?\]\]>)|<!--[\s\S]*?-->", "$1")
+    return docs.withColumn("body", F.when(F.col("body").startswith("<"), F.ltrim(plain)).otherwise(F.col("body")))
 
 
 def _root_tag() -> Column:
@@ -81,13 +83,53 @@ def _root_tag() -> Column:
 
 def _elements(tag: str) -> Column:
     """Whole elements of a name, found one by one, so that a broken one costs no other."""
-    pattern = rf"<((?:[\w.-]+:)?){tag}(?:\s[^>]*)?>[\s\S]*?</\1{tag}\s*>"
+    pattern = rf"<((?:[\w.-]+:)?){tag}(?:\s[^>]*)?(?<!/)>[\s\S]*?</\1{tag}\s*>"
     return F.regexp_extract_all("body", F.lit(pattern), F.lit(0))
 
 
+def _read(tag: str, *fields: str) -> Column:
+    """Each element of a name as a struct of the texts of its children ``fields``; null where there is none.
+
+    Elements go through the XML parser. One that it refuses goes through it again with bare
+    ampersands escaped, and if that fails, its children are found by pattern.
+    """
+    schema = ", ".join(f"{field} array<string>" for field in fields) + ", _bad string"
+
+    def xml(element: Column) -> Column:
+        prefix = F.regexp_extract(element, r"^<((?:[\w.-]+:)?)", 1)
+        own = F.concat(F.lit(r"(</?)\Q"), prefix, F.lit(r"\E"))
+        bare = F.when(prefix == "", element).otherwise(F.regexp_replace(element, own, F.lit("$1")))
+        return F.from_xml(bare, schema, {"columnNameOfCorruptRecord": "_bad"})
+
+    def parsed(found: Column) -> Column:
+        return F.struct(
+            *[
+                F.when(found["first"]["_bad"].isNull(), _first(found["first"][field]))
+                .when(found["again"].isNotNull() & found["again"]["_bad"].isNull(), _first(found["again"][field]))
+                .otherwise(_child(found["element"], tag, field))
+                .alias(field)
+                for field in fields
+            ]
+        )
+
+    def both(found: Column) -> Column:
+        # within CDATA an ampersand stands for itself
+        escape = found["first"]["_bad"].isNotNull() & ~F.contains(found["element"], F.lit("<![CDATA["))
+        again = F.when(escape, xml(F.regexp_replace(found["element"], BARE_AMPERSAND, "&amp;")))
+        return F.struct(found["element"].alias("element"), found["first"].alias("first"), again.alias("again"))
+
+    once = F.transform(_elements(tag), lambda e: F.struct(e.alias("element"), xml(e).alias("first")))
+    return F.transform(F.transform(once, both), parsed)
+
+
+def _first(texts: Column) -> Column:
+    return F.nullif(strip(F.get(texts, F.lit(0))), F.lit(""))
+
+
 def _child(element: Column, parent: str, tag: str) -> Column:
-    """Text of a child with its parent's prefix, with entities resolved; null if there is none."""
-    pattern = rf"^<((?:[\w.-]+:)?){parent}[\s>][\s\S]*?<\1{tag}\s*>([^<]*(?:<!\[CDATA\[[^\]]*\]\]>)?[^<]*)</\1{tag}\s*>"
+    """Text of a child with its parent's prefix, with entities resolved, for elements that the XML parser
+    refuses; null if there is none."""
+    pattern = rf"^<((?:[\w.-]+:)?){parent}[\s>][\s\S]*?<\1{tag}(?:\s[^>]*)?(?<!/)>([^<]*(?:<!\[CDATA\[[^\]]*\]\]>)?[^<]*)</\1{tag}\s*>"
     text = F.regexp_extract(element, pattern, 2)
     text = F.regexp_replace(text, r"<!\[CDATA\[([^\]]*)\]\]>", "$1")
     for entity, character in ENTITIES.items():
@@ -95,6 +137,7 @@ def _child(element: Column, parent: str, tag: str) -> Column:
     return F.nullif(strip(text), F.lit(""))
 
 
+BARE_AMPERSAND = r"&(?!(?:#[0-9]+|#x[0-9A-Fa-f]+|lt|gt|quot|apos|amp);)"
 # fixed values: the entities of XML, the ampersand last
 ENTITIES = {
     "&lt;": "<",
@@ -143,9 +186,7 @@ def sitemap_entries(docs: DataFrame) -> DataFrame:
     """
     docs = sitemap_text(docs).withColumn("_root", _root_tag())
     urls = F.filter(F.split("body", "\n"), lambda line: line.rlike(WEB_ADDRESS))
-    pages = F.transform(
-        _elements("url"), lambda e: F.struct(*[_child(e, "url", f).alias(f) for f in PAGE_FIELDS])
-    )
+    pages = _read("url", *PAGE_FIELDS)
     entries = (
         F.when(F.col("_root") == "urlset", pages)
         .when(F.col("_root").isin("rss", "feed"), F.transform(_feed_links(), _bare_page))
@@ -164,7 +205,7 @@ def sitemap_entries(docs: DataFrame) -> DataFrame:
 def sitemap_links(docs: DataFrame) -> DataFrame:
     """Sitemaps that index documents and ``robots.txt`` files name:
     ``sitemap_url, linked_url``."""
-    indexed = F.transform(_elements("sitemap"), lambda e: _child(e, "sitemap", "loc"))
+    indexed = F.transform(_read("sitemap", "loc"), lambda e: e["loc"])
     links = F.when(
         F.col("sitemap_url").endswith(ROBOTS_FILE),
         F.regexp_extract_all("body", F.lit(ROBOTS_SITEMAP), F.lit(1)),
@@ -192,8 +233,12 @@ def sitemap_rejects(docs: DataFrame) -> DataFrame:
     element = F.when(F.col("_root") == "urlset", "url").when(F.col("_root") == "sitemapindex", "sitemap")
     opened = F.when(element == "url", _opened("url")).otherwise(_opened("sitemap"))
     addressed = F.when(element == "url", _addressed("url")).otherwise(_addressed("sitemap"))
-    dates = F.transform(_elements("url"), lambda e: _child(e, "url", "lastmod"))
-    undated = F.size(F.filter(dates, lambda d: d.isNotNull() & w3c_timestamp(d).isNull()))
+    undated = F.size(
+        F.filter(
+            _read("url", "lastmod"),
+            lambda e: e["lastmod"].isNotNull() & w3c_timestamp(e["lastmod"]).isNull(),
+        )
+    )
     is_robots = F.col("sitemap_url").endswith(ROBOTS_FILE)
     reasons = {
         "unreadable body": F.when(F.col("body").isNull(), 1),
@@ -221,8 +266,7 @@ def _opened(tag: str) -> Column:
 
 
 def _addressed(tag: str) -> Column:
-    found = F.transform(_elements(tag), lambda e: _child(e, tag, "loc"))
-    return F.size(F.filter(found, F.isnotnull))
+    return F.size(F.filter(_read(tag, "loc"), lambda e: e["loc"].isNotNull()))
 
 
 def reachable_sitemaps(links: DataFrame, roots: DataFrame) -> DataFrame:

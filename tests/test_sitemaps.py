@@ -190,3 +190,34 @@ def test_distinct(pages):
     assert str(latest.last_modified) == "2019-07-01 00:00:00"
     with pytest.raises(ValueError, match="by must be"):
         ops.distinct_pages(pages, by="host")
+
+
+REFERENCES = [
+    ("<url><loc>h/caf&#233;?a=1&#x3D;2</loc></url>", {"h/café?a=1=2"}),
+    ("<url><loc>h/&amp;#233;</loc></url>", {"h/&#233;"}),
+    ("<url><loc>h/caf&#xE9;?a&b&eacute;</loc></url>", {"h/café?a&b&eacute;"}),
+    ("<s:url xmlns:s='x'><s:loc>h/&#x1F600;</s:loc></s:url>", {"h/😀"}),
+    ("<url><loc id='1'>h/attribute</loc></url>", {"h/attribute"}),
+    ("<url><loc id='1'>h/attribute?a&b</loc></url>", {"h/attribute?a&b"}),
+    ("<url><loc>h/&#0;</loc></url>", {"h/&#0;"}),
+    ("<url />" "<url><loc>h/next</loc></url>", {"h/next"}),
+    ("<!-- <url><loc>h/gone</loc></url> --><url><loc>h/kept</loc></url><!-- </url> -->", {"h/kept"}),
+    ("<url><loc><![CDATA[h/<!--x-->&#233;]]></loc></url>", {"h/<!--x-->&#233;"}),
+    ("<url><loc>h/one</loc><loc>h/two</loc></url>", {"h/one"}),
+]
+
+
+def test_references_attributes_and_comments(spark):
+    pages = [(str(i), f"<urlset>{e}</urlset>") for i, (e, _) in enumerate(REFERENCES)]
+    docs = spark.createDataFrame(pages, "sitemap_url string, body string")
+    found = {}
+    for r in ops.sitemap_entries(docs).collect():
+        found.setdefault(r.sitemap_url, set()).add(r.url)
+    assert found == {str(i): urls for i, (_, urls) in enumerate(REFERENCES)}
+    index = [(u, b.replace("urlset", "sitemapindex").replace("url", "sitemap")) for u, b in pages]
+    linked = {}
+    for r in ops.sitemap_links(spark.createDataFrame(index, docs.schema)).collect():
+        linked.setdefault(r.sitemap_url, set()).add(r.linked_url)
+    assert linked == found
+    reasons = [(r.sitemap_url, r.reason) for r in ops.sitemap_rejects(docs).collect()]
+    assert reasons == [("7", "no address")]

@@ -205,10 +205,12 @@ def sitemap_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def odd_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sitemap of one page per order, of a kind that follows from its number: with a byte-order mark,
     cut at the end, with a bare ampersand, a feed that mentions the tag of a sitemap, an HTML page, and
-    packed bytes."""
+    numeric character references in a tag with an attribute, after a page in a comment."""
     url = text("https://odd.example.com/o?id=", F.col("o_orderkey"), "&x=1")
     escaped = F.replace(url, F.lit("&"), F.lit("&amp;"))
     sitemap = text("<urlset><url><loc>", escaped, "</loc></url></urlset>")
+    numeric = F.replace(F.replace(url, F.lit("&"), F.lit("&#38;")), F.lit("="), F.lit("&#x3D;"))
+    comment = "<!-- <url><loc>https://odd.example.com/old</loc></url> -->"
     kind = F.col("o_orderkey") % 6
     body = (
         F.when(kind == 0, text("\ufeff\n<?xml version='1.0'?>", sitemap))
@@ -216,7 +218,7 @@ def odd_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 2, text("<urlset><url><loc>", url, "</loc></url></urlset>"))
         .when(kind == 3, text("<rss><channel><item><title>urlset</title><link>", escaped, "</link></item></channel></rss>"))
         .when(kind == 4, text("<html>", escaped, "</html>"))
-        .otherwise(sitemap)
+        .otherwise(text("<urlset>", comment, "<url><loc id='1'>", numeric, "</loc></url></urlset>"))
     )
     return table(spark, sf_dir, "orders").select(
         text("odd-", F.col("o_orderkey"), ".xml").alias("sitemap_url"), body.alias("body")
