@@ -1,10 +1,12 @@
-"""Join of documents by the Jaccard similarity of their word shingles, exact, and its components.
+"""Components of documents joined by the Jaccard similarity of their word shingles, exact.
+
+Only connectivity is computed: pairs inside one component are not all tested, so links are not counted.
 
 Shingles are hashed into groups. Two sets that link differ in at most ``d`` shingles, a number that
 follows from their sizes; so of ``k`` groups at least ``k - d`` have the same content in both. Ordered
 alike (largest group first), the first ``d + 1`` groups of both have one in common: each document is
-filed under those, and only documents that share such a group can link. No link is lost, and nothing
-is sampled.
+filed under those, and only documents that share such a group can link. No two components that a link
+joins stay apart, and nothing is sampled.
 
 Documents filed under a group are linked into a chain. The chain's pairs are tested by points, vectors
 of counts by hashed group whose summed coordinate minima bound the overlap; those that may link are
