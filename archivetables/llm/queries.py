@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivetables.llm import bpe, exact_dedup, fertility, jaccard, licences, line_dedup, mixing, pii, quality, substrings
+from archivetables.llm import (
+    bpe,
+    conversations,
+    credentials,
+    exact_dedup,
+    fertility,
+    jaccard,
+    licences,
+    line_dedup,
+    mixing,
+    pii,
+    quality,
+    substrings,
+    whitening,
+)
 from archivetables.llm.common import documents, hex_sha256
 
 
@@ -73,9 +87,40 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.withColumn("kept_sha256", hex_sha256(F.col("kept"))).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_fertility, op3_license_scan, op4_exact_dedup, op5_bpe, op6_line_dedup, op7_pii, op8_jaccard_join, op9_mixing, op10_substring_dedup)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversations.summary(conversations.repair(damaged))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.summary(credentials.find_secrets(documents(spark, sf_dir)))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op2_fertility,
+        op3_license_scan,
+        op4_exact_dedup,
+        op5_bpe,
+        op6_line_dedup,
+        op7_pii,
+        op8_jaccard_join,
+        op9_mixing,
+        op10_substring_dedup,
+        op11_conversation_repair,
+        op12_whitening,
+        op13_secret_scan,
+    )
+}
 ORACLES = {
     "op3_license_scan": licences.scan_sql(),
     "op4_exact_dedup": exact_dedup.GROUPS_SQL,
     "op6_line_dedup": line_dedup.LINES_SQL,
+    "op11_conversation_repair": conversations.REPAIR_SQL,
 }

@@ -87,4 +87,4 @@ def test_all_are_registered():
     found = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
     names = found.stdout.split()
     assert "pipeline" in names
-    assert sorted(n.split("_")[0] for n in names if re.match(r"op\d+_", n)) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in names if re.match(r"op\d+_", n)) == sorted(f"op{i}" for i in range(1, 14))
