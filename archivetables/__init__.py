@@ -2,6 +2,7 @@
 
 from archivetables.plans import (
     content_by_url,
+    content_by_url_indexed,
     generate_records,
     harvest_tables,
     html_websites,
@@ -18,6 +19,7 @@ from archivetables.sources import fetch_warc, list_archives, wacz_members
 __all__ = [
     "build_session",
     "content_by_url",
+    "content_by_url_indexed",
     "fetch_warc",
     "generate_records",
     "harvest_tables",

@@ -1,7 +1,9 @@
 """Relational steps over the archive tables, each from DataFrame to DataFrame."""
 
 from archivetables.operators.captures import (
+    cdx_fields,
     cdx_rejects,
+    cdx_schema,
     html_captures,
     join_captures,
     match_urls,
@@ -37,12 +39,16 @@ from archivetables.operators.sitemaps import (
     date_bound,
     distinct_pages,
     filter_by_date,
+    pages_per_root,
     reachable_sitemaps,
-    sitemap_entries,
+    reached_from,
+    root_counts,
     sitemap_counts,
+    sitemap_entries,
     sitemap_links,
     sitemap_rejects,
     sitemap_roots,
+    sitemap_starts,
 )
 
 __all__ = [
@@ -51,9 +57,10 @@ __all__ = [
     "active_records",
     "append_deletes",
     "archive_gaps",
-    "archive_gaps",
     "archive_problems",
+    "cdx_fields",
     "cdx_rejects",
+    "cdx_schema",
     "crawl_fatal",
     "crawl_log_lines",
     "crawl_status",
@@ -70,19 +77,24 @@ __all__ = [
     "match_urls",
     "order_by_offset",
     "page_rejects",
+    "pages_per_root",
     "parse_cdx",
     "parse_pages",
     "pipeline_counts",
     "raise_if_fatal",
     "reachable_sitemaps",
+    "reached_from",
     "record_pointers",
     "response_header_values",
     "sample_statuses",
-    "sitemap_entries",
+    "root_counts",
+    "sample_statuses",
     "sitemap_counts",
+    "sitemap_entries",
     "sitemap_links",
     "sitemap_rejects",
     "sitemap_roots",
+    "sitemap_starts",
     "union_page_lists",
     "without_sitemap_pages",
 ]

@@ -84,18 +84,37 @@ def _cdx_lines(lines: DataFrame) -> DataFrame:
     return with_json_object(rows, "json", schemas.CDX_JSON, "cdx")
 
 
-def parse_cdx(lines: DataFrame) -> DataFrame:
+def parse_cdx(lines: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Capture rows from index lines; lines that hold no JSON object, or an empty one, are
     left out.
 
     The numbers of the index are text and stay text; ``offset_num`` is the offset as a
-    number, null where it is none.
+    number, null where it is none. With ``keep_raw``, column ``raw`` keeps the whole object as VARIANT,
+    and a line counts that has any key, as ``cdx_fields`` and ``cdx_schema`` need it.
     """
-    return (
-        _cdx_lines(lines)
-        .select("wacz_path", "cdx_file", "cdx.*", offset_number("cdx.offset").alias("offset_num"))
-        .dropna("all", subset=CDX_FIELDS)
-    )
+    rows = _cdx_lines(lines)
+    columns = ["wacz_path", "cdx_file", "cdx.*", offset_number("cdx.offset").alias("offset_num")]
+    if not keep_raw:
+        return rows.select(*columns).dropna("all", subset=CDX_FIELDS)
+    rows = rows.where("cdx IS NOT NULL").where(~F.col("json").rlike(r"^\s*\{\s*\}\s*$"))
+    return rows.select(*columns, F.try_parse_json("json").alias("raw"))
+
+
+def cdx_schema(captures: DataFrame) -> str:
+    """The union of all keys of all index lines, with the type that fits the values of each, as a schema
+    text; ``captures`` with ``raw``."""
+    return captures.agg(F.schema_of_variant_agg("raw").alias("schema")).first().schema
+
+
+def cdx_fields(captures: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """``captures`` (with ``raw``) and further keys of their index lines as columns: for each key its type.
+    A line without the key, or with a value that is not of the type, has a null there. A key must not hold
+    both kinds of quotes."""
+    paths = {key: f"$['{key}']" if '"' in key else f'$["{key}"]' for key in fields}
+    columns = {
+        key: F.try_variant_get("raw", paths[key], kind).alias(key) for key, kind in fields.items()
+    }
+    return captures.withColumns(columns)
 
 
 def cdx_rejects(lines: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from archivetables import schemas
@@ -12,12 +12,13 @@ from archivetables.functions import base64_text, header_map, keep_last_rank, wit
 TIES = ("cdx_warc_filename", "cdx_length")
 
 
-def active_records(fetched: DataFrame, *keep: str) -> DataFrame:
-    """Records of fetched captures, in the fixed columns, after the columns to ``keep``."""
+def active_records(fetched: DataFrame, *keep: str, status: Column | None = None) -> DataFrame:
+    """Records of fetched captures, in the fixed columns, after the columns to ``keep``; of ``status``
+    ``active`` unless another is given."""
     return fetched.select(
         *keep,
         "url",
-        F.lit("active").alias("status"),
+        (F.lit("active") if status is None else status).alias("status"),
         F.col("filename").alias("cdx_warc_filename"),
         F.col("title").alias("cdx_title"),
         F.col("offset").alias("cdx_offset"),

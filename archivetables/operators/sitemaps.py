@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from archivetables import schemas
 from archivetables.functions import site_path, site_root, strip, w3c_timestamp
-from archivetables.session import checkpoint_root, partitions_for
+from archivetables.session import partitions_for, stored
 
 LEVELS_TOGETHER = 8  # levels of a walk before what was reached is written as one
 
@@ -101,10 +101,14 @@ def _read(tag: str, *fields: str) -> Column:
         bare = F.when(prefix == "", element).otherwise(F.regexp_replace(element, own, F.lit("$1")))
         return F.from_xml(bare, schema, {"columnNameOfCorruptRecord": "_bad"})
 
+    # an element of nothing but its plain children is read by pattern, which gives the same and is faster
+    plain = rf"^<{tag}>(?:\s*<({'|'.join(PAGE_FIELDS)})>[^<&]*</\1>)*+\s*</{tag}>$"
+
     def parsed(found: Column) -> Column:
         return F.struct(
             *[
-                F.when(found["first"]["_bad"].isNull(), _first(found["first"][field]))
+                F.when(found["plain"], _text_between(found["element"], field))
+                .when(found["first"]["_bad"].isNull(), _first(found["first"][field]))
                 .when(found["again"].isNotNull() & found["again"]["_bad"].isNull(), _first(found["again"][field]))
                 .otherwise(_child(found["element"], tag, field))
                 .alias(field)
@@ -112,14 +116,23 @@ def _read(tag: str, *fields: str) -> Column:
             ]
         )
 
+    def once(found: Column) -> Column:
+        first = F.when(~found["plain"], xml(found["element"]))
+        return F.struct(found["element"].alias("element"), found["plain"].alias("plain"), first.alias("first"))
+
     def both(found: Column) -> Column:
         # within CDATA an ampersand stands for itself
         escape = found["first"]["_bad"].isNotNull() & ~F.contains(found["element"], F.lit("<![CDATA["))
         again = F.when(escape, xml(F.regexp_replace(found["element"], BARE_AMPERSAND, "&amp;")))
-        return F.struct(found["element"].alias("element"), found["first"].alias("first"), again.alias("again"))
+        return F.struct(*(found[n].alias(n) for n in ("element", "plain", "first")), again.alias("again"))
+
+    kinds = F.transform(_elements(tag), lambda e: F.struct(e.alias("element"), e.rlike(plain).alias("plain")))
+    return F.transform(F.transform(F.transform(kinds, once), both), parsed)
 
-    once = F.transform(_elements(tag), lambda e: F.struct(e.alias("element"), xml(e).alias("first")))
-    return F.transform(F.transform(once, both), parsed)
+
+def _text_between(element: Column, field: str) -> Column:
+    """Text of the first child of a name in an element of plain children; null where there is none."""
+    return F.nullif(strip(F.regexp_extract(element, f"<{field}>([^<]*)</", 1)), F.lit(""))
 
 
 def _first(texts: Column) -> Column:
@@ -270,28 +283,100 @@ def _addressed(tag: str) -> Column:
 
 
 def reachable_sitemaps(links: DataFrame, roots: DataFrame) -> DataFrame:
-    """``sitemap_url`` of all sitemaps reachable from the given ones, themselves included.
+    """``sitemap_url`` of all sitemaps reachable from the given ones, themselves included."""
+    starts = roots.select(F.lit("").alias("root"), "sitemap_url")
+    return reached_from(links, starts).select("sitemap_url")
+
 
-    Follows the links level by level, however many there are. Each level is a join of the new sitemaps
-    with the links, cut from its history by a checkpoint; the walk ends when nothing is new.
+def sitemap_starts(sitemaps: DataFrame, url: str = "sitemap_url") -> DataFrame:
+    """Where the walk of each site begins: ``root, sitemap_url`` of the sitemaps known by their paths, and of
+    the site's robots file."""
+    known = sitemap_roots(sitemaps, url)
+    paths = F.explode(F.array(F.col("path"), F.lit(ROBOTS_FILE))).alias("path")
+    return known.select("root", paths).select("root", F.concat("root", "path").alias("sitemap_url")).distinct()
+
+
+def reached_from(links: DataFrame, starts: DataFrame) -> DataFrame:
+    """``root, sitemap_url``: the sitemaps reachable from each root's ``starts`` (the same columns),
+    themselves included.
+
+    Most sitemaps are named once, so links are shortened first: a sitemap that one other names, and that is
+    no start, is linked to the first that is named more often, or is a start, on the way up to it. That
+    takes a logarithmic number of rounds, as every round doubles the length of the links. Diamonds collapse
+    on the way, so rounds follow what is left. The walk over the shortened links goes level by level,
+    with all roots at once.
     """
-    checkpoint_root(links.sparkSession)
-    links = links.select("sitemap_url", "linked_url").distinct().checkpoint()
-    level = roots.select("sitemap_url").distinct().checkpoint()
-    reached, depth = level, 0
+    edges = links.select(F.col("sitemap_url").alias("a"), F.col("linked_url").alias("b"))
+    edges = stored(edges.where("a <> b").distinct(), "links")
+    found = stored(starts.select("root", "sitemap_url").distinct(), "reached")
+    edges = _shortened(edges, found.select(F.col("sitemap_url").alias("b")).distinct())
+    level, depth = found, 0
     partitions = partitions_for(links.sparkSession)
-    while not level.isEmpty():
-        level = (
-            level.join(links, "sitemap_url")
-            .select(F.col("linked_url").alias("sitemap_url"))
-            .distinct()
-            .join(reached, "sitemap_url", "left_anti")
-            .checkpoint()
-        )
-        reached, depth = reached.union(level), depth + 1
+    while True:
+        level = level.join(edges, level["sitemap_url"] == edges["a"])
+        level = level.select("root", F.col("b").alias("sitemap_url")).distinct()
+        level = stored(level.join(found, ["root", "sitemap_url"], "left_anti"), "level")
+        if level.isEmpty():
+            return found
+        found, depth = found.unionAll(level), depth + 1
         if depth % LEVELS_TOGETHER == 0:  # or the plan would grow with every level
-            reached = reached.coalesce(partitions).checkpoint()
-    return reached
+            found = stored(found.coalesce(partitions), "reached")
+
+
+def _shortened(edges: DataFrame, heads: DataFrame) -> DataFrame:
+    """Links ``a, b`` such that the same is reachable from ``heads`` (``b``), with chains cut short."""
+    while True:
+        named = edges.groupBy("b").agg(F.min("a").alias("a"), F.count("*").alias("n"))
+        named = stored(named.join(heads, "b", "left_anti"), "named")
+        once, chain = named.isEmpty() or named.where("n > 1").isEmpty(), named.where("n = 1").drop("n")
+        most, reach = chain.count(), 1
+        while reach <= 2 * most:
+            chain = stored(_doubled(_doubled(chain.withColumn("on", F.lit(False)))), "chain")
+            reach, going, chain = 4 * reach, not chain.where("on").isEmpty(), chain.drop("on")
+            if not going:
+                break
+        # what still hangs on a link of the chain by now hangs on a ring that nothing leads into
+        lost = chain.join(chain.select(F.col("b").alias("a")), "a", "left_semi").select("b")
+        up = chain.select(F.col("b").alias("a"), F.col("a").alias("far"))
+        edges = edges.join(up, "a", "left").select(
+            F.coalesce("far", "a").alias("a"), "b", F.col("far").isNotNull().alias("moved")
+        )
+        edges = edges.where("a <> b").join(lost, "b", "left_anti")
+        edges = stored(edges.groupBy("a", "b").agg(F.max("moved").alias("moved")), "links")
+        moved, edges = not edges.where("moved").isEmpty(), edges.drop("moved")
+        # where no two links lead to one sitemap, none can fall together
+        if once or not moved:
+            return edges
+
+
+def _doubled(chain: DataFrame) -> DataFrame:
+    """``b, a, on``: links of twice the length; ``on`` where this or the last doubling made one longer."""
+    up = chain.select(F.col("b").alias("a"), F.col("a").alias("far"))
+    joined = chain.join(up, "a", "left")
+    return joined.select("b", F.coalesce("far", "a").alias("a"), (F.col("on") | F.col("far").isNotNull()).alias("on"))
+
+
+def pages_per_root(docs: DataFrame, sitemaps: DataFrame) -> DataFrame:
+    """Pages of each site: ``root`` and the columns of ``sitemap_entries``, for every document of ``docs`` in
+    the tree that begins with the site's robots file and its ``sitemaps`` (column ``sitemap_url``).
+
+    A sitemap counts for the site whose tree holds it, wherever it lies, and for each of them.
+    """
+    reached = reached_from(sitemap_links(docs), sitemap_starts(sitemaps))
+    return reached.join(sitemap_entries(docs), "sitemap_url").select(
+        "root", "sitemap_url", "url", "last_modified", "change_frequency", "priority"
+    )
+
+
+def root_counts(pages: DataFrame) -> DataFrame:
+    """``root, n_sitemaps, n_entries, n_pages`` of ``pages_per_root``: sitemaps with pages, entries and
+    distinct addresses. Each is counted within its sitemap or address first, so a great site spreads."""
+    sitemaps = pages.groupBy("root", "sitemap_url").agg(F.count("*").alias("n"))
+    sitemaps = sitemaps.groupBy("root").agg(
+        F.count("*").alias("n_sitemaps"), F.sum("n").alias("n_entries")
+    )
+    urls = pages.select("root", "url").distinct().groupBy("root").agg(F.count("*").alias("n_pages"))
+    return sitemaps.join(urls, "root").select("root", "n_sitemaps", "n_entries", "n_pages")
 
 
 def distinct_pages(pages: DataFrame, by: str = "page") -> DataFrame:

@@ -8,12 +8,18 @@ from archivetables.plans.archive_tables import (
     scan_pages,
     scan_problems,
 )
-from archivetables.plans.generate import content_by_url, generate_records, records_from_tables
+from archivetables.plans.generate import (
+    content_by_url,
+    content_by_url_indexed,
+    generate_records,
+    records_from_tables,
+)
 from archivetables.plans.harvest import HarvestTables, harvest_tables, write_harvest
 
 __all__ = [
     "HarvestTables",
     "content_by_url",
+    "content_by_url_indexed",
     "generate_records",
     "harvest_tables",
     "html_websites",

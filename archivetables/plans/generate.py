@@ -7,28 +7,40 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from archivetables.functions import utf8_text
-from archivetables.operators.captures import KEYS, match_urls, record_pointers
+from archivetables.functions import keep_last_rank, utf8_text
+from archivetables.operators.captures import (
+    KEYS,
+    html_captures,
+    match_urls,
+    parse_cdx,
+    record_pointers,
+)
 from archivetables.operators.records import (
     RECORD_COLUMNS,
     active_records,
     append_deletes,
     deleted_urls,
-    order_by_offset,
 )
 from archivetables.plans.archive_tables import (
+    ARCHIVE_BYTES_PER_LINES_TASK,
     Paths,
     listed,
     scan_cdx,
     scan_pages,
 )
 from archivetables.operators.quality import archive_gaps
+from archivetables.session import partitions_for, stored
 from archivetables.sources.archives import archive_bytes, wacz_members
+from archivetables.sources.index_lookup import lookup_lines
+from archivetables.sources.sort_keys import is_plain
+from archivetables.sources.staging import stage_packed
 from archivetables.sources.url_lists import read_previous_url_list, read_url_list
 from archivetables.sources.warc import fetch_warc
 
 UrlList = DataFrame | str | None
 
+MAX_LOOKUP = 100_000  # URLs that go to all tasks: some MB
+
 
 class ArchiveProblemError(RuntimeError):
     """An archive lacks what records are made of."""
@@ -48,13 +60,18 @@ def records_from_tables(
     strict: bool = True,
     keep_crawl: bool = False,
     n_bytes: int = 0,
+    members: DataFrame | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """Records from page rows, HTML captures and, if any, deleted URLs.
 
     Duplicates are settled on the pointers, so that only captures which become records are
     read, and payloads never pass a shuffle. Offsets order captures within an archive
     only, so the unit of deduplication is (archive, URL). Deletes without ``wacz_path``
-    hold for the URL in every archive. ``n_bytes`` is the size of the archives, if known.
+    hold for the URL in every archive. ``n_bytes`` is the size of the archives, if known. With the
+    ``members`` of the archives, WARC files that are packed there are unpacked once beforehand, if a
+    pointer names them. ``ordered`` records are sorted by offset, deleted ones last; they are read in that
+    order, and not moved.
     """
     if prefer not in ("deleted", "active"):
         raise ValueError(f"prefer must be 'deleted' or 'active': {prefer!r}")
@@ -63,16 +80,29 @@ def records_from_tables(
     if deletes is not None and prefer == "active":
         keys = [c for c in KEYS if c in deletes.columns]
         deletes = deletes.join(pointers.select(*keys), keys, "left_anti")
-    records = active_records(
-        fetch_warc(pointers, strict, n_bytes),
-        "wacz_path",
-        *([] if strict else ["payload_problem"]),
-    )
-    if deletes is not None:
-        records = append_deletes(records, deletes)
+    staged = None
+    if members is not None:
+        pointers = stored(pointers, "pointers")
+        staged = stage_packed(members, pointers)
+    kept = ["wacz_path", *([] if strict else ["payload_problem"])]
+    if ordered:
+        rows = pointers.withColumn("status", F.lit("active"))
+        if deletes is not None:
+            rows = rows.unionByName(deletes, allowMissingColumns=True)
+        rank = keep_last_rank("offset", "filename", "url", order=offset_order)
+        fetched = fetch_warc(rows, strict, n_bytes, staged=staged, order=rank)
+        records = active_records(fetched, *kept, status=F.col("status"))
+    else:
+        records = active_records(fetch_warc(pointers, strict, n_bytes, staged=staged), *kept)
+        if deletes is not None:
+            records = append_deletes(records, deletes)
     return records if keep_crawl else records.drop("wacz_path")
 
 
+def _has_packed(members: DataFrame) -> bool:
+    return not members.where("kind = 'warc' AND NOT stored").isEmpty()
+
+
 def _url_list(spark: SparkSession, urls: DataFrame | str, previous: bool = False) -> DataFrame:
     if isinstance(urls, DataFrame):
         return urls
@@ -100,12 +130,13 @@ def generate_records(
     are unreadable or lack page lists or an index; it goes with ``strict`` unless given. ``observation`` receives the counts ``records`` and
     ``deleted`` when the result is computed.
 
-    ``ordered`` sends the payloads through a shuffle, and Spark samples what it sorts: for
-    large crawls, write the records first and sort what was written.
+    ``ordered`` sorts the pointers and reads the records in that order. WARC files that are packed within
+    their archives are unpacked beforehand, by one task each, into the shared folder.
     """
     archives = listed(spark, wacz_paths)
+    members = stored(wacz_members(archives, strict=False), "members")
     if strict if check_archives is None else check_archives:
-        gaps = archive_gaps(wacz_members(archives, strict=False)).groupBy("problem")
+        gaps = archive_gaps(members).groupBy("problem")
         gaps = gaps.agg(F.count("*").alias("n"), F.min("wacz_path").alias("example")).collect()
         if gaps:  # a row per kind of problem
             raise ArchiveProblemError(
@@ -126,6 +157,8 @@ def generate_records(
         strict=strict,
         keep_crawl=keep_crawl,
         n_bytes=size,
+        members=members if _has_packed(members) else None,
+        ordered=ordered,
     )
     if observation is not None:
         records = records.observe(
@@ -133,8 +166,6 @@ def generate_records(
             F.count(F.lit(1)).alias("records"),
             F.count_if(F.col("status") == "deleted").alias("deleted"),
         )
-    if ordered:
-        records = order_by_offset(records, offset_order)
     first = ["wacz_path"] if keep_crawl else []
     last = [] if strict else ["payload_problem"]
     return records.select(*first, *RECORD_COLUMNS, *last)
@@ -163,6 +194,10 @@ def content_by_url(
         scan_pages(spark, archives, n_bytes=size),
         scan_cdx(spark, archives, n_bytes=size),
     )
+    return _single_contents(found, size, decode, strict)
+
+
+def _single_contents(found: DataFrame, n_bytes: int, decode: bool, strict: bool) -> DataFrame:
     is_single = F.col("match_count") == 1
     if strict:
         message = F.concat_ws(" ", F.lit("URL has not one match but"), "match_count", "url")
@@ -170,5 +205,42 @@ def content_by_url(
     pointers = found.withColumn("filename", F.when(is_single, F.col("filename")))
     payload = F.col("payload")
     content = utf8_text(payload) if decode else payload
-    fetched = fetch_warc(pointers, n_bytes=size)
+    fetched = fetch_warc(pointers, n_bytes=n_bytes)
     return fetched.select("url", "wacz_path", "match_count", content.alias("content"))
+
+
+def content_by_url_indexed(
+    spark: SparkSession,
+    wacz_paths: Paths,
+    urls: DataFrame | Iterable[str],
+    decode: bool = True,
+    strict: bool = False,
+    max_urls: int = MAX_LOOKUP,
+) -> DataFrame:
+    """``content_by_url`` for a few URLs of many archives.
+
+    The order of the indexes leads to the blocks that can hold the URLs, and page lists are read only in
+    archives that have a capture of one. URLs that index writers may have rewritten, and lists of more than
+    ``max_urls``, are looked for in whole indexes.
+    """
+    if not isinstance(urls, DataFrame):
+        urls = spark.createDataFrame([(u,) for u in urls], "url string")
+    wanted = urls.select("url").distinct()
+    few = [r.url for r in wanted.limit(max_urls + 1).collect()]
+    if len(few) > max_urls:
+        return content_by_url(spark, wacz_paths, wanted, decode, strict)
+    plain = [u for u in few if u is not None and is_plain(u)]
+    other = [u for u in few if u is None or not is_plain(u)]
+    archives = listed(spark, wacz_paths)
+    size = archive_bytes(archives)
+    n = partitions_for(spark, size, ARCHIVE_BYTES_PER_LINES_TASK)
+    wanted = spark.createDataFrame([(u,) for u in plain], "url string")
+    captures = html_captures(parse_cdx(lookup_lines(archives, plain, partitions=n)))
+    captures = stored(captures.join(wanted, "url", "left_semi"), "looked-up")
+    having = captures.select(F.col("wacz_path").alias("path")).distinct()
+    pages = scan_pages(spark, archives.join(having, "path", "left_semi"), n_bytes=size)
+    found = _single_contents(match_urls(wanted, pages, captures), size, decode, strict)
+    if not other:
+        return found
+    rest = spark.createDataFrame([(u,) for u in other], "url string")
+    return found.unionByName(content_by_url(spark, archives, rest, decode, strict))

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,6 +61,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, whatever follows."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitions_for(spark: SparkSession, n_bytes: int = 0, bytes_per_task: int = 1 << 30) -> int:
     """Partitions for stages whose input rows are tiny but whose work, ``n_bytes``, is not.
 

@@ -7,10 +7,14 @@ from archivetables.sources.archives import (
     text_lines,
     wacz_members,
 )
+from archivetables.sources.index_lookup import lookup_lines
+from archivetables.sources.staging import stage_packed
 from archivetables.sources.url_lists import (
     read_previous_url_list,
     read_url_list,
     save_url_snapshot,
+    scan_url_list,
+    url_list_problems,
     write_url_list,
 )
 from archivetables.sources.warc import ArchiveReadError, fetch_warc
@@ -20,11 +24,15 @@ __all__ = [
     "archive_bytes",
     "fetch_warc",
     "list_archives",
+    "lookup_lines",
     "member_lines",
     "read_previous_url_list",
     "read_url_list",
     "save_url_snapshot",
+    "stage_packed",
+    "scan_url_list",
     "text_lines",
+    "url_list_problems",
     "wacz_members",
     "write_url_list",
 ]

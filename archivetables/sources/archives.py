@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from archivetables import schemas
 from archivetables.session import partitions_for
+from archivetables.sources.gzip_members import Chain, search
 from archivetables.sources.storage import open_input, open_member, open_zip
 
 # fixed values: where a WACZ file keeps its parts
@@ -119,18 +120,80 @@ def text_lines(
             if rows:
                 yield _batch(rows, SPLIT_ARROW)
 
+    n = partitions or partitions_for(archives.sparkSession)
+    splits = archives.select("path").mapInArrow(split, SPLIT)
+    if kind == "cdx" or kind.endswith(".gz"):
+        splits = _at_members(splits, n)
+    return read_splits(splits, n)
+
+
+def read_splits(splits: DataFrame, partitions: int) -> DataFrame:
+    """The lines that begin in each of the splits."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 yield from _read_split(**row)
 
-    n = partitions or partitions_for(archives.sparkSession)
-    return (
-        archives.select("path")
-        .mapInArrow(split, SPLIT)
-        .repartition(n, "wacz_path", "member", "start")
-        .mapInArrow(read, schemas.LINE)
+    dealt = splits.repartition(partitions, "wacz_path", "member", "start")
+    return dealt.mapInArrow(read, schemas.LINE)
+
+
+def _at_members(splits: DataFrame, partitions: int) -> DataFrame:
+    """Splits of packed members without a block list, cut where a gzip member begins. Each is searched by a
+    task of its own; what they found is then put together in order. Other splits stay as they are."""
+
+    def opened(row: dict):
+        return open_input(row["wacz_path"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                places = (None, None, None)
+                if row["before"] == UNKNOWN:
+                    with opened(row) as file, open_zip(file, row["wacz_path"]) as archive:
+                        source = open_member(file, archive, row["member"])
+                        size = archive.getinfo(row["member"]).file_size
+                        places = search(source, row["start"], row["stop"], size) or places
+                found.append((*row.values(), *places))
+            if found:
+                yield _batch(found, FOUND_ARROW)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        member, chain, held, size = None, Chain(), None, 0
+
+        def last() -> Iterator[pa.RecordBatch]:
+            if held:
+                yield _batch([(*member, held[0], size, held[0] == 0, held[1])], SPLIT_ARROW)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["before"] != UNKNOWN:
+                    yield _batch([tuple(row[n] for n in SPLIT_ARROW.names)], SPLIT_ARROW)
+                    continue
+                here = row["wacz_path"], row["member"]
+                if here != member:
+                    yield from last()
+                    member, chain, held = here, Chain(), None
+                found = None if row["entry"] is None else (row["entry"], row["exit"], row["last"])
+                with opened(row) as file, open_zip(file, row["wacz_path"]) as archive:
+                    source = open_member(file, archive, row["member"])
+                    size = archive.getinfo(row["member"]).file_size
+                    cut = chain.take(source, row["start"], row["stop"], size, found)
+                if cut is not None:
+                    if held:
+                        yield _batch([(*member, held[0], cut[0], False, held[1])], SPLIT_ARROW)
+                    held = cut
+        yield from last()
+
+    searched = splits.repartition(partitions, "wacz_path", "member", "start").mapInArrow(
+        find, f"{SPLIT}, entry bigint, exit bigint, last bigint"
+    )
+    ordered = searched.repartition(partitions, "wacz_path", "member").sortWithinPartitions(
+        "wacz_path", "member", "start"
     )
+    return ordered.mapInArrow(join, SPLIT)
 
 
 def member_lines(archives: DataFrame, member: str, **options) -> DataFrame:
@@ -159,6 +222,10 @@ SPLIT_ARROW = pa.schema(
         ("before", pa.int64()),
     ]
 )
+FOUND_ARROW = pa.schema(
+    [*SPLIT_ARROW, ("entry", pa.int64()), ("exit", pa.int64()), ("last", pa.int64())]
+)
+UNKNOWN = -1  # where the gzip member before a split begins, as long as members are not found
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
@@ -198,8 +265,9 @@ def _wanted(member: str, kind: str) -> bool:
 
 def _splits(path: str, kind: str, split_bytes: int, strict: bool) -> list[tuple]:
     """Byte ranges of the wanted members. Only what is stored unpacked can be cut: plain
-    text anywhere (readers align to lines), gzip text at the blocks its index lists. ``before`` is
-    where the block before a split begins."""
+    text anywhere (readers align to lines), gzip text at the blocks its index lists, or, for want of a
+    list, anywhere for the time being. ``before`` is where the block before a split begins, null if the
+    split is known to begin a line."""
     rows = []
     for info in _directory(path, strict):
         if not _wanted(info.filename, kind):
@@ -210,6 +278,9 @@ def _splits(path: str, kind: str, split_bytes: int, strict: bool) -> list[tuple]
                 before = cuts = list(range(0, info.file_size, split_bytes))
             else:
                 cuts, before = _block_cuts(path, info, split_bytes)
+                if cuts is None:
+                    cuts = list(range(0, info.file_size, split_bytes))
+                    before = [UNKNOWN] * len(cuts)
         stops = cuts[1:] + [info.file_size]
         rows += [
             (path, info.filename, start, stop, len(cuts) == 1, last)
@@ -218,35 +289,47 @@ def _splits(path: str, kind: str, split_bytes: int, strict: bool) -> list[tuple]
     return rows
 
 
-def _block_cuts(
-    path: str, info: zipfile.ZipInfo, split_bytes: int
-) -> tuple[list[int], list[int]]:
-    """Starts of gzip members, at least ``split_bytes`` apart, and of the member before each, if the
-    block list covers the file without a gap; otherwise the file stays whole."""
+def block_list(path: str) -> list[tuple[int, int, bytes]]:
+    """``(offset, length, first key)`` of each block of the packed index, in order of their place; none
+    if the archive has no list of them."""
     with open_input(path) as file, open_zip(file, path) as archive:
         if CDX_BLOCKS_FILE not in archive.namelist():
-            return [0], [0]
+            return []
         with archive.open(CDX_BLOCKS_FILE) as lines:
-            texts = [line[line.find(b"{") :] for line in lines if b'"offset"' in line]
-    blocks = sorted((b["offset"], b["length"]) for b in map(json.loads, texts))
-    cuts, before, end, last = [0], [0], 0, 0
-    for offset, length in blocks:
-        if offset != end:
-            return [0], [0]
+            texts = [(line[line.find(b"{") :], line) for line in lines if b'"offset"' in line]
+    places = [(json.loads(text), line.split(b" ", 1)[0]) for text, line in texts]
+    return sorted((p["offset"], p["length"], key) for p, key in places)
+
+
+def is_gapless(blocks: list[tuple[int, int, bytes]], size: int) -> bool:
+    ends = [0, *(offset + length for offset, length, _ in blocks)]
+    return [offset for offset, _, _ in blocks] == ends[:-1] and ends[-1] == size
+
+
+def _block_cuts(
+    path: str, info: zipfile.ZipInfo, split_bytes: int
+) -> tuple[list[int] | None, list[int] | None]:
+    """Starts of gzip members, at least ``split_bytes`` apart, and of the member before each, if the
+    block list covers the file without a gap."""
+    blocks = block_list(path)
+    if not is_gapless(blocks, info.file_size):
+        return None, None
+    cuts, before, last = [0], [0], 0
+    for offset, _, _ in blocks:
         if offset - cuts[-1] >= split_bytes:
             cuts.append(offset)
             before.append(last)
-        end, last = offset + length, offset
-    return (cuts, before) if end == info.file_size else ([0], [0])
+        last = offset
+    return cuts, before
 
 
 def _read_split(
-    wacz_path: str, member: str, start: int, stop: int, whole: bool, before: int
+    wacz_path: str, member: str, start: int, stop: int, whole: bool, before: int | None
 ) -> Iterator[pa.RecordBatch]:
     with open_input(wacz_path) as file, open_zip(file, wacz_path) as archive:
         source = open_member(file, archive, member)
         if member.endswith(".gz"):
-            cut = start > 0 and not _ends_line(source, before, start)
+            cut = start > 0 and before is not None and not _ends_line(source, before, start)
             source.seek(start)
             if whole:
                 runs = _lines(_inflate(_chunks(source, None)), 0, None)

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from contextlib import ExitStack
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,8 @@ BLOCK_BYTES = 16 << 20
 MIN_BLOCK_BYTES = 1 << 20
 BLOCKS_PER_TASK = 16
 BATCH_BYTES = 32 << 20
+USUAL_RECORD = 1 << 14  # bytes of a packed record whose length the index does not give
+PACKING = 4  # how much a record grows when it is unpacked, about
 
 HEADERS_ARROW = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
 
@@ -44,6 +46,8 @@ def fetch_warc(
     partitions: int | None = None,
     block_bytes: int | None = None,
     batch_bytes: int = BATCH_BYTES,
+    staged: DataFrame | None = None,
+    order: Column | None = None,
 ) -> DataFrame:
     """Add ``payload``, ``headers`` and ``payload_problem`` to pointer rows.
 
@@ -52,15 +56,24 @@ def fetch_warc(
     name points nowhere and gets a null payload. A record that cannot be read, or a body that cannot
     be decoded in full, raises; when not ``strict`` it leaves a problem, with a null payload or what
     could be decoded. ``n_bytes``, the size of the archives, sets the number of tasks and the size of
-    blocks.
+    blocks. Files that ``staged`` names (see ``stage_packed``) are read from there.
+
+    With ``order`` the result is sorted by it, without moving a payload: the pointers are dealt by ranges of
+    that order, and each task reads its own in stretches of ``batch_bytes``, within them by place.
     """
     n = partitions or partitions_for(pointers.sparkSession, n_bytes)
     if block_bytes is None:
         even = n_bytes // (n * BLOCKS_PER_TASK) if n_bytes else BLOCK_BYTES
         block_bytes = max(MIN_BLOCK_BYTES, min(even, BLOCK_BYTES))
-    path_at, file_at, offset_at = (
-        pointers.columns.index(c) for c in ("wacz_path", "filename", "offset_num")
-    )
+    if staged is not None:
+        # a row per packed file; the join keeps the number of pointers
+        pointers = pointers.join(staged.drop("staged_bytes"), ["wacz_path", "filename"], "left")
+    key_at = [
+        pointers.columns.index(c)
+        for c in ("wacz_path", "filename", "offset_num", "staged_path")
+        if c in pointers.columns
+    ]
+    length_at = pointers.columns.index("length") if "length" in pointers.columns else None
     schema = T.StructType(
         pointers.schema.fields
         + [
@@ -70,22 +83,30 @@ def fetch_warc(
         ]
     )
 
+    in_order = order is not None
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def read(key: tuple) -> tuple:
+            record = records.read(*key)
+            if strict and record[2]:
+                raise ArchiveReadError(f"{record[2]}: {key[:3]}")
+            return record
+
         with _Records() as records:
             for batch in batches:
-                keys = zip(
-                    batch.column(path_at).to_pylist(),
-                    batch.column(file_at).to_pylist(),
-                    batch.column(offset_at).to_pylist(),
-                    strict=True,
-                )
+                keys = list(zip(*(batch.column(i).to_pylist() for i in key_at), strict=True))
+                if in_order:
+                    lengths = [None] * len(keys) if length_at is None else batch.column(length_at).to_pylist()
+                    for first, last in _stretches(lengths, batch_bytes):
+                        found: list[tuple] = [()] * (last - first)
+                        for i in sorted(range(first, last), key=lambda i: _place(keys[i])):
+                            found[i - first] = read(keys[i])
+                        yield _extend(batch.slice(first, last - first), found)
+                    continue
                 found, size, first = [], 0, 0
                 for key in keys:
-                    record = records.read(*key)
-                    if strict and record[2]:
-                        raise ArchiveReadError(f"{record[2]}: {key}")
-                    found.append(record)
-                    size += len(record[0] or b"")
+                    found.append(read(key))
+                    size += len(found[-1][0] or b"")
                     if size >= batch_bytes:
                         yield _extend(batch.slice(first, len(found)), found)
                         first += len(found)
@@ -93,6 +114,10 @@ def fetch_warc(
                 if found:
                     yield _extend(batch.slice(first, len(found)), found)
 
+    if in_order:
+        # a hash at the end, so that rows of one rank can still be dealt to several tasks
+        ranged = pointers.repartitionByRange(n, order, F.xxhash64("wacz_path", "filename"))
+        return ranged.sortWithinPartitions(order).mapInArrow(fetch, schema).drop("staged_path")
     block = F.expr(f"offset_num div {block_bytes}")
     # rows that point nowhere read nothing; they are dealt out, or all would meet in one task
     spread = F.when(F.col("filename").isNull(), F.monotonically_increasing_id())
@@ -100,9 +125,26 @@ def fetch_warc(
         pointers.repartition(n, "wacz_path", "filename", block, spread)
         .sortWithinPartitions("wacz_path", "filename", "offset_num")
         .mapInArrow(fetch, schema)
+        .drop("staged_path")
     )
 
 
+def _place(key: tuple) -> tuple:
+    return tuple((part is not None, part) for part in key[:3])
+
+
+def _stretches(lengths: list[str | None], n_bytes: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose packed records take so many bytes together, by the index's word."""
+    first, size = 0, 0
+    for i, length in enumerate(lengths):
+        size += int(length) if length and length.isascii() and length.isdigit() else USUAL_RECORD
+        if size >= n_bytes // PACKING:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(lengths):
+        yield first, len(lengths)
+
+
 def _extend(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
     payloads, headers, problems = zip(*found, strict=True)
     return pa.RecordBatch.from_arrays(
@@ -131,28 +173,35 @@ class _Records:
     def __exit__(self, *error: object) -> None:
         self._open.close()
 
-    def read(self, path: str, filename: str | None, offset: int | None) -> tuple:
+    def read(
+        self, path: str, filename: str | None, offset: int | None, staged: str | None = None
+    ) -> tuple:
         """``(payload, headers, problem)``; repeated pointers are read once."""
         if (path, filename, offset) != self._record_key:
             self._record_key = (path, filename, offset)
             try:
-                self._record = self._read(path, filename, offset)
+                self._record = self._read(path, filename, offset, staged)
             except (OSError, EOFError, ValueError, zlib.error, zipfile.BadZipFile) as error:
                 self._record = (None, None, f"unreadable record: {error}")
         return self._record
 
-    def _read(self, path: str, filename: str | None, offset: int | None) -> tuple:
+    def _read(
+        self, path: str, filename: str | None, offset: int | None, staged: str | None
+    ) -> tuple:
         if filename is None:
             return None, None, None
         if offset is None or offset < 0:
             return None, None, "no record position"
-        if path != self._archive_key:
+        if (staged or path) != self._archive_key:
             self._open.close()
             self._member_key = self._archive_key = None
-            self._file = self._open.enter_context(open_input(path))
-            self._archive = self._open.enter_context(open_zip(self._file, path))
-            self._archive_key = path
-        if filename != self._member_key:
+            self._file = self._open.enter_context(open_input(staged or path))
+            if staged is None:
+                self._archive = self._open.enter_context(open_zip(self._file, path))
+            self._archive_key = staged or path
+        if staged is not None:
+            self._member = self._file
+        elif filename != self._member_key:
             self._member_key = None
             try:
                 name = f"{WARC_DIR}/{filename}"

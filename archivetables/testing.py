@@ -19,6 +19,7 @@ from archivetables.sources.archives import (
     PAGES_FILES,
     WARC_DIR,
 )
+from archivetables.sources.sort_keys import sort_key
 from archivetables.sources.storage import locate
 
 PAGE = (
@@ -37,8 +38,10 @@ def pack_archives(
     pages_per_archive: int = 2000,
     pages_per_warc: int = 500,
     deflate_warcs: bool = False,
+    list_blocks: bool = True,
 ) -> int:
-    """Write rows of schema ``PAGE`` as archives into ``folder``; gives their number.
+    """Write rows of schema ``PAGE`` as archives into ``folder``; gives their number. On request the WARC
+    files are packed within the archives, or the lists of the packed indexes' blocks are left out.
 
     A row is one URL with its entries in the page lists and its captures. Every task writes
     its rows as they come, beginning a new archive after a number of them, so memory holds
@@ -53,10 +56,10 @@ def pack_archives(
             for row in batch.to_pylist():
                 rows.append(row)
                 if len(rows) == pages_per_archive:
-                    _write_archive(folder, task, count, rows, pages_per_warc, deflate_warcs)
+                    _write_archive(folder, task, count, rows, pages_per_warc, deflate_warcs, list_blocks)
                     rows, count = [], count + 1
         if rows:
-            _write_archive(folder, task, count, rows, pages_per_warc, deflate_warcs)
+            _write_archive(folder, task, count, rows, pages_per_warc, deflate_warcs, list_blocks)
             count += 1
         yield pa.RecordBatch.from_pydict({"archives": [count]})
 
@@ -70,7 +73,9 @@ def pack_archives(
     return written.groupBy().sum("archives").first()[0]
 
 
-def _write_archive(folder, task, number, rows, pages_per_warc, deflate_warcs) -> None:
+def _write_archive(
+    folder, task, number, rows, pages_per_warc, deflate_warcs, list_blocks
+) -> None:
     name = f"part-{task.partitionId():05d}-{number:05d}.wacz"
     fs, inner = locate(f"{folder}/{name}")
     draft = f"{inner}.{task.taskAttemptId()}.draft"
@@ -82,7 +87,7 @@ def _write_archive(folder, task, number, rows, pages_per_warc, deflate_warcs) ->
             with archive.open(info, "w") as member:
                 index += _write_warc(member, warc, rows[first : first + pages_per_warc])
         half = len(index) // 2
-        _write_index(archive, sorted(index[:half]))
+        _write_index(archive, sorted(index[:half]), list_blocks)
         _put(archive, CDX_FILES[1], "".join(f"{line}\n" for line in sorted(index[half:])))
         for path, extra in zip(PAGES_FILES, [False, True], strict=True):
             fields = ["title", "text"] if extra else ["title"]
@@ -111,8 +116,8 @@ def _put(archive: zipfile.ZipFile, name: str, text: str | bytes, deflate: bool =
     archive.writestr(_entry(name, deflate), text)
 
 
-def _write_index(archive: zipfile.ZipFile, lines: list[str]) -> None:
-    """The packed index: blocks of lines, each a gzip member, and the list of blocks."""
+def _write_index(archive: zipfile.ZipFile, lines: list[str], list_blocks: bool) -> None:
+    """The packed index: blocks of lines, each a gzip member, and on request the list of blocks."""
     data, blocks = b"", ['!meta 0 {"format": "cdxj-gzip-1.0", "filename": "index.cdx.gz"}']
     for first in range(0, len(lines), CDX_BLOCK_LINES):
         block = lines[first : first + CDX_BLOCK_LINES]
@@ -121,7 +126,8 @@ def _write_index(archive: zipfile.ZipFile, lines: list[str]) -> None:
         blocks.append(f"{' '.join(block[0].split(' ', 2)[:2])} {place}")
         data += packed
     _put(archive, CDX_FILES[0], data)
-    _put(archive, CDX_BLOCKS_FILE, "".join(f"{line}\n" for line in blocks))
+    if list_blocks:
+        _put(archive, CDX_BLOCKS_FILE, "".join(f"{line}\n" for line in blocks))
 
 
 def _write_warc(member, name: str, rows: list[dict]) -> list[str]:
@@ -140,8 +146,7 @@ def _write_warc(member, name: str, rows: list[dict]) -> list[str]:
                 "offset": str(offset),
                 "filename": name,
             }
-            key = row["url"].split("://", 1)[-1].replace(" ", "%20")
-            lines.append(f"{key} 20250101000000 {json.dumps(place)}")
+            lines.append(f"{sort_key(row['url'])} 20250101000000 {json.dumps(place)}")
             offset += len(packed)
     return lines
 

@@ -138,8 +138,8 @@ def test_packed_index_splits_at_its_blocks(spark, tmp_path, split_bytes, index):
     rows = member_lines(archives(spark, str(tmp_path)), CDX_GZ, split_bytes=split_bytes).collect()
     assert sorted(r.line.decode() for r in rows) == sorted(texts)
     splits = {r.split_start for r in rows}
-    assert len(splits) == (10 if index == "full" and split_bytes == 1 else len(splits))
-    assert (len(splits) > 1) == (index == "full" and split_bytes < 1000)
+    assert len(splits) == (10 if split_bytes == 1 else len(splits))
+    assert (len(splits) > 1) == (split_bytes < 1000)
 
 
 @pytest.mark.parametrize("split_bytes", [1, 60, 1 << 20])

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,14 @@ from archivetables import operators as ops
 from archivetables import plans, sinks
 from archivetables.functions import header_map, strip, utf8_text
 from archivetables.session import scratch_dir
-from archivetables.sources import read_url_list, text_lines, write_url_list
+from archivetables.sources import (
+    read_previous_url_list,
+    read_url_list,
+    stage_packed,
+    text_lines,
+    url_list_problems,
+    write_url_list,
+)
 from workload import sql
 from workload import tables as tb
 
@@ -789,3 +798,158 @@ def harvest_records(spark, sf_dir):
         previous_urls=tb.order_sitemap(spark, sf_dir).select("url"),
     )
     return tables.records.select("url", "status", "cdx_title")
+
+
+# looking up, unpacking and cutting archives
+
+
+@query(
+    f"""WITH {sql.ARCHIVE_PAGES}, supplier_urls AS (
+      SELECT 'https://shop.example.com/supplier/' || s_suppkey AS url FROM supplier),
+    wanted AS (SELECT url FROM page_base UNION SELECT url FROM supplier_urls),
+    hits AS (
+      SELECT p.url, count(*) AS n, max(c.content) AS content
+      FROM listed p JOIN archived c USING (url) WHERE c.mime = 'text/html' GROUP BY p.url)
+    SELECT url, coalesce(n, 0) AS match_count, CASE WHEN n = 1 THEN content END AS content
+    FROM wanted LEFT JOIN hits USING (url)"""
+)
+def content_by_url_indexed(spark, sf_dir):
+    """All pages, and suppliers that are in no archive; the blocks of documents stay unread."""
+    wanted = tb.table(spark, sf_dir, "pages").select("url")
+    suppliers = tb.table(spark, sf_dir, "supplier")
+    wanted = wanted.union(suppliers.select(tb.text(f"{tb.SHOP}/supplier/", F.col("s_suppkey"))))
+    found = at.content_by_url_indexed(spark, tb.archives(spark, sf_dir), wanted)
+    return found.select("url", "match_count", "content")
+
+
+@query(
+    f"""WITH {sql.ARCHIVE_PAGES}
+    SELECT url, status, cdx_title, html_base64 FROM (
+      SELECT url, 'active' AS status, title AS cdx_title, to_base64(encode(content)) AS html_base64
+      FROM winners)"""
+)
+def generate_records_packed(spark, sf_dir):
+    """Archives whose WARC files are packed: each is unpacked once."""
+    records = at.generate_records(spark, tb.archives(spark, sf_dir, plain=False))
+    return records.select("url", "status", "cdx_title", "html_base64")
+
+
+@query(
+    f"""WITH {sql.ARCHIVE_PAGES}
+    SELECT url, mime, '200' AS status, n_headers FROM archived"""
+)
+def cdx_scan_unlisted(spark, sf_dir):
+    """Packed indexes without a list of their blocks, cut at the members that are found."""
+    archives = at.list_archives(spark, tb.archives(spark, sf_dir, plain=False))
+    captures = ops.parse_cdx(text_lines(archives, "cdx", split_bytes=20_000))
+    fetched = at.fetch_warc(captures, staged=stage_packed(at.wacz_members(archives)))
+    return fetched.select("url", "mime", "status", F.size("headers").cast("bigint").alias("n_headers"))
+
+
+@query(
+    f"""WITH {sql.ARCHIVE_PAGES}, {sql.ARCHIVE_DELETES}
+    SELECT url, 'active' AS status, title AS cdx_title, to_base64(encode(content)) AS html_base64,
+           TRUE AS in_order
+    FROM winners WHERE url NOT IN (SELECT url FROM gone)
+    UNION ALL SELECT url, 'deleted', NULL, NULL, TRUE FROM gone"""
+)
+def generate_records_ordered(spark, sf_dir):
+    """Each record tells whether it comes behind the one before it in its partition."""
+    previous, current = _archive_lists(spark, sf_dir)
+    archives = tb.archives(spark, sf_dir)
+    records = at.generate_records(spark, archives, current, previous, ordered=True)
+
+    def compare(batches):
+        last = -1
+        for batch in batches:
+            order = []
+            for offset in batch.column("cdx_offset").to_pylist():
+                number = float("inf") if offset is None else int(offset)
+                order.append(number >= last)
+                last = number
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in RECORD_FIELDS), pa.array(order)], [*RECORD_FIELDS, "in_order"]
+            )
+
+    fields = ", ".join(f"{name} string" for name in RECORD_FIELDS)
+    return records.select(*RECORD_FIELDS, "cdx_offset").mapInArrow(compare, f"{fields}, in_order boolean")
+
+
+RECORD_FIELDS = ["url", "status", "cdx_title", "html_base64"]
+
+
+@query(
+    """SELECT 'https://docs.example.org/' || doc_id AS url,
+           CASE WHEN doc_id % 2 = 0 THEN 'sha256:' || n_chars END AS "recordDigest",
+           CASE WHEN doc_id % 3 = 0 THEN CAST(n_chars AS BIGINT) END AS tries,
+           CASE WHEN lang = 'en' THEN '["en",' || n_chars || ']' END AS odd,
+           'OBJECT<`odd key.x`: ARRAY<VARIANT>, recordDigest: STRING, tries: VARIANT, url: STRING>' AS all_keys
+    FROM documents"""
+)
+def cdx_extra_fields(spark, sf_dir):
+    """The keys of all index lines, and those beyond the usual ones as typed columns."""
+    captures = ops.parse_cdx(tb.rich_index_lines(spark, sf_dir), keep_raw=True)
+    fields = {"recordDigest": "string", "tries": "bigint", "odd key.x": "string"}
+    return ops.cdx_fields(captures, fields).select(
+        "url", "recordDigest", "tries", F.col("`odd key.x`").alias("odd"),
+        F.lit(ops.cdx_schema(captures)).alias("all_keys"),
+    )
+
+
+# sitemaps of a site on other hosts
+
+CDN_PAGES = """
+    sites AS (SELECT DISTINCT doc_id // 8 AS site_no FROM documents),
+    root_pages AS (
+      SELECT 'https://c' || (doc_id // 8) || '.example.com' AS root,
+             'https://cdn' || (doc_id // 8 % 7) || '.example.net/pages-' || (doc_id // 8) || '.xml' AS sitemap_url,
+             'https://c' || (doc_id // 8) || '.example.com/o/' || doc_id AS url
+      FROM documents WHERE doc_id // 8 % 5 <> 0
+      UNION ALL
+      SELECT 'https://c' || site_no || '.example.com',
+             'https://cdn' || (site_no % 7) || '.example.net/shared.xml',
+             'https://s' || s_suppkey || '.example.org/'
+      FROM sites JOIN supplier ON s_suppkey % 7 = site_no % 7 WHERE site_no % 5 <> 0
+      UNION ALL
+      SELECT 'https://c' || site_no || '.example.com', 'https://c' || site_no || '.example.com/extra.xml',
+             'https://c' || site_no || '.example.com/extra'
+      FROM sites)"""
+
+
+@query(f"WITH {CDN_PAGES} SELECT * FROM root_pages")
+def sitemap_pages_per_root(spark, sf_dir):
+    pages = ops.pages_per_root(tb.cdn_sitemaps(spark, sf_dir), tb.known_sitemaps(spark, sf_dir))
+    return pages.select("root", "sitemap_url", "url")
+
+
+@query(
+    f"""WITH {CDN_PAGES}
+    SELECT root, count(DISTINCT sitemap_url) AS n_sitemaps, count(*) AS n_entries,
+           count(DISTINCT url) AS n_pages
+    FROM root_pages GROUP BY root"""
+)
+def sitemap_root_counts(spark, sf_dir):
+    pages = ops.pages_per_root(tb.cdn_sitemaps(spark, sf_dir), tb.known_sitemaps(spark, sf_dir))
+    return ops.root_counts(pages)
+
+
+@query(
+    """SELECT 'whole' AS list, 'https://docs.example.org/' || doc_id AS url, 'deleted' AS status,
+           CAST(0 AS BIGINT) AS n_problems
+    FROM documents WHERE source = 'src1'
+    UNION ALL SELECT 'damaged', NULL, NULL, 1"""
+)
+def deleted_urls_damaged_list(spark, sf_dir):
+    """Deletions by a packed previous list, and by one of whose files the end is lost: none."""
+    lines = tb.document_urls(spark, sf_dir)
+    current = lines.where("source <> 'src1'").select(strip("value").alias("url"))
+    found = []
+    for name in ("whole", "damaged"):
+        path = tb.packed_list(lines, f"previous-{name}", damaged=name == "damaged")
+        gone = ops.deleted_urls(read_previous_url_list(spark, path), current)
+        label, no = F.lit(name).alias("list"), F.lit(None).cast("string")
+        found.append(gone.select(label, "url", "status", F.lit(0).cast("bigint").alias("n_problems")))
+        problems = url_list_problems(spark, path).agg(F.count("*").alias("n_problems"))
+        problems = problems.where("n_problems > 0")
+        found.append(problems.select(label, no.alias("url"), no.alias("status"), "n_problems"))
+    return reduce(DataFrame.unionByName, found)

@@ -8,10 +8,15 @@ crawl logs.
 
 from __future__ import annotations
 
+import gzip
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivetables.session import partitions_for, scratch_dir
+from archivetables.sources.storage import locate
 from archivetables.testing import pack_archives
 
 SHOP = "https://shop.example.com"
@@ -373,14 +378,116 @@ def archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_rows.unionByName(doc_rows)
 
 
-_packed: dict[tuple[str, str], str] = {}
+_packed: dict[tuple[str, str, bool], str] = {}
 
 
-def archives(spark: SparkSession, sf_dir: str) -> str:
-    """Glob of the packed archives; packed once per application and input folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def archives(spark: SparkSession, sf_dir: str, plain: bool = True) -> str:
+    """Glob of the packed archives; packed once per application and input folder. Those that are not
+    ``plain`` hold packed WARC files, and indexes without a list of their blocks."""
+    key = (spark.sparkContext.applicationId, sf_dir, plain)
     if key not in _packed:
         folder = scratch_dir(spark, "archives")
-        pack_archives(archive_rows(spark, sf_dir), folder, partitions_for(spark))
+        rows, tasks = archive_rows(spark, sf_dir), partitions_for(spark)
+        pack_archives(rows, folder, tasks, deflate_warcs=not plain, list_blocks=plain)
         _packed[key] = f"{folder}/*.wacz"
     return _packed[key]
+
+
+# sites whose sitemaps lie on other hosts, some of them in several sites' trees
+
+CDNS = 7
+
+
+def cdn_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched documents. A site holds eight documents. Four of five sites have a robots file that names an
+    index and a shared sitemap on another host; the index names the sitemap of the site, and itself."""
+    site_no, doc = F.expr("doc_id div 8"), F.col("doc_id")
+    site, cdn = text("https://c", site_no, ".example.com"), text("https://cdn", site_no % CDNS, ".example.net")
+    page = text("<url><loc>", site, "/o/", doc, "</loc></url>")
+    per = table(spark, sf_dir, "documents").groupBy(
+        site_no.alias("site_no"),
+        site.alias("site"),
+        text(cdn, "/index-", site_no, ".xml").alias("index"),
+        text(cdn, "/pages-", site_no, ".xml").alias("own"),
+        text(cdn, "/shared.xml").alias("shared"),
+    ).agg(F.concat_ws("", F.collect_list(page)).alias("pages"))
+    named = [text("<sitemap><loc>", F.col(c), "</loc></sitemap>") for c in ("own", "index")]
+    robots = per.where("site_no % 5 <> 0").select(
+        text(F.col("site"), "/robots.txt"),
+        text("User-agent: *\nSitemap: ", F.col("index"), "\nsitemap:", F.col("shared"), "\n"),
+    )
+    index = per.select("index", text("<sitemapindex>", *named, "</sitemapindex>"))
+    extra = per.select(
+        text(F.col("site"), "/extra.xml"),
+        text("<urlset><url><loc>", F.col("site"), "/extra</loc></url></urlset>"),
+    )
+    supplier = F.col("s_suppkey")
+    shop = text("<url><loc>https://s", supplier, ".example.org/</loc></url>")
+    shared = table(spark, sf_dir, "supplier").groupBy((supplier % CDNS).alias("cdn")).agg(
+        F.concat_ws("", F.collect_list(shop)).alias("pages")
+    )
+    shared = shared.select(
+        text("https://cdn", F.col("cdn"), ".example.net/shared.xml"),
+        text("<urlset>", F.col("pages"), "</urlset>"),
+    )
+    own = per.select("own", text("<urlset>", F.col("pages"), "</urlset>"))
+    docs = robots.unionAll(index).unionAll(own).unionAll(extra).unionAll(shared)
+    return docs.toDF("sitemap_url", "body")
+
+
+def known_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sitemaps that are known beforehand: one per site, which no other document names."""
+    sites = table(spark, sf_dir, "documents").select(F.expr("doc_id div 8").alias("site_no")).distinct()
+    return sites.select(text("https://c", F.col("site_no"), ".example.com/extra.xml").alias("sitemap_url"))
+
+
+# index lines whose objects have keys of their own
+
+
+def rich_index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index lines with keys that vary by row: a number, a text, an array, and a key of odd characters."""
+    doc, size = F.col("doc_id"), F.col("n_chars")
+    keys = [
+        text('"url": "https://docs.example.org/', doc, '"'),
+        F.when(doc % 2 == 0, text('"recordDigest": "sha256:', size, '"')),
+        F.when(doc % 3 == 0, text('"tries": ', size)),
+        F.when(doc % 3 == 1, text('"tries": "', F.col("lang"), '"')),
+        F.when(F.col("lang") == "en", text('"odd key.x": ["en", ', size, "]")),
+    ]
+    json = F.concat(F.lit("{"), F.concat_ws(", ", *keys), F.lit("}"))
+    return table(spark, sf_dir, "documents").select(
+        F.lit("docs").alias("wacz_path"),
+        F.lit("indexes/index.cdxj").alias("member"),
+        F.lit(0).cast("bigint").alias("split_start"),
+        F.lit(0).cast("bigint").alias("line_pos"),
+        text("key 20250101000000 ", json).cast("binary").alias("line"),
+    )
+
+
+# URL lists in packed files
+
+
+def document_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line per document, with blanks around its URL, and the source."""
+    line = text(" https://docs.example.org/", F.col("doc_id"), "\t")
+    return table(spark, sf_dir, "documents").select(line.alias("value"), "source")
+
+
+def packed_list(lines: DataFrame, label: str, damaged: bool) -> str:
+    """The folder of a list written as packed files; of a damaged list the first file breaks off."""
+    folder = scratch_dir(lines.sparkSession, label)
+
+    def write(batches):
+        number = TaskContext.get().partitionId()
+        texts = [line for batch in batches for line in batch.column(0).to_pylist()]
+        data = gzip.compress("".join(f"{line}\n" for line in texts).encode(), mtime=0)
+        fs, inner = locate(folder)
+        fs.create_dir(inner, recursive=True)
+        with fs.open_output_stream(f"{inner}/list-{number}.gz", compression=None) as sink:
+            sink.write(data[:-9] if damaged and not number else data)
+        yield pa.RecordBatch.from_pydict({"n": [len(texts)]})
+
+    tasks = partitions_for(lines.sparkSession)
+    spread = lines.select("value").repartition(tasks, F.xxhash64("value"))
+    spread.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
+    return folder
