@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from archivetables.session import scratch_dir
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+MAX_BUCKETS = 100_000  # Spark's own limit; beyond it a bucket holds several tasks' files
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -27,6 +30,39 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     return written(df.withColumn("_row", F.monotonically_increasing_id()), label)
 
 
+ROW_BITS = 33  # of a row number that count within its task
+
+
+def parted(df: DataFrame, label: str) -> DataFrame:
+    """``numbered``, in a table bucketed by the task ``_part`` that wrote a row, so that ``answered`` joins
+    without moving the rows. Each task writes one file."""
+    spark, name = df.sparkSession, f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.withColumn("_part", F.shiftright("_row", ROW_BITS).cast("int"))
+    # with fewer buckets than it has shuffle partitions, Spark would rather move the rows
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(max(least, 2 * df.rdd.getNumPartitions()), MAX_BUCKETS)
+    writer = rows.write.option("compression", "zstd").bucketBy(buckets, "_part")
+    writer.option("path", scratch_dir(spark, label)).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files lie in the scratch folder
+    return table
+
+
+def answered(rows: DataFrame, answers: DataFrame, name: str) -> DataFrame:
+    """``parted`` rows with the column ``name`` of ``answers`` (``_row`` and it), which has one for each row.
+
+    The answers of a task's rows are listed in order and meet them by ``_part``: one narrow row per task
+    moves, and no text does.
+    """
+    part = F.shiftright("_row", ROW_BITS).cast("int").alias("_part")
+    listed = F.array_sort(F.collect_list(F.struct("_row", name)))
+    listed = answers.groupBy(part).agg(F.transform(listed, lambda a: a[name]).alias("_all"))
+    place = F.col("_row").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).cast("int")
+    joined = rows.join(listed.hint("shuffle_hash"), "_part")
+    return joined.withColumn(name, F.get("_all", place)).drop("_all", "_part")
+
+
 def exact(docs: DataFrame, *names: str) -> DataFrame:
     """Just these columns of ``docs``, whatever else it has, names that differ by case included."""
     at = {name: f"_c{docs.columns.index(name)}" for name in names}

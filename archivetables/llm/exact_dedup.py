@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import SPACE, exact, hidden, numbered, text_of, written
+from archivetables.llm.common import SPACE, answered, exact, hidden, numbered, parted, text_of, written
 
 FIRST_BLOCK, GROWTH, LARGEST_BLOCK = 32, 8, 1 << 20  # bytes; only the number of splits depends on them
 
@@ -84,10 +84,10 @@ def _groups(rows: DataFrame) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` less the rows that ``exact_groups`` does not keep; columns as before."""
-    rows = numbered(hidden(docs, "doc_id", "text"), "radix-documents")
+    rows = parted(hidden(docs, "doc_id", "text"), "radix-documents")
     groups = _groups(rows.select("_row", "doc_id", _bytes(rows)))
-    kept = groups.filter("kept").select("_row")
-    return rows.join(kept, "_row", "left_semi").drop("_row").toDF(*docs.columns)
+    judged = answered(rows, groups.select("_row", "kept"), "kept")
+    return judged.filter("kept").drop("_row", "kept").toDF(*docs.columns)
 
 
 GROUPS_SQL = r"""WITH d AS (SELECT doc_id,

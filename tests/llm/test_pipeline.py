@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from archivetables.llm import fertility, mixing
-from archivetables.llm.common import documents, written
+from archivetables.llm.common import answered, documents, hidden, parted, written
 from archivetables.llm.queries import vocabularies
 from tests.llm.conftest import SF
 from tests.llm.test_corpus import plain_components
@@ -88,3 +88,16 @@ def test_all_are_registered():
     names = found.stdout.split()
     assert "pipeline" in names
     assert sorted(n.split("_")[0] for n in names if re.match(r"op\d+_", n)) == sorted(f"op{i}" for i in range(1, 14))
+
+
+def test_answers_move_no_texts(spark, make):
+    rows = parted(hidden(make([(i, f"text {i}") for i in range(50)]), "doc_id", "text"), "test-parted")
+    answers = rows.select("_row", (rows["doc_id"] * 2).alias("twice"))
+    got = answered(rows, answers, "twice")
+    assert {(r.doc_id, r.twice) for r in got.collect()} == {(i, 2 * i) for i in range(50)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = got.filter("twice > 4")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan
