@@ -329,19 +329,20 @@ def _shortened(edges: DataFrame, heads: DataFrame) -> DataFrame:
         named = edges.groupBy("b").agg(F.min("a").alias("a"), F.count("*").alias("n"))
         named = stored(named.join(heads, "b", "left_anti"), "named")
         once, chain = named.isEmpty() or named.where("n > 1").isEmpty(), named.where("n = 1").drop("n")
-        most, reach = chain.count(), 1
+        most, reach, going = chain.count(), 1, False
         while reach <= 2 * most:
             chain = stored(_doubled(_doubled(chain.withColumn("on", F.lit(False)))), "chain")
             reach, going, chain = 4 * reach, not chain.where("on").isEmpty(), chain.drop("on")
             if not going:
                 break
-        # what still hangs on a link of the chain by now hangs on a ring that nothing leads into
-        lost = chain.join(chain.select(F.col("b").alias("a")), "a", "left_semi").select("b")
         up = chain.select(F.col("b").alias("a"), F.col("a").alias("far"))
         edges = edges.join(up, "a", "left").select(
             F.coalesce("far", "a").alias("a"), "b", F.col("far").isNotNull().alias("moved")
         )
-        edges = edges.where("a <> b").join(lost, "b", "left_anti")
+        edges = edges.where("a <> b")
+        if going:  # what still hangs on a link of the chain hangs on a ring that nothing leads into
+            lost = chain.join(chain.select(F.col("b").alias("a")), "a", "left_semi").select("b")
+            edges = edges.join(lost, "b", "left_anti")
         edges = stored(edges.groupBy("a", "b").agg(F.max("moved").alias("moved")), "links")
         moved, edges = not edges.where("moved").isEmpty(), edges.drop("moved")
         # where no two links lead to one sitemap, none can fall together
