@@ -5,7 +5,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +29,7 @@ def build_session(app_name: str = "archivetables", **settings: str) -> SparkSess
 
 
 _shipped: set[str] = set()
+_noted = threading.local()  # lists of scratch folders, of the open blocks of each thread
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -58,7 +62,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared root."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for made in getattr(_noted, "lists", ()):
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_folders() -> Iterator[list[str]]:
+    """The list of the scratch folders that this thread names within the block."""
+    lists = _noted.__dict__.setdefault("lists", [])
+    made: list[str] = []
+    lists.append(made)
+    try:
+        yield made
+    finally:
+        lists[:] = [other for other in lists if other is not made]
+
+
+def delete_scratch(spark: SparkSession, folders: list[str]) -> None:
+    """Delete these scratch folders, of which nothing is read any more; missing ones don't matter."""
+    conf = spark._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
