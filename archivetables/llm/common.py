@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from archivetables.session import scratch_dir
+from archivetables.session import delete_scratch, scratch_dir, scratch_folders
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +23,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, written; the tables that ``build`` wrote on the way are deleted."""
+    with scratch_folders() as made:
+        answer = build()
+    answer = written(answer, label)
+    delete_scratch(spark, made)
+    return answer
+
+
 def numbered(df: DataFrame, label: str) -> DataFrame:
     """``df`` with a row number ``_row`` that no other row has, written so that it never changes.
 

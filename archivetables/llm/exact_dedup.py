@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import SPACE, answered, exact, hidden, numbered, parted, text_of, written
+from archivetables.llm.common import SPACE, answered, exact, hidden, numbered, parted, settled, text_of, written
 
 FIRST_BLOCK, GROWTH, LARGEST_BLOCK = 32, 8, 1 << 20  # bytes; only the number of splits depends on them
 
@@ -85,8 +85,11 @@ def _groups(rows: DataFrame) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` less the rows that ``exact_groups`` does not keep; columns as before."""
     rows = parted(hidden(docs, "doc_id", "text"), "radix-documents")
-    groups = _groups(rows.select("_row", "doc_id", _bytes(rows)))
-    judged = answered(rows, groups.select("_row", "kept"), "kept")
+
+    def groups() -> DataFrame:
+        return _groups(rows.select("_row", "doc_id", _bytes(rows))).select("_row", "kept")
+
+    judged = answered(rows, settled(docs.sparkSession, "radix-kept", groups), "kept")
     return judged.filter("kept").drop("_row", "kept").toDF(*docs.columns)
 
 

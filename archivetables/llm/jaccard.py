@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from archivetables.llm.chunks import CHUNK_ROWS, Measure, pack, with_answers
-from archivetables.llm.common import answered, hidden, parted, written
+from archivetables.llm.common import answered, hidden, parted, settled, written
 from archivetables.llm.components import components
 
 # Sizes up to twice the smallest of a class; a set may link with one of the next class, not beyond.
@@ -455,10 +455,14 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
 def without_similar(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest ``doc_id``; columns as before."""
     rows = parted(hidden(docs, "doc_id", "text"), "jaccard-documents")
-    groups = similar_groups(rows.select("text", F.col("_row").alias("doc_id")), words, percent)
-    groups = groups.select(F.col("doc_id").alias("_row"), "component_id")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    members = written(groups.join(rows.select("_row", "doc_id"), "_row"), "jaccard-groups")
+
+    def groups() -> DataFrame:
+        found = similar_groups(rows.select("text", F.col("_row").alias("doc_id")), words, percent)
+        found = found.select(F.col("doc_id").alias("_row"), "component_id")
+        return found.join(rows.select("_row", "doc_id"), "_row")
+
+    members = settled(docs.sparkSession, "jaccard-groups", groups)
     kept = members.groupBy("component_id").agg(F.min(order)["_row"].alias("_row"))
     kept = members.select("_row").join(kept.select("_row", F.lit(True).alias("_first")), "_row", "left")
     judged = answered(rows, kept, "_first")

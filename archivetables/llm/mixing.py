@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from archivetables.llm.common import WORD, answered, exact, hidden, parted, text_of, written
+from archivetables.llm.common import WORD, answered, exact, hidden, parted, settled, text_of, written
 
 WEIGHTS = (5, 2, 1)
 UNIT = 1_000_000  # rates are rounded to millionths before they are added up
@@ -195,8 +195,12 @@ def mix_rates(
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; columns as before."""
     rows = parted(hidden(docs, "doc_id", "source", "text"), "mix-documents")
-    counts = mix_rates(rows, carry=("_row",), **parameters)
-    taken = answered(rows, counts.select("_row", F.col("copies").alias("_copies")), "_copies")
+
+    def counts() -> DataFrame:
+        mix = mix_rates(rows, carry=("_row",), **parameters)
+        return mix.select("_row", F.col("copies").alias("_copies"))
+
+    taken = answered(rows, settled(docs.sparkSession, "mix-copies", counts), "_copies")
     # repeated by a generator, whose rows carry references to the text and not copies of it
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
     repeated = taken.filter("_copies > 0").withColumn("_copy", copies)

@@ -8,12 +8,14 @@ from collections import Counter
 from pathlib import Path
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from archivetables.llm import fertility, mixing
 from archivetables.llm.common import answered, documents, hidden, parted, written
 from archivetables.llm.queries import vocabularies
+from archivetables.session import checkpoint_root
 from tests.llm.conftest import SF
 from tests.llm.test_corpus import plain_components
 
@@ -58,6 +60,23 @@ def test_stages(spark):
     assert all(r.n_tokens == len(r.ids) for r in tokens.collect())
 
 
+def test_stages_leave_no_tables_behind(spark, make):
+    shared = Path(checkpoint_root(spark).removeprefix("file://"))
+    text = "She said that the committee would meet again in spring, after the river had gone down. "
+    given = make([(i, None) for i in range(40)]).select("doc_id", "source", "size")
+    given = given.withColumn("text", F.concat(F.lit(text), F.sha2(F.col("doc_id").cast("string"), 256)))
+    before = set(shared.iterdir())
+    for _, stage in corpus_pipeline.STAGES:
+        unwritten = stage(spark, given, SF)
+        # what this stage reads is there still, and nothing of the stages before it
+        left = {path.name.rsplit("-", 1)[0] for path in set(shared.iterdir()) - before}
+        assert len({name.split("-")[0] for name in left} - {"test"}) <= 1, left
+        given = written(unwritten, "test-left")
+    lazily = corpus_pipeline.mixture(spark, make([(1, "a b c d e f")]), SF)
+    assert corpus_pipeline.exact_duplicates(spark, lazily, SF).count() == 1
+    assert lazily.count() >= 1  # it was not written, so its tables stayed
+
+
 def test_run_is_the_stages_in_a_row(spark):
     once = corpus_pipeline.run(spark, SF).select("doc_id", "ids_sha256").collect()
     again = corpus_pipeline.run(spark, SF).select("doc_id", "ids_sha256").collect()
