@@ -6,16 +6,18 @@ fixed rules, and a check (range, digit count, Luhn, mod 97) accepts or drops the
 looks further than its own match, so the work is linear in the text.
 
 Kinds ``email``, ``ip``, ``card`` and ``phone`` are what the usual patterns match, leftmost and without
-overlap within a kind. Kinds ``login`` (credentials in a URL), ``iban`` and ``account`` need an
-announcing anchor; where an ``iban`` or ``account`` overlaps one of the first four, that one stays alone,
-and so it does where it holds the whole password of a ``login``.
+overlap within a kind. Kinds ``login`` (credentials in a URL), ``iban``, ``account``, ``ssn`` and ``secret``
+(the value given to a password, token or key) need an announcing anchor; where one of these but a
+``login`` overlaps one of the first four, that one stays alone.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from archivetables.llm.common import exact, output, text_of
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "login", "iban", "account")
+KINDS = (*BASE, "login", "iban", "account", "ssn", "secret")
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -33,14 +35,19 @@ IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
-LOGIN = re.compile(r"://[^\s/@:]++:([^\s/@]++)@[A-Za-z0-9.-]+")
+LOGIN = re.compile(r"://[^\s/@:]++:[^\s/@]++@[A-Za-z0-9.-]+")
 LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 SCHEME = LETTERS | frozenset("0123456789+.-")
 IBAN = re.compile(r"[\s:.#]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
 ACCOUNT = re.compile(r"(?:[\s.]{0,2}(?i:number|no|nr))?[\s.:#]{0,3}([0-9](?:[ -]?[0-9]){5,16})(?![0-9])")
+SSN = re.compile(r"(?i:[\s.]{0,2}(?:number|no|nr))?[\s.:#]{0,3}([0-9]{3})([ -])([0-9]{2})\2([0-9]{4})(?![0-9])")
+VALUE = re.compile(r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+LEAST_VALUE = 12  # characters of a secret, letters and digits among them
 # Words that announce an identifier.
 ACCOUNT_CUES = ("account", "acct", "konto", "compte", "cuenta")
 IBAN_CUES = ("iban",)
+SSN_CUES = ("ssn", "social security")
+SECRET_CUES = ("password", "passwd", "secret", "token", "apikey", "apiKey", "api_key", "api-key", "access_key")
 
 
 @lru_cache(1)
@@ -49,9 +56,10 @@ def automaton() -> ahocorasick.Automaton:
     for anchor in "@+0123456789":
         found.add_word(anchor, "0" if anchor.isdigit() else anchor)
     found.add_word("://", "://")
-    for kind, cues in (("account", ACCOUNT_CUES), ("iban", IBAN_CUES)):
+    cued = {"account": ACCOUNT_CUES, "iban": IBAN_CUES, "ssn": SSN_CUES, "secret": SECRET_CUES}
+    for kind, cues in cued.items():
         for cue in cues:
-            for form in {cue, cue.capitalize(), cue.upper()}:
+            for form in {cue, cue.capitalize(), cue.title(), cue.upper()}:
                 found.add_word(form, kind)
     found.make_automaton()
     return found
@@ -104,16 +112,17 @@ def spans(text: str) -> list[tuple[str, int, int]]:
             if 8 <= sum(map(str.isdigit, m.group())) <= 15:
                 found.append(("phone", at, done))
     taken = sorted((start, end) for _, start, end in found)
-    for login, begin, end in _logins(text, anchors):
-        if not any(s <= begin and end <= e for s, e in taken):
-            found.append(login)
-    added = [*_ibans(text, anchors), *_accounts(text, anchors)]
-    found += [x for x in added if not any(s < x[2] and x[1] < e for s, e in taken)]
+    starts = [start for start, _ in taken]
+    ends = [0, *accumulate((end for _, end in taken), max)]  # the last end of the first so many spans
+    found += _logins(text, anchors)
+    for parser in (_ibans, _accounts, _ssns, _secrets):
+        for kind, begin, end in parser(text, anchors):
+            if ends[bisect_left(starts, end)] <= begin:
+                found.append((kind, begin, end))
     return found
 
 
-def _logins(text: str, anchors: dict) -> Iterator[tuple[tuple[str, int, int], int, int]]:
-    """Each login, and where its password begins and ends."""
+def _logins(text: str, anchors: dict) -> Iterator[tuple[str, int, int]]:
     done = 0
     for last in anchors.get("://", ()):
         colon = last - 2
@@ -124,7 +133,7 @@ def _logins(text: str, anchors: dict) -> Iterator[tuple[tuple[str, int, int], in
             while begin < colon and text[begin] not in LETTERS:
                 begin += 1
             done = m.end()
-            yield ("login", begin, done), *m.span(1)
+            yield "login", begin, done
 
 
 def _ibans(text: str, anchors: dict) -> Iterator[tuple[str, int, int]]:
@@ -150,12 +159,36 @@ def _accounts(text: str, anchors: dict) -> Iterator[tuple[str, int, int]]:
             yield "account", m.start(1), done
 
 
+def _ssns(text: str, anchors: dict) -> Iterator[tuple[str, int, int]]:
+    """Numbers of the form that is given out: no part is all zeros, the first neither 666 nor 9xx."""
+    done = 0
+    for last in anchors.get("ssn", ()):
+        if last >= done and (m := SSN.match(text, last + 1)):
+            area, group, serial = m.group(1, 3, 4)
+            if area not in ("000", "666") and area[0] != "9" and group != "00" and serial != "0000":
+                done = m.end()
+                yield "ssn", m.start(1), done
+
+
+def _secrets(text: str, anchors: dict) -> Iterator[tuple[str, int, int]]:
+    done = 0
+    for last in anchors.get("secret", ()):
+        if last >= done and (m := VALUE.match(text, last + 1)):
+            done = m.end()
+            value = m.group(1).rstrip(".")
+            mixed = any(map(str.isdigit, value)) and any(map(str.isalpha, value))
+            if mixed and len(value) >= LEAST_VALUE:
+                yield "secret", m.start(1), m.start(1) + len(value)
+
+
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """``doc_id, found`` of every row of ``docs``: the array of ``(kind, start, end)`` in its text, in code
-    points, end exclusive, by kind and start. Null and empty texts have none; repeated rows stay.
+    points, end exclusive, by kind and start. Null and empty texts have none; repeated rows and ids stay. A
+    table without rows gives none; columns beside ``doc_id`` and ``text`` are not read, whatever their names.
+    A text of any length is searched whole, in time that grows with it, by one task.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
