@@ -71,6 +71,7 @@ class Transducer:
             self.ranks.setdefault(ids[u] << 20 | ids[v], rank)
         self.lookahead = lookahead(pairs)
         self.byte_of = {c: b for b, c in enumerate(alphabet)}
+        self.whole = [self.whole_text(token) for token in self.tokens]
         self.words = regex.compile(WORDS)
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.cache: dict[str, bytes] = {}
@@ -149,14 +150,28 @@ class Transducer:
         """As the library does for a file without a decoder: the tokens' own strings, parted by spaces."""
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
-    def text(self, ids: Iterable[int]) -> str:
-        """The words themselves, each followed by a space, from bytes to text one byte at a time."""
+    def whole_text(self, token: str) -> str | None:
+        """What the state machine gives for a token that begins and ends with whole characters."""
+        if token in self.special:
+            return token
+        raw = bytes(self.byte_of.get(c, 0xFF) for c in token.removesuffix(SUFFIX))
+        try:
+            return raw.decode() + " " * token.endswith(SUFFIX)
+        except UnicodeDecodeError:
+            return None
+
+    def text(self, ids: list[int]) -> str:
+        """The words themselves, each followed by a space, from bytes to text token by token. Between
+        tokens the state is that of ``Utf8``; tokens of whole characters leave it at rest."""
+        pieces = list(map(self.whole.__getitem__, ids))
+        if None not in pieces:
+            return "".join(pieces)
         machine, out = Utf8(), []
-        for number in ids:
-            token = self.tokens[number]
-            if token in self.special:
-                out.append(machine.end() + token)
+        for number, piece in zip(ids, pieces, strict=True):
+            if piece is not None:
+                out.append(machine.end() + piece)
                 continue
+            token = self.tokens[number]
             for c in token.removesuffix(SUFFIX):
                 out.append(machine.feed(self.byte_of[c]))
             if token.endswith(SUFFIX):
@@ -220,10 +235,12 @@ _loaded: dict[str, Transducer] = {}  # by the file's digest, in a worker
 
 
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """``doc_id, ids, decoded`` of every row of ``docs``, with no special tokens added.
+    """``doc_id, ids, decoded, text`` of every row of ``docs``, with no special tokens added: ``decoded`` as
+    the library gives it, ``text`` the words that the state machine reads from the ids.
 
     A special token's own string in a text becomes that token. Null and empty texts, and such
-    of white space alone, have no ids and decode to the empty string. Repeated rows stay.
+    of white space alone, have no ids and decode to the empty string. Repeated rows stay. A table
+    without rows gives none; columns beside ``doc_id`` and ``text`` are not read, whatever their names.
     Memory holds a batch of rows; a long text adds its ids, its words are read in blocks.
     """
     with open(vocabulary, "rb") as file:
@@ -237,11 +254,12 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
         transducer = _loaded[digest]
         for batch in batches:
             keys, texts = batch.column("doc_id"), batch.column("text")
-            begin, held, ids, decoded = 0, 0, [], []
+            begin, held, ids, decoded, words = 0, 0, [], [], []
             for row, text in enumerate(texts):
                 text = text.as_py()
                 ids.append(transducer.encode(text))
                 decoded.append(transducer.decode(ids[-1]))
+                words.append(transducer.text(ids[-1].tolist()))
                 held += len(text)
                 if held >= OUT_BYTES or row == len(texts) - 1:
                     offsets = np.cumsum([0, *map(len, ids)], dtype="int32")
@@ -251,25 +269,27 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
                             keys[begin : row + 1],
                             pa.ListArray.from_arrays(pa.array(offsets), values),
                             pa.array(decoded, pa.string()),
+                            pa.array(words, pa.string()),
                         ],
-                        ["doc_id", "ids", "decoded"],
+                        ["doc_id", "ids", "decoded", "text"],
                     )
-                    begin, held, ids, decoded = row + 1, 0, [], []
+                    begin, held, ids, decoded, words = row + 1, 0, [], [], []
 
     docs = exact(docs, "doc_id", "text")
     return docs.select("doc_id", text_of(docs).alias("text")).mapInArrow(
-        encode, output(docs, "ids array<int>, decoded string")
+        encode, output(docs, "ids array<int>, decoded string, text string")
     )
 
 
 def digests(encoded: DataFrame, *more: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of what ``encode_documents`` gives, and ``more`` of
-    its columns."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256, text_sha256`` of what ``encode_documents`` gives, and
+    ``more`` of its columns."""
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         hex_sha256(ids).alias("ids_sha256"),
         hex_sha256(F.col("decoded")).alias("decoded_sha256"),
+        hex_sha256(F.col("text")).alias("text_sha256"),
         *more,
     )

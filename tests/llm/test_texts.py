@@ -5,6 +5,8 @@ import json
 import random
 import re
 import textwrap
+import time
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -41,7 +43,7 @@ def documents():
 
 def test_encoding_is_the_librarys(spark, make, library):
     rows = [*ODD, (20, "it's <|endoftext|> ΣΑΣ ＡＢＣ"), (21, "<|startoftext|>"), (22, "😀👩‍👩‍👧")]
-    got = bpe.encode_documents(make(rows), WORDS).collect()
+    got = bpe.encode_documents(make(rows), WORDS).select("doc_id", "ids", "decoded").collect()
     assert len(got) == len(rows)
     want = []
     for key, text in rows:
@@ -116,6 +118,34 @@ def test_words_come_back_from_ids(transducer):
     assert transducer.text(transducer.encode(text)) == " ".join(parts) + " "
 
 
+def test_any_ids_become_text_as_their_bytes_do(transducer):
+    """Each stretch up to a word's end or a special token is decoded by itself."""
+    dice = random.Random(10)
+    partial = [i for i, piece in enumerate(transducer.whole) if piece is None]
+    for _ in range(2000):
+        ids = dice.choices(partial, k=4) + dice.choices(range(len(transducer.tokens)), k=3)
+        dice.shuffle(ids)
+        want, held = "", b""
+        for token in map(transducer.tokens.__getitem__, ids):
+            special = token in transducer.special
+            if not special:
+                held += bytes(transducer.byte_of[c] for c in token.removesuffix(bpe.SUFFIX))
+            if special or token.endswith(bpe.SUFFIX):
+                want += held.decode(errors="replace") + (token if special else " ")
+                held = b""
+        assert transducer.text(ids) == want + held.decode(errors="replace"), ids
+
+
+def test_documents_are_decoded_by_the_state_machine(spark, make, transducer):
+    texts = ["naïve words, 中文 and 😀 emoji", "  ", None, "a <|endoftext|> b", "ﬁ \u0001 \ufffd"]
+    got = bpe.encode_documents(make(list(enumerate(texts))), WORDS)
+    digest = {r.doc_id: r.text_sha256 for r in bpe.digests(got).collect()}
+    for row in got.collect():
+        ids = transducer.encode(texts[row.doc_id] or "").tolist()
+        assert row.ids == ids and row.text == transducer.text(ids)
+        assert digest[row.doc_id] == hashlib.sha256(row.text.encode()).hexdigest()
+
+
 def test_bytes_to_text_as_python_does():
     dice = random.Random(8)
     for _ in range(3000):
@@ -184,10 +214,34 @@ def test_added_kinds_need_a_cue_and_a_valid_number():
     assert kinds("IBAN: DE88 3704 0044 0532 0130 00 today") == []
     assert kinds("DE89 3704 0044 0532 0130 00") == []
     assert kinds("account no. 12345678.") == [("account", "12345678")]
-    assert kinds("get ftp://bob:pw@host.com/x") == []  # its e-mail address stays alone
+    assert kinds("get ftp://bob:pw@host.com/x") == [("login", "ftp://bob:pw@host.com")]
     assert kinds("get ftp://bob:pw@localhost/x") == [("login", "ftp://bob:pw@localhost")]
 
 
+def test_cued_secrets_and_numbers():
+    def kinds(text):
+        return [(k, text[s:e]) for k, s, e in pii.spans(text) if k not in pii.BASE]
+
+    for text in ('token = "a1b2c3d4e5f6"', "API_KEY: a1b2c3d4e5f6.", "'Password' : 'a1b2c3d4e5f6'"):
+        assert kinds(f"see {text} here") == [("secret", "a1b2c3d4e5f6")]
+    for text in ("token = a1b2c3d4e5f", "token a1b2c3d4e5f6", "secret: understanding", "token: 123456789012"):
+        assert kinds(f"see {text} here") == []
+    assert kinds("SSN: 123-45-6789") == kinds("social security number 123-45-6789") == [("ssn", "123-45-6789")]
+    for text in ("123-45-6789", "SSN 000-45-6789", "SSN 123-45 6789", "SSN 123-45-67891", "SSN 912-45-6789"):
+        assert kinds(text) == []
+    # an e-mail address that overlaps a value stays alone
+    assert kinds("token=a1b2c3d4e5f6@host.com") == []
+
+
+def test_many_spans_take_linear_time():
+    pair = "bob@host.com account no. 12345678 token=a1b2c3d4e5f6 ftp://a:b@c.de "
+    begin = time.perf_counter()
+    found = Counter(kind for kind, _, _ in pii.spans(pair * 20_000))
+    assert found["account"] == found["secret"] == found["login"] == 20_000
+    pii.spans("token=" * 100_000), pii.spans("account no. " * 100_000), pii.spans("ssn:" * 100_000)
+    assert time.perf_counter() - begin < 20
+
+
 def test_logins_are_whole():
     def logins(text):
         return [text[s:e] for k, s, e in pii.spans(text) if k == "login"]
