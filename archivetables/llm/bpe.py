@@ -163,12 +163,12 @@ class Transducer:
     def text(self, ids: list[int]) -> str:
         """The words themselves, each followed by a space, from bytes to text token by token. Between
         tokens the state is that of ``Utf8``; tokens of whole characters leave it at rest."""
-        pieces = list(map(self.whole.__getitem__, ids))
-        if None not in pieces:
-            return "".join(pieces)
-        machine, out = Utf8(), []
-        for number, piece in zip(ids, pieces, strict=True):
-            if piece is not None:
+        try:
+            return "".join(map(self.whole.__getitem__, ids))
+        except TypeError:  # a token that is cut within a character has no text by itself
+            machine, out = Utf8(), []
+        for number in ids:
+            if (piece := self.whole[number]) is not None:
                 out.append(machine.end() + piece)
                 continue
             token = self.tokens[number]
