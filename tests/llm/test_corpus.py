@@ -74,6 +74,24 @@ def test_a_hot_text_is_one_row_for_each_task(spark):
     assert {r.kept: r["count"] for r in got} == {True: 13_334, False: 6_666}
 
 
+def test_pieces_of_a_hot_group_go_to_tasks_of_their_own(spark):
+    block = "CAST(IF(id % 3 = 0, 'hot', 'b' || (id - id % 3)) AS BINARY) AS _block"
+    blocks = spark.range(30_000).selectExpr("id AS _row", "id AS doc_id", "8 AS _length", block)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        split = exact_dedup._split(blocks, ["_length"], "left")
+        tasks = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+        sizes = {r._size: r["count"] for r in split.groupBy("_size").count().collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(tasks) == 30_000 and max(tasks) < 3 * 30_000 / 40
+    assert sizes == {10_000: 10_000, 2: 20_000}
+
+
 # lines
 
 
