@@ -498,3 +498,24 @@ def _mixed_pairs(
     smallest = F.slice(F.sort_array(F.collect_list("key")), 1, SMALLEST).alias("smallest")
     smallest = members.groupBy("row").agg(smallest)  # of the groups that a row is filed under
     return _survivors(members, points.join(smallest, "row"), similarity).distinct()
+
+
+def groups_sql(words: int, percent: int) -> str:
+    """``similar_groups`` in SQL, by all pairs that share a shingle; for small tables of distinct ids."""
+    return rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - {words} + 1, 1) + 1),
+        lambda i: array_to_string(w[i:i + {words} - 1], ' '))) AS shingle
+    FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+    WHERE 100 * shared >= {percent} * (x.size + y.size - shared)),
+reach AS (SELECT doc_id, doc_id AS other FROM d
+    UNION SELECT r.doc_id, e.b FROM reach AS r
+    JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) AS e ON e.a = r.other)
+SELECT doc_id, coalesce(any_value(n.size), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""

@@ -122,5 +122,6 @@ ORACLES = {
     "op3_license_scan": licences.scan_sql(),
     "op4_exact_dedup": exact_dedup.GROUPS_SQL,
     "op6_line_dedup": line_dedup.LINES_SQL,
+    "op8_jaccard_join": jaccard.groups_sql(words=4, percent=85),
     "op11_conversation_repair": conversations.REPAIR_SQL,
 }

@@ -27,7 +27,7 @@ def words(text, n=300):
     return " ".join(random.Random(text).choices([f"w{i}" for i in range(2000)], k=n))
 
 
-@pytest.mark.parametrize("name", ["op4_exact_dedup", "op6_line_dedup"])
+@pytest.mark.parametrize("name", ["op4_exact_dedup", "op6_line_dedup", "op8_jaccard_join"])
 def test_sql_counterparts(spark, name):
     db = duckdb.connect()
     db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
