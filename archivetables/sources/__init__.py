@@ -9,6 +9,7 @@ from archivetables.sources.archives import (
 )
 from archivetables.sources.index_lookup import lookup_lines
 from archivetables.sources.staging import stage_packed
+from archivetables.sources.snapshots import read_snapshot, urls_gone, write_snapshot
 from archivetables.sources.url_lists import (
     read_previous_url_list,
     read_url_list,
@@ -27,12 +28,15 @@ __all__ = [
     "lookup_lines",
     "member_lines",
     "read_previous_url_list",
+    "read_snapshot",
     "read_url_list",
     "save_url_snapshot",
-    "stage_packed",
     "scan_url_list",
+    "stage_packed",
     "text_lines",
     "url_list_problems",
+    "urls_gone",
     "wacz_members",
+    "write_snapshot",
     "write_url_list",
 ]

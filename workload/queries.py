@@ -20,6 +20,8 @@ from archivetables.sources import (
     stage_packed,
     text_lines,
     url_list_problems,
+    urls_gone,
+    write_snapshot,
     write_url_list,
 )
 from workload import sql
@@ -260,6 +262,14 @@ def deleted_urls(spark, sf_dir):
     return ops.deleted_urls(read_url_list(spark, previous), read_url_list(spark, current))
 
 
+@query(f"WITH {sql.PREVIOUS_URLS}, {sql.CURRENT_URLS} {GONE_ORDERS}")
+def snapshot_deleted_urls(spark, sf_dir):
+    paths = [scratch_dir(spark, "snapshot") for _ in range(2)]
+    for path, lines in zip(paths, (tb.previous_lines(spark, sf_dir), tb.current_lines(spark, sf_dir))):
+        write_snapshot(lines.withColumnRenamed("value", "url"), path)
+    return urls_gone(spark, *paths)
+
+
 @query(
     """SELECT 'https://shop.example.com/part/' || l_partkey || '/' || l_quantity::BIGINT AS url,
               'deleted' AS status
