@@ -36,6 +36,7 @@ from archivetables.operators.records import (
     response_header_values,
 )
 from archivetables.operators.sitemaps import (
+    counts_per_root,
     date_bound,
     distinct_pages,
     filter_by_date,
@@ -61,6 +62,7 @@ __all__ = [
     "cdx_fields",
     "cdx_rejects",
     "cdx_schema",
+    "counts_per_root",
     "crawl_fatal",
     "crawl_log_lines",
     "crawl_status",

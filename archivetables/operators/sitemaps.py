@@ -19,6 +19,7 @@ from archivetables.functions import site_path, site_root, strip, w3c_timestamp
 from archivetables.session import partitions_for, stored
 
 LEVELS_TOGETHER = 8  # levels of a walk before what was reached is written as one
+PIECE_ROWS = 1 << 20  # rows that a piece of a sitemap gives, about, when it is joined to the sites that share it
 
 ROBOTS_FILE = "/robots.txt"
 WEB_ADDRESS = r"(?i)^\s*https?://[^/\s]"
@@ -364,9 +365,33 @@ def pages_per_root(docs: DataFrame, sitemaps: DataFrame) -> DataFrame:
     A sitemap counts for the site whose tree holds it, wherever it lies, and for each of them.
     """
     reached = reached_from(sitemap_links(docs), sitemap_starts(sitemaps))
-    return reached.join(sitemap_entries(docs), "sitemap_url").select(
-        "root", "sitemap_url", "url", "last_modified", "change_frequency", "priority"
-    )
+    entries = sitemap_entries(docs).withColumn("_at", F.monotonically_increasing_id())
+    pages = _spread_join(reached, stored(entries, "entries"))
+    return pages.select("root", "sitemap_url", "url", "last_modified", "change_frequency", "priority")
+
+
+def _spread_join(reached: DataFrame, entries: DataFrame) -> DataFrame:
+    """``reached`` joined to ``entries``, numbered in ``_at``, by ``sitemap_url``.
+
+    A sitemap of many pages that many sites share gives rows by the product of both, from little input. Its
+    entries are dealt into pieces, and its sites go to each, so that a piece gives about ``PIECE_ROWS`` rows.
+    """
+    spark = reached.sparkSession
+    sites = reached.groupBy("sitemap_url").agg(F.count("*").alias("_sites"))
+    counts = entries.groupBy("sitemap_url").agg(F.count("*").alias("_n")).join(sites, "sitemap_url")
+    rows = F.col("_n").cast("double") * F.col("_sites")
+    pieces = F.least(F.col("_n"), F.ceil(rows / PIECE_ROWS)).cast("int")
+    counts = stored(counts.select("sitemap_url", pieces.alias("_pieces"), rows.alias("_rows")), "pieces")
+    n = partitions_for(spark, int(counts.agg(F.sum("_rows")).first()[0] or 0), 2 * PIECE_ROWS)
+    large = counts.where("_pieces > 1").drop("_rows")
+
+    def dealt(df: DataFrame, piece: Column) -> DataFrame:
+        held = df.join(large, "sitemap_url", "left").withColumn("_piece", piece).drop("_pieces")
+        return held.repartition(n, "sitemap_url", "_piece")
+
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
+    piece = F.pmod("_at", F.coalesce("_pieces", F.lit(1))).cast("int")
+    return dealt(reached, copies).join(dealt(entries, piece).hint("merge"), ["sitemap_url", "_piece"]).drop("_piece")
 
 
 def root_counts(pages: DataFrame) -> DataFrame:
@@ -380,6 +405,49 @@ def root_counts(pages: DataFrame) -> DataFrame:
     return sitemaps.join(urls, "root").select("root", "n_sitemaps", "n_entries", "n_pages")
 
 
+def counts_per_root(docs: DataFrame, sitemaps: DataFrame) -> DataFrame:
+    """``root_counts`` of ``pages_per_root``, without a row for each page of each site.
+
+    Addresses that lie in the same sitemaps are counted as one class, and a site's classes are added up. So
+    pages that one sitemap holds, or several sitemaps hold alike, cost a site a row, however many they are.
+    """
+    reached = reached_from(sitemap_links(docs), sitemap_starts(sitemaps))
+    listed = sitemap_entries(docs).where("sitemap_url IS NOT NULL")
+    listed = stored(listed.groupBy("sitemap_url", "url").agg(F.count("*").alias("n")), "listed")
+    sizes = listed.groupBy("sitemap_url").agg(F.sum("n").alias("n"))
+    totals = reached.join(sizes, "sitemap_url").groupBy("root").agg(
+        F.count("*").alias("n_sitemaps"), F.sum("n").alias("n_entries")
+    )
+    held = reached.join(_classes(listed), "sitemap_url").groupBy("root", "held", "mark", "url")
+    pages = held.agg(F.first("n").alias("n")).groupBy("root").agg(F.sum("n").alias("n_pages"))
+    return totals.join(pages, "root").select("root", "n_sitemaps", "n_entries", "n_pages")
+
+
+def _classes(listed: DataFrame) -> DataFrame:
+    """``sitemap_url, held, mark, url, n``: classes (``held, mark, url``) of addresses that lie in the same
+    sitemaps, with the number of addresses, for each of those sitemaps. ``listed`` has distinct
+    ``sitemap_url, url``.
+
+    A class is found by how many sitemaps hold an address, and a hash over them. Where the addresses
+    of a class lie in more sitemaps together than each does, the hash was the same by chance, and each is
+    a class of its own.
+    """
+    marks = listed.groupBy("url").agg(F.count("*").alias("held"), F.bit_xor(_mark("sitemap_url")).alias("mark"))
+    marked = stored(listed.join(marks, "url").select("sitemap_url", "url", "held", "mark"), "marked")
+    classes = marked.groupBy("sitemap_url", "held", "mark").agg(F.count("*").alias("n"))
+    classes = stored(classes, "classes")
+    mixed = classes.groupBy("held", "mark").agg(F.count("*").alias("all")).where("all <> held").drop("all")
+    whole = classes.join(mixed, ["held", "mark"], "left_anti")
+    single = marked.join(mixed, ["held", "mark"], "left_semi")
+    return whole.select("sitemap_url", "held", "mark", F.lit(None).cast("string").alias("url"), "n").unionAll(
+        single.select("sitemap_url", "held", "mark", "url", F.lit(1).cast("bigint").alias("n"))
+    )
+
+
+def _mark(name: str) -> Column:
+    return F.xxhash64(name)
+
+
 def distinct_pages(pages: DataFrame, by: str = "page") -> DataFrame:
     """Pages once: all their fields alike, or one row per URL with its latest date."""
     if by == "page":

@@ -1,8 +1,10 @@
 """Walks of sitemap links: any shape, many roots at once, in few rounds."""
 
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from archivetables import operators as ops
 from archivetables.operators import sitemaps
@@ -97,6 +99,47 @@ def test_pages_count_for_the_root_whose_tree_holds_them(spark):
     assert {tuple(r)[1:] for r in ops.root_counts(pages).collect()} == {(2, 3, 2), (2, 3, 3)}
 
 
+def shared_pages(spark, n_sites, n_pages):
+    """Sites that share a large sitemap, and another that holds half of its pages twice over."""
+    page = "<url><loc>https://x/{}</loc></url>"
+    docs = [("https://cdn.net/all.xml", f"<urlset>{''.join(page.format(i) for i in range(n_pages))}</urlset>"),
+            ("https://cdn.net/half.xml", f"<urlset>{''.join(page.format(i // 2) for i in range(n_pages))}</urlset>")]
+    for i in range(n_sites):
+        lines = ["sitemap: https://cdn.net/all.xml"] * (i % 3 > 0) + ["sitemap: https://cdn.net/half.xml"] * (i % 2)
+        docs.append((f"https://s{i}.com/robots.txt", "\n".join(lines)))
+        docs.append((f"https://s{i}.com/own.xml", f"<urlset>{page.format(i)}{page.format(f'own-{i}')}</urlset>"))
+    known = [(f"https://s{i}.com/own.xml",) for i in range(n_sites)]
+    return spark.createDataFrame(docs, "sitemap_url string, body string"), spark.createDataFrame(known, "sitemap_url string")
+
+
+def test_a_sitemap_that_many_sites_share_is_dealt_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sitemaps, "PIECE_ROWS", 200)
+    pages = ops.pages_per_root(*shared_pages(spark, 30, 100))
+    got = pages.where("sitemap_url LIKE '%all.xml'").select("root", "url", F.spark_partition_id().alias("task"))
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len({r[:2] for r in rows}) == 20 * 100
+    tasks = Counter(r[2] for r in rows)
+    assert len(tasks) > 3 and max(tasks.values()) <= 1000
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_counts_per_root_make_no_row_for_each_page_of_each_site(spark, monkeypatch, alike):
+    if alike:  # as if hashes of all sitemaps were the same by chance
+        monkeypatch.setattr(sitemaps, "_mark", lambda name: F.length(name) * 0 + F.lit(0).cast("bigint"))
+    docs, known = shared_pages(spark, 12, 40)
+    expected = {tuple(r) for r in ops.root_counts(ops.pages_per_root(docs, known)).collect()}
+    monkeypatch.setattr(sitemaps, "pages_per_root", None)
+    assert {tuple(r) for r in ops.counts_per_root(docs, known).collect()} == expected
+    assert len(expected) == 12 and ("https://s5.com", 3, 82, 41) in expected
+
+
+def test_classes_of_addresses_are_few(spark):
+    listed = [(s, f"u{i}") for i in range(50) for s in ("a", "b")] + [("a", "x"), ("c", "y"), ("c", "z")]
+    listed = spark.createDataFrame(listed, "sitemap_url string, url string")
+    got = sorted((r.sitemap_url, r.held, r.n) for r in sitemaps._classes(listed).collect())
+    assert got == [("a", 1, 1), ("a", 2, 50), ("b", 2, 50), ("c", 1, 2)]
+
+
 def test_plain_elements_read_by_pattern_as_by_the_parser(spark):
     """The same elements with a comment, which sends them to the XML parser once it is cut, or an attribute."""
     fields = "<loc>\n h/{} </loc><lastmod>2024-01-0{}</lastmod><priority/><changefreq></changefreq>"
