@@ -939,8 +939,7 @@ def sitemap_pages_per_root(spark, sf_dir):
     FROM root_pages GROUP BY root"""
 )
 def sitemap_root_counts(spark, sf_dir):
-    pages = ops.pages_per_root(tb.cdn_sitemaps(spark, sf_dir), tb.known_sitemaps(spark, sf_dir))
-    return ops.root_counts(pages)
+    return ops.counts_per_root(tb.cdn_sitemaps(spark, sf_dir), tb.known_sitemaps(spark, sf_dir))
 
 
 @query(
