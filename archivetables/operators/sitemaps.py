@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import zlib
 from datetime import UTC, datetime
+from functools import reduce
 
 import pandas as pd
 from dateutil import parser as date_parser
@@ -18,6 +19,7 @@ from archivetables import schemas
 from archivetables.functions import site_path, site_root, strip, w3c_timestamp
 from archivetables.session import partitions_for, stored
 
+NEAR_LEVELS = 2  # links below the starts that are followed before any is shortened: robots file, index, sitemap
 LEVELS_TOGETHER = 8  # levels of a walk before what was reached is written as one
 PIECE_ROWS = 1 << 20  # rows that a piece of a sitemap gives, about, when it is joined to the sites that share it
 
@@ -73,7 +75,8 @@ def sitemap_text(docs: DataFrame) -> DataFrame:
         body = F.make_valid_utf8(F.col("body").cast("string"))
     docs = docs.withColumn("body", F.regexp_replace(body, r"^[\x{FEFF}\s]+", ""))
     plain = F.regexp_replace("body", r"(<!\[CDATA\[[\s\S]*?\]\]>)|<!--[\s\S]*?-->", "$1")
-    return docs.withColumn("body", F.when(F.col("body").startswith("<"), F.ltrim(plain)).otherwise(F.col("body")))
+    commented = F.col("body").startswith("<") & F.contains("body", F.lit("<!--"))
+    return docs.withColumn("body", F.when(commented, F.ltrim(plain)).otherwise(F.col("body")))
 
 
 def _root_tag() -> Column:
@@ -133,7 +136,9 @@ def _read(tag: str, *fields: str) -> Column:
 
 def _text_between(element: Column, field: str) -> Column:
     """Text of the first child of a name in an element of plain children; null where there is none."""
-    return F.nullif(strip(F.regexp_extract(element, f"<{field}>([^<]*)</", 1)), F.lit(""))
+    text = strip(F.regexp_extract(element, f"<{field}>([^<]*)</", 1))
+    # nullif would extract the text twice within a lambda
+    return F.when(F.contains(element, F.lit(f"<{field}>")), F.get(F.filter(F.array(text), lambda t: t != ""), F.lit(0)))
 
 
 def _first(texts: Column) -> Column:
@@ -301,21 +306,27 @@ def reached_from(links: DataFrame, starts: DataFrame) -> DataFrame:
     """``root, sitemap_url``: the sitemaps reachable from each root's ``starts`` (the same columns),
     themselves included.
 
-    Most sitemaps are named once, so links are shortened first: a sitemap that one other names, and that is
-    no start, is linked to the first that is named more often, or is a start, on the way up to it. That
+    Most trees end a few links below their starts, so these are followed first, all at once. If more is
+    reached, links are shortened: a sitemap that one other names, and where the walk does not go on from,
+    is linked to the first that is named more often, or where it goes on, on the way up to it. That
     takes a logarithmic number of rounds, as every round doubles the length of the links. Diamonds collapse
     on the way, so rounds follow what is left. The walk over the shortened links goes level by level,
     with all roots at once.
     """
     edges = links.select(F.col("sitemap_url").alias("a"), F.col("linked_url").alias("b"))
     edges = stored(edges.where("a <> b").distinct(), "links")
-    found = stored(starts.select("root", "sitemap_url").distinct(), "reached")
-    edges = _shortened(edges, found.select(F.col("sitemap_url").alias("b")).distinct())
-    level, depth = found, 0
+    near = [stored(starts.select("root", "sitemap_url").distinct(), "starts")]
+    for _ in range(NEAR_LEVELS):
+        near.append(_linked(near[-1], edges).distinct())
+    steps = reduce(DataFrame.unionAll, [df.withColumn("steps", F.lit(i)) for i, df in enumerate(near)])
+    steps = stored(steps.groupBy("root", "sitemap_url").agg(F.min("steps").alias("steps")), "reached")
+    found, level = steps.drop("steps"), steps.where(F.col("steps") == NEAR_LEVELS).drop("steps")
+    if _linked(level, edges).join(found, ["root", "sitemap_url"], "left_anti").isEmpty():
+        return found
+    edges, depth = _shortened(edges, level.select(F.col("sitemap_url").alias("b")).distinct()), 0
     partitions = partitions_for(links.sparkSession)
     while True:
-        level = level.join(edges, level["sitemap_url"] == edges["a"])
-        level = level.select("root", F.col("b").alias("sitemap_url")).distinct()
+        level = _linked(level, edges).distinct()
         level = stored(level.join(found, ["root", "sitemap_url"], "left_anti"), "level")
         if level.isEmpty():
             return found
@@ -324,6 +335,12 @@ def reached_from(links: DataFrame, starts: DataFrame) -> DataFrame:
             found = stored(found.coalesce(partitions), "reached")
 
 
+def _linked(level: DataFrame, edges: DataFrame) -> DataFrame:
+    """``root, sitemap_url`` of what the sitemaps of ``level`` are linked to."""
+    level = level.join(edges, level["sitemap_url"] == edges["a"])
+    return level.select("root", F.col("b").alias("sitemap_url"))
+
+
 def _shortened(edges: DataFrame, heads: DataFrame) -> DataFrame:
     """Links ``a, b`` such that the same is reachable from ``heads`` (``b``), with chains cut short."""
     while True:

@@ -99,6 +99,12 @@ def test_pages_count_for_the_root_whose_tree_holds_them(spark):
     assert {tuple(r)[1:] for r in ops.root_counts(pages).collect()} == {(2, 3, 2), (2, 3, 3)}
 
 
+def test_a_shallow_tree_is_walked_without_shortening(spark, monkeypatch):
+    monkeypatch.setattr(sitemaps, "_shortened", None)
+    edges = [("robots", "index"), ("index", "one"), ("index", "two"), ("one", "index"), ("other", "one")]
+    check(spark, edges, [("a", "robots"), ("b", "one"), ("b", "none"), ("c", "two")])
+
+
 def shared_pages(spark, n_sites, n_pages):
     """Sites that share a large sitemap, and another that holds half of its pages twice over."""
     page = "<url><loc>https://x/{}</loc></url>"

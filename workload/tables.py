@@ -143,11 +143,13 @@ def order_sitemap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fetched sitemap documents, written once per application and input folder."""
+    """The fetched sitemap documents, written once per application and input folder; dealt out, as the kinds
+    come one after the other and differ in work."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _documents:
         folder = scratch_dir(spark, "sitemaps")
-        built_sitemap_docs(spark, sf_dir).write.parquet(folder)
+        dealt = built_sitemap_docs(spark, sf_dir).repartition(partitions_for(spark), "sitemap_url")
+        dealt.write.parquet(folder)
         _documents[key] = folder
     return spark.read.parquet(_documents[key])
 
