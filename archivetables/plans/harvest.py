@@ -53,7 +53,7 @@ class HarvestTables:
 
 def harvest_tables(
     spark: SparkSession,
-    wacz_paths: Paths,
+    wacz_paths: Paths | Callable[[], Paths],
     sitemap_docs: DataFrame | None = None,
     previous_urls: UrlList = None,
     roots: DataFrame | None = None,
@@ -67,7 +67,7 @@ def harvest_tables(
     bodies are cut to their entries before anything is joined. Vanished URLs are those the
     previous list has and the unfiltered current one lacks: with the date-limited list
     every unmodified page would count as vanished. Without sitemaps there is no current
-    list, hence nothing vanished.
+    list, hence nothing vanished. Archives given as a function are asked for with the first records.
     """
 
     def pages() -> DataFrame:
@@ -80,7 +80,7 @@ def harvest_tables(
     return HarvestTables(
         pages if sitemap_docs is not None else None,
         lambda found: filter_by_date(found, from_date, to_date),
-        lambda urls: generate_records(spark, wacz_paths, urls, previous_urls, **record_options),
+        lambda urls: generate_records(spark, wacz_paths() if callable(wacz_paths) else wacz_paths, urls, previous_urls, **record_options),
     )
 
 

@@ -205,6 +205,14 @@ def test_harvest(spark, crawl, tmp_path):
         write_harvest(tables)
 
 
+def test_archives_are_asked_for_with_the_first_records(spark, crawl):
+    asked = []
+    docs = spark.createDataFrame([("s.xml", "<urlset><url><loc>u2</loc></url></urlset>")], "sitemap_url string, body string")
+    tables = harvest_tables(spark, lambda: asked.append(1) or crawl, docs, docs.select(F.lit("u1").alias("url")))
+    assert [r.url for r in tables.seed_urls.collect()] == ["u2"] and not asked
+    assert tables.records.where("status = 'deleted'").count() == 1 and len(asked) == 1
+
+
 def test_harvest_without_sitemaps_deletes_nothing(spark, crawl, tmp_path, caplog):
     previous = spark.createDataFrame([("x",)], "url string")
     tables = harvest_tables(spark, crawl, previous_urls=previous)

@@ -782,7 +782,7 @@ def harvest_seed_urls(spark, sf_dir):
     docs = tb.sitemap_docs(spark, sf_dir)
     tables = plans.harvest_tables(
         spark,
-        tb.archives(spark, sf_dir),
+        lambda: tb.archives(spark, sf_dir),
         sitemap_docs=docs,
         roots=docs.where("sitemap_url LIKE '%/robots.txt'"),
         from_date="1997-01-01",
