@@ -30,12 +30,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from archivetables.llm.common import exact, hex_sha256, output, text_of
+from archivetables.llm.common import exact, held, hex_sha256, output, text_of
 
 BLOCK = 256  # symbols that the window moves at least
-CACHE = 200_000  # words lately met whose ids a worker keeps, and as many of before
+CACHE = 50_000  # words lately met whose ids a worker keeps, and as many of before
 PIECES = 1 << 16  # words in hand at a time, however long the text
-OUT_BYTES = 8 << 20  # text in an output batch
+OUT_BYTES = 2 << 20  # text in an output batch
 SUFFIX = "</w>"
 # Fixed value: the pattern that splits a normalised text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -231,9 +231,6 @@ def lookahead(pairs: list[tuple[str, str]]) -> int:
     return most
 
 
-_loaded: dict[str, Transducer] = {}  # by the file's digest, in a worker
-
-
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``doc_id, ids, decoded, text`` of every row of ``docs``, with no special tokens added: ``decoded`` as
     the library gives it, ``text`` the words that the state machine reads from the ids.
@@ -249,19 +246,17 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if digest not in _loaded:
-            _loaded[digest] = Transducer(shared.value)
-        transducer = _loaded[digest]
+        transducer = held(f"bpe {digest}", lambda: Transducer(shared.value))
         for batch in batches:
             keys, texts = batch.column("doc_id"), batch.column("text")
-            begin, held, ids, decoded, words = 0, 0, [], [], []
+            begin, size, ids, decoded, words = 0, 0, [], [], []
             for row, text in enumerate(texts):
                 text = text.as_py()
                 ids.append(transducer.encode(text))
                 decoded.append(transducer.decode(ids[-1]))
                 words.append(transducer.text(ids[-1].tolist()))
-                held += len(text)
-                if held >= OUT_BYTES or row == len(texts) - 1:
+                size += len(text)
+                if size >= OUT_BYTES or row == len(texts) - 1:
                     offsets = np.cumsum([0, *map(len, ids)], dtype="int32")
                     values = pa.array(np.concatenate(ids), pa.int32())
                     yield pa.RecordBatch.from_arrays(
@@ -273,7 +268,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
                         ],
                         ["doc_id", "ids", "decoded", "text"],
                     )
-                    begin, held, ids, decoded, words = row + 1, 0, [], [], []
+                    begin, size, ids, decoded, words = row + 1, 0, [], [], []
 
     docs = exact(docs, "doc_id", "text")
     return docs.select("doc_id", text_of(docs).alias("text")).mapInArrow(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 MAX_BUCKETS = 100_000  # Spark's own limit; beyond it a bucket holds several tasks' files
 
 
+_held: dict[str, Any] = {}  # what ``held`` keeps, in a worker
+
+
+def held(key: str, build: Callable[[], Any]) -> Any:
+    """What ``build`` makes, kept in the worker for its further tasks. It is large: what is kept under another
+    key is given up first, as workers outlive the stages of a pipeline."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = build()
+    return _held[key]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and whole if executors are lost."""
     path = scratch_dir(df.sparkSession, label)

@@ -15,7 +15,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from archivetables.llm import bpe, fertility, licences, pii, quality
+from archivetables.llm import bpe, common, fertility, licences, pii, quality
 from archivetables.llm.queries import QUERIES, vocabularies
 from tests.llm.conftest import ODD, SF
 from workload.check import rows_of
@@ -481,3 +481,10 @@ def test_cues_hold_over_line_ends(spark, make):
     got = licences.scan_licences(make(rows)).toPandas()
     assert rows_of(got) == rows_of(db.execute(licences.scan_sql()).df())
     assert set(got.licences) == {"Unlicense"}
+
+
+def test_a_worker_holds_one_large_object():
+    made = [common.held(key, lambda key=key: [key]) for key in ("a", "a", "b")]
+    assert made[0] is made[1] and made[2] == ["b"] and list(common._held) == ["b"]
+    assert common.held("a", lambda: ["new"]) == ["new"]
+    common._held.clear()
