@@ -28,7 +28,8 @@ from archivetables.sources.storage import open_input, open_member, open_zip
 BLOCK_BYTES = 16 << 20
 MIN_BLOCK_BYTES = 1 << 20
 BLOCKS_PER_TASK = 16
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20  # of payloads in an output batch, which a worker holds three times over while it goes out
+STRETCH_BYTES = 32 << 20  # of payloads read in the order of their places where the result has another order
 USUAL_RECORD = 1 << 14  # bytes of a packed record whose length the index does not give
 PACKING = 4  # how much a record grows when it is unpacked, about
 
@@ -45,7 +46,7 @@ def fetch_warc(
     n_bytes: int = 0,
     partitions: int | None = None,
     block_bytes: int | None = None,
-    batch_bytes: int = BATCH_BYTES,
+    batch_bytes: int | None = None,
     staged: DataFrame | None = None,
     order: Column | None = None,
 ) -> DataFrame:
@@ -84,6 +85,8 @@ def fetch_warc(
     )
 
     in_order = order is not None
+    if batch_bytes is None:
+        batch_bytes = STRETCH_BYTES if in_order else BATCH_BYTES
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def read(key: tuple) -> tuple:

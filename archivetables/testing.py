@@ -29,6 +29,7 @@ PAGE = (
 )
 
 CDX_BLOCK_LINES = 500
+ROWS_IN_HAND = 100  # rows of a batch turned into Python objects at a time
 
 
 def pack_archives(
@@ -53,7 +54,7 @@ def pack_archives(
         task = TaskContext.get()
         rows, count = [], 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 rows.append(row)
                 if len(rows) == pages_per_archive:
                     _write_archive(folder, task, count, rows, pages_per_warc, deflate_warcs, list_blocks)
@@ -73,6 +74,12 @@ def pack_archives(
     return written.groupBy().sum("archives").first()[0]
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """A batch's rows, few at a time: as Python objects a whole batch takes several times its bytes."""
+    for first in range(0, len(batch), ROWS_IN_HAND):
+        yield from batch.slice(first, ROWS_IN_HAND).to_pylist()
+
+
 def _write_archive(
     folder, task, number, rows, pages_per_warc, deflate_warcs, list_blocks
 ) -> None:

@@ -6,6 +6,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+from archivetables import testing
 from archivetables.sources import fetch_warc
 from archivetables.sources.storage import locate
 from tests.helpers import http_block, warc_file, warc_record, write_archive
@@ -163,3 +164,24 @@ def test_locate_takes_paths_as_written():
     assert locate("file:/a%20b/c d")[1] == "/a%20b/c d"
     assert locate("/a/b")[1] == "/a/b"
     assert locate("file:///a")[1] == "/a"
+
+
+def test_a_batch_to_pack_is_turned_into_objects_in_small_parts(monkeypatch):
+    monkeypatch.setattr(testing, "ROWS_IN_HAND", 3)
+    taken = []
+
+    class Batch:
+        def __init__(self, rows):
+            self.rows = rows
+
+        def __len__(self):
+            return len(self.rows)
+
+        def slice(self, first, n):
+            return Batch(self.rows[first : first + n])
+
+        def to_pylist(self):
+            taken.append(len(self.rows))
+            return self.rows
+
+    assert list(testing._rows(Batch(list(range(8))))) == list(range(8)) and taken == [3, 3, 2]
