@@ -84,7 +84,18 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(documents(spark, sf_dir))
-    return cut.withColumn("kept_sha256", hex_sha256(F.col("kept"))).drop("kept")
+    spans = F.transform("passages", lambda p: F.concat_ws(":", p["begin"], p["stop"]))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        hex_sha256(F.col("kept")).alias("kept_sha256"),
+        "n_words",
+        "n_passage_words",
+        F.size("passages").cast("long").alias("n_passages"),
+        F.concat_ws(",", spans).alias("passages"),
+    )
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

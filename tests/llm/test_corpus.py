@@ -204,6 +204,90 @@ def test_texts_longer_than_a_block_and_chunk(spark, make, monkeypatch):
     assert got[1][1] == 2 and got[2] == (len(passage), 1) and got[3] == (0, 0) and got[4] == (1000, 1)
 
 
+def plain_passages(rows, n=50):
+    found = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (text or "").encode())] for _, text in rows]
+    raw = [(text or "").encode() for _, text in rows]
+    held = defaultdict(set)
+    for i, spans in enumerate(found):
+        for k in range(len(spans) - n + 1):
+            held[tuple(raw[i][b:e] for b, e in spans[k : k + n])].add(i)
+    out = []
+    for i, spans in enumerate(found):
+        inside = set()
+        for k in range(len(spans) - n + 1):
+            if len(held[tuple(raw[i][b:e] for b, e in spans[k : k + n])]) > 1:
+                inside.update(range(k, k + n))
+        first = [k for k in sorted(inside) if k - 1 not in inside]
+        last = [k for k in sorted(inside) if k + 1 not in inside]
+        runs = [(spans[x][0], spans[y][1]) for x, y in zip(first, last, strict=True)]
+        out.append((rows[i][0], len(spans), len(inside), runs))
+    return sorted(out, key=str)
+
+
+def passage_rows(table):
+    rows = substrings.remove_repeats(table).select("doc_id", "n_words", "n_passage_words", "passages").collect()
+    return sorted(((*r[:3], [tuple(p) for p in r.passages]) for r in rows), key=str)
+
+
+def odd_passages():
+    passage = words("p", 51)
+    assert len(passage) < substrings.DEPTH
+    w = passage.split()
+    short = " ".join("abcdefghijklmnopqrstuvwxyz"[i % 26] + str(i % 7) for i in range(60))
+    near = "ends with a pass" + "age"
+    return passage, [
+        *[r for r in ODD if r[0] != 8],
+        (20, f"left {passage} right"), (21, words("l", 80) + "\n" + "\t ".join(w) + " " + words("r", 70)),
+        (22, " ".join(w[:49])), (23, " ".join(w[1:])), (24, " ".join(w[:25] + ["x"] + w[25:])), (25, "x" + passage),
+        (26, words("s", 60)), (27, words("s", 60)), (28, words("t", 120)), (29, words("t", 120)),  # copies, short and long
+        (30, short), (31, short + " é"), (32, "ß " + short), (33, words("u", 55) + " " + words("u", 55)),  # 33: in itself only
+        (34, words("v", 90).upper()), (35, words("v", 90)), (36, words("t", 120)[:-1]), (37, words("t", 120) + " more"),
+        (38, "same " * 300), (39, "same " * 70), (40, "same " * 49), (41, near), (42, passage), (None, passage + " "),
+        (43, words("z", 49)), (44, words("z", 50).split()[-1] + " x"), (45, "a\x1cb\x00 \x85 " + passage.replace(" ", "\r\n")),
+    ]
+
+
+def test_passages_of_fifty_words_shorter_than_the_strings(spark, make):
+    passage, rows = odd_passages()
+    got = passage_rows(make(rows))
+    assert got == plain_passages(rows)
+    begin = len(b"left ")
+    assert (20, 53, 51, [(begin, begin + len(passage))]) in got
+    assert (33, 110, 0, []) in got
+    assert cut_rows(make(rows)) == plain_cut(rows)
+    assert next(r for r in cut_rows(make(rows)) if r[0] == 20)[2] == 0
+
+
+def test_passages_of_documents(spark, make, monkeypatch):
+    _, rows = odd_passages()
+    rows = [*documents(), *rows, *rows[8:14]]
+    monkeypatch.setattr(substrings, "BUCKET_KEYS", 2_000)
+    assert passage_rows(make(rows).repartition(3)) == plain_passages(rows)
+
+
+def test_words_of_any_length():
+    text = ("x" * 250 + " ab\t" + "y" * 99 + "  \n" + "é" * 60 + " a b c ").encode() * 3 + b"ba end"
+    text += b"".join(b" " + b"z" * n + b" " + b"z" * n + b"\0" for n in range(1, 30))
+    text += b" 12345678abcdefgh abcdefgh12345678 \0 \0\0 x"
+    raw = np.frombuffer(text, "uint8")
+    places = np.array([m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)])
+    names = substrings.word_names(raw, *places.T)
+    by_word = defaultdict(set)
+    for (b, e), name in zip(places, names, strict=True):
+        by_word[text[b:e]].add(int(name))
+    assert all(len(x) == 1 for x in by_word.values())
+    assert len(set.union(*by_word.values())) == len(by_word)
+
+
+def test_passages_of_the_query(spark):
+    got = QUERIES["op10_substring_dedup"](spark, SF).toPandas().set_index("doc_id")
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
+    for key, n_words, inside, runs in plain_passages(rows):
+        r = got.loc[key]
+        assert (r.n_words, r.n_passage_words, r.n_passages) == (n_words, inside, len(runs))
+        assert r.passages == ",".join(f"{b}:{e}" for b, e in runs)
+
+
 def test_cover_takes_any_two_positions_into_the_sample():
     cover, v = set(substrings.COVER.tolist()), substrings.PERIOD
     assert len(cover) == 18 and v == 307
