@@ -183,13 +183,18 @@ def record_pointers(
     join never multiplies. Both sides and the join share one partitioning; so do
     ``excluded`` rows of archive and URL, while ``excluded`` URLs without an archive hold
     for all of them and take a shuffle by URL.
+
+    No side is broadcast. Spark takes lines to be as small as the splits that they are read from; once it
+    has planned to broadcast them, it keeps to that where a merge join takes one more shuffle, however many
+    rows have come by then.
     """
-    pointers = _last_page(pages).join(_last_capture(cdx, offset_order), HASHED_KEYS)
+    captures = _last_capture(cdx, offset_order).hint("merge")
+    pointers = _last_page(pages).join(captures, HASHED_KEYS)
     if excluded is not None and "wacz_path" in excluded.columns:
         keys = with_key_hash(excluded.select(*KEYS), *KEYS)
-        pointers = pointers.join(keys, HASHED_KEYS, "left_anti")
+        pointers = pointers.join(keys.hint("merge"), HASHED_KEYS, "left_anti")
     elif excluded is not None:
-        pointers = pointers.join(excluded.select("url"), "url", "left_anti")
+        pointers = pointers.join(excluded.select("url").hint("merge"), "url", "left_anti")
     return pointers.select(*KEYS, "title", "filename", "offset", "length", "offset_num")
 
 

@@ -2,10 +2,13 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from archivetables import generate_records
 from archivetables import operators as ops
 from archivetables.plans import records_from_tables
+from tests.helpers import cdx_line, http_block, page_list, warc_file, warc_record, write_archive
 from workload import tables as tb
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -99,3 +102,54 @@ def test_numbering_splits_a_log(spark):
 def test_null_offsets_do_not_break_pointer_blocks(spark):
     df = spark.createDataFrame([(None,), (1,)], "offset_num bigint")
     assert df.select(F.expr("offset_num div 10")).collect()[0][0] is None
+
+
+N_PAGES = 2000
+
+
+@pytest.fixture(scope="module")
+def long_crawl(tmp_path_factory):
+    """An archive of one split per list, which makes some hundred bytes of splits, and its URLs."""
+    urls = [f"https://example.org/{i}" for i in range(N_PAGES)]
+    data, _ = warc_file(warc_record(http_block(b"<p>")))
+    path = write_archive(
+        tmp_path_factory.mktemp("crawl") / "long.wacz",
+        {
+            "pages/pages.jsonl": page_list(*({"url": u, "title": "t"} for u in urls)),
+            "indexes/index.cdxj": "".join(map(cdx_line, urls)),
+            "archive/rec-0.warc.gz": data,
+        },
+    )
+    return path, urls
+
+
+def final_plan(spark, records):
+    """What ran, where some kilobytes are too much to be broadcast; and the rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32k")
+    try:
+        rows = records.collect()
+        text = records._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return text.split("== Initial Plan ==")[0], rows
+
+
+def test_captures_are_not_broadcast_for_the_size_of_their_splits(spark, long_crawl):
+    path, urls = long_crawl
+    previous = spark.createDataFrame([(u,) for u in [*urls, "https://example.org/gone"]], "url string")
+    current = previous.where("url RLIKE '[0-4]$'")
+    plan, rows = final_plan(spark, generate_records(spark, path, current, previous))
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") >= 3
+    gone = {u for u in urls if u[-1] in "56789"} | {"https://example.org/gone"}
+    assert {r.url for r in rows if r.status == "deleted"} == gone
+    assert sorted(r.url for r in rows if r.status == "active") == sorted(set(urls) - gone)
+
+
+def test_deletes_from_list_files_are_not_broadcast_for_the_size_of_their_splits(spark, long_crawl, tmp_path):
+    path, urls = long_crawl
+    previous = tmp_path / "previous.txt"
+    previous.write_text("".join(f"{u}\n{u}/gone\n" for u in urls))
+    current = spark.createDataFrame([(u,) for u in urls], "url string")
+    plan, rows = final_plan(spark, generate_records(spark, path, current, str(previous)))
+    assert "BroadcastHashJoin" not in plan
+    assert len(rows) == 2 * N_PAGES and sum(r.status == "deleted" for r in rows) == N_PAGES
