@@ -134,11 +134,12 @@ def final_plan(spark, records):
     return text.split("== Initial Plan ==")[0], rows
 
 
-def test_captures_are_not_broadcast_for_the_size_of_their_splits(spark, long_crawl):
+@pytest.mark.parametrize("ordered", [False, True])
+def test_captures_are_not_broadcast_for_the_size_of_their_splits(spark, long_crawl, ordered):
     path, urls = long_crawl
     previous = spark.createDataFrame([(u,) for u in [*urls, "https://example.org/gone"]], "url string")
     current = previous.where("url RLIKE '[0-4]$'")
-    plan, rows = final_plan(spark, generate_records(spark, path, current, previous))
+    plan, rows = final_plan(spark, generate_records(spark, path, current, previous, ordered=ordered))
     assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") >= 3
     gone = {u for u in urls if u[-1] in "56789"} | {"https://example.org/gone"}
     assert {r.url for r in rows if r.status == "deleted"} == gone
