@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from archivetables import generate_records
+from archivetables import generate_records, harvest_tables
 from archivetables import operators as ops
 from archivetables.plans import records_from_tables
 from tests.helpers import cdx_line, http_block, page_list, warc_file, warc_record, write_archive
@@ -154,3 +154,15 @@ def test_deletes_from_list_files_are_not_broadcast_for_the_size_of_their_splits(
     plan, rows = final_plan(spark, generate_records(spark, path, current, str(previous)))
     assert "BroadcastHashJoin" not in plan
     assert len(rows) == 2 * N_PAGES and sum(r.status == "deleted" for r in rows) == N_PAGES
+
+
+def test_harvested_captures_are_not_broadcast_for_the_size_of_their_splits(spark, long_crawl):
+    path, urls = long_crawl
+    pages = [f"<url><loc>{u}</loc></url>" for u in urls if u[-1] in "01234"]
+    docs = spark.createDataFrame([("s.xml", f"<urlset>{''.join(pages)}</urlset>")], "sitemap_url string, body string")
+    previous = spark.createDataFrame([(u,) for u in urls], "url string")
+    tables = harvest_tables(spark, path, docs, previous, docs.select("sitemap_url"))
+    plan, rows = final_plan(spark, tables.records)
+    assert not re.search(r"BroadcastHashJoin \[(key_hash#\d+L, wacz_path|url)#", plan)
+    assert sorted(r.url for r in rows if r.status == "active") == sorted(u for u in urls if u[-1] in "01234")
+    assert sorted(r.url for r in rows if r.status == "deleted") == sorted(u for u in urls if u[-1] in "56789")
